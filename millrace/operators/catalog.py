@@ -1,4 +1,9 @@
-"""Storefront and order questions, answered for all keys at once."""
+"""Storefront and order questions, answered for all keys at once.
+
+A short list, such as a page or a top eight, is settled first and pinned: the
+expensive ranking then runs once, and the child tables are read for the listed
+products only.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +16,7 @@ from millrace.functions import contains_text, loyalty_points
 from millrace.operators.joins import lookup_join, select_available, where_all
 from millrace.operators.ordering import latest_per_key, page
 from millrace.operators.pricing import active_promotions, overlay_promotions, stock_levels
+from millrace.session import pin
 
 
 def _average() -> Column:
@@ -33,6 +39,11 @@ def _with_stock(products: DataFrame, inventory: DataFrame) -> DataFrame:
     return products.join(stock, "id", "left").fillna({"stock": 0})
 
 
+def _promotions_of(promotions: DataFrame, chosen: DataFrame) -> DataFrame:
+    keys = chosen.select(F.col("id").alias("product_id"))
+    return promotions.join(keys, "product_id", "left_semi")
+
+
 def _stock_of(inventory: DataFrame, chosen: DataFrame) -> DataFrame:
     keys = chosen.select(F.col("id").alias("product_id"))
     return _with_stock(chosen, inventory.join(keys, "product_id", "left_semi"))
@@ -64,12 +75,11 @@ def catalog_page(
     only for the products on it.  ``total`` counts all matching products.
     """
     matching = catalog_filter(products, category, search).select("id", "name", "price", "category")
-    shown = page(matching, [F.asc("id")], limit, offset)
-    keys = shown.select(F.col("id").alias("product_id"))
+    shown = pin(page(matching, [F.asc("id")], limit, offset))
     ratings = _ratings_of(reviews, shown).withColumnRenamed("product_id", "id")
     cards = _stock_of(inventory, shown).join(ratings, "id", "left")
     cards = cards.fillna({"avg_rating": 0.0, "review_count": 0})
-    cards = overlay_promotions(cards, promotions.join(keys, "product_id", "left_semi"))
+    cards = overlay_promotions(cards, _promotions_of(promotions, shown))
     total = matching.agg(F.count(F.lit(1))).scalar()
     return cards.withColumn("loyalty_points_earned", loyalty_points(F.col("price"))).withColumn("total", total)
 
@@ -121,13 +131,11 @@ def top_rated(
 ) -> DataFrame:
     """Best average among products with enough reviews."""
     ratings = product_rating(reviews).filter(F.col("review_count") >= least_reviews)
-    best = (
-        products.select("id", "name", "price", "category")
-        .join(ratings.withColumnRenamed("product_id", "id"), "id")
-        .orderBy(F.desc("avg_rating"), F.desc("review_count"), F.asc("id"))
-        .limit(n)
+    rated = products.select("id", "name", "price", "category").join(
+        ratings.withColumnRenamed("product_id", "id"), "id"
     )
-    return overlay_promotions(_stock_of(inventory, best), promotions).withColumn(
+    best = pin(rated.orderBy(F.desc("avg_rating"), F.desc("review_count"), F.asc("id")).limit(n))
+    return overlay_promotions(_stock_of(inventory, best), _promotions_of(promotions, best)).withColumn(
         "loyalty_points_earned", loyalty_points(F.col("price"))
     )
 
@@ -144,15 +152,11 @@ def best_sellers(
     sold = order_items.groupBy(F.col("product_id").alias("id")).agg(
         F.sum(F.col("quantity").cast("bigint")).alias("units_sold")
     )
-    best = (
-        products.select("id", "name", "price", "category")
-        .join(sold, "id")
-        .orderBy(F.desc("units_sold"), F.asc("id"))
-        .limit(n)
-    )
+    selling = products.select("id", "name", "price", "category").join(sold, "id")
+    best = pin(selling.orderBy(F.desc("units_sold"), F.asc("id")).limit(n))
     ratings = _ratings_of(reviews, best).select(F.col("product_id").alias("id"), "avg_rating")
     cards = _stock_of(inventory, best).join(ratings, "id", "left").fillna({"avg_rating": 0.0})
-    return overlay_promotions(cards, promotions).withColumn(
+    return overlay_promotions(cards, _promotions_of(promotions, best)).withColumn(
         "loyalty_points_earned", loyalty_points(F.col("price"))
     )
 
@@ -166,12 +170,8 @@ def promo_deals(products: DataFrame, inventory: DataFrame, promotions: DataFrame
         "discount_pct",
         "sale_price",
     )
-    best = (
-        products.select("id", "name", "price", "category")
-        .join(deals, "id")
-        .orderBy(F.desc("discount_pct"), F.asc("promotion_id"))
-        .limit(n)
-    )
+    offered = products.select("id", "name", "price", "category").join(deals, "id")
+    best = pin(offered.orderBy(F.desc("discount_pct"), F.asc("promotion_id")).limit(n))
     return _stock_of(inventory, best).withColumn("loyalty_points_earned", loyalty_points(F.col("price")))
 
 

@@ -82,9 +82,17 @@ def demand_table(counts: DataFrame, order_items: DataFrame, inventory: DataFrame
     )
 
 
+def _keyed_like(table: DataFrame, key: str, events: DataFrame) -> DataFrame:
+    """Events whose product id has the type of another table's key.
+
+    Grouped by such a key, the counts already lie where the joins need them.
+    """
+    return events.withColumn("product_id", F.col("product_id").cast(table.schema[key].dataType))
+
+
 def demand_from_silver(silver: DataFrame, order_items: DataFrame, inventory: DataFrame) -> DataFrame:
     """Demand from a stored silver table; of several names the last one wins."""
-    counts = silver.groupBy("product_id").agg(
+    counts = _keyed_like(order_items, "product_id", silver).groupBy("product_id").agg(
         F.max("product_name").alias("product_name"),
         F.max("category").alias("category"),
         *funnel_counts(),
@@ -100,7 +108,7 @@ def demand_from_bronze(
     Events are counted per product before names are looked up, so the lookup
     joins one row per product instead of one per event.
     """
-    counts = clean_events(bronze).groupBy("product_id").agg(*funnel_counts())
+    counts = _keyed_like(products, "id", clean_events(bronze)).groupBy("product_id").agg(*funnel_counts())
     named = counts.join(product_labels(products), "product_id", "left")
     return demand_table(named, order_items, inventory)
 

@@ -134,25 +134,29 @@ def column_fill(df: DataFrame) -> DataFrame:
     return counted.unpivot([], df.columns, "column_name", "filled_rows")
 
 
+def table_figures(tables: Mapping[str, DataFrame], measures: Mapping[str, Column]) -> DataFrame:
+    """One row per table: rows, and the total of its measure if it has one."""
+    parts = []
+    for name, df in tables.items():
+        amount = measures.get(name, F.lit(0)).cast("decimal(38,2)")
+        total = F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(38,2)")
+        counted = df.agg(F.count(F.lit(1)).alias("rows"), total.alias("total"))
+        parts.append(counted.select(F.lit(name).alias("table_name"), "rows", "total"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def reconcile(before: Tables, after: Tables, measures: Mapping[str, Column]) -> DataFrame:
     """Row counts and totals of two states, table by table.
 
     ``measures`` gives the amount to total for the tables that have one.
     """
 
-    def figures(tables: Tables, side: str) -> DataFrame:
-        parts = []
-        for name, df in tables.items():
-            amount = measures.get(name, F.lit(0)).cast("decimal(38,2)")
-            parts.append(
-                df.agg(
-                    F.count(F.lit(1)).alias(f"{side}_rows"),
-                    F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(38,2)").alias(f"{side}_total"),
-                ).withColumn("table_name", F.lit(name))
-            )
-        return reduce(DataFrame.unionByName, parts)
-
-    joined = figures(before, "before").join(figures(after, "after"), "table_name", "full_outer")
+    def side(tables: Tables, label: str) -> DataFrame:
+        return table_figures(tables, measures).withColumnsRenamed(
+            {"rows": f"{label}_rows", "total": f"{label}_total"}
+        )
+
+    joined = side(before, "before").join(side(after, "after"), "table_name", "full_outer")
     same = F.col("before_rows").eqNullSafe(F.col("after_rows")) & F.col("before_total").eqNullSafe(
         F.col("after_total")
     )

@@ -57,6 +57,14 @@ def number_rows(
     )
 
 
+def plain_running_totals(
+    df: DataFrame, by: str | Sequence[str], order: Sequence[Column], totals: Mapping[str, Column]
+) -> DataFrame:
+    """The same by one window; only for tables checked to be small."""
+    whole = Window.partitionBy(*names(by)).orderBy(*order).rowsBetween(*_UP_TO)
+    return df.select("*", *[F.sum(v).over(whole).alias(n) for n, v in totals.items()])
+
+
 def running_totals(
     df: DataFrame,
     by: str | Sequence[str],
@@ -73,8 +81,7 @@ def running_totals(
     """
     groups = names(by)
     if small_rows and at_most(df, small_rows):
-        whole = Window.partitionBy(*groups).orderBy(*order).rowsBetween(*_UP_TO)
-        return df.select("*", *[F.sum(v).over(whole).alias(n) for n, v in totals.items()])
+        return plain_running_totals(df, groups, order, totals)
     valued = df.select("*", *[v.alias(f"_v_{n}") for n, v in totals.items()])
     ranged = _in_ranges(valued, [*[F.col(g) for g in groups], *order], parts)
     pieces = ranged.groupBy(*groups, "_range").agg(

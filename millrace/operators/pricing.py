@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import effective_price, loyalty_points, sale_price
 from millrace.operators.joins import lookup_join
-from millrace.operators.ordering import running_totals
-from millrace.session import pin
+from millrace.operators.ordering import plain_running_totals, running_totals
+from millrace.session import at_most, pin, scratch_dir
 
 
 def with_sale_price(promotions: DataFrame, products: DataFrame) -> DataFrame:
@@ -111,13 +111,19 @@ def cart_totals(
 
     The item count covers every line, also those of unknown products.
     """
-    items = carts.groupBy("customer_id").agg(F.sum("quantity").alias("item_count"))
-    sums = (
-        priced_lines(carts, prices)
-        .groupBy("customer_id")
-        .agg(F.sum("line_total").alias("subtotal"), F.sum("points_earned").alias("points_earned"))
+    unit = effective_price(F.col("sale_price"), F.col("price"))
+    lines = lookup_join(carts, prices, "product_id").withColumn("unit_price", unit)
+    cost = F.round(F.col("unit_price") * F.col("quantity"), 2)
+    points = loyalty_points(F.col("unit_price")) * F.col("quantity")
+    totals = (
+        lines.groupBy("customer_id")
+        .agg(
+            F.sum("quantity").alias("item_count"),
+            F.sum(cost).alias("subtotal"),
+            F.sum(points).alias("points_earned"),
+        )
+        .fillna({"subtotal": 0, "points_earned": 0})
     )
-    totals = items.join(sums, "customer_id", "left").fillna({"subtotal": 0, "points_earned": 0})
     if customers is None or members is None:
         return totals
     tiers = customers.select(F.col("id").alias("customer_id"), "email").join(
@@ -164,38 +170,53 @@ class Checkout(NamedTuple):
 
 
 def _settle(lines: DataFrame, small_rows: int) -> DataFrame:
-    """Which of the disputed lines' carts get through, in cart order.
+    """The carts of the disputed lines that fail, serving carts in order.
 
     A cart goes through when all its lines fit behind every earlier cart still
     open, and fails when one line does not fit behind those already through.
     The rest waits for the next round, which knows more of both.  The earliest
     open cart is always settled, so the rounds end, with the same outcome as
-    serving the carts one by one.
+    serving the carts one by one.  A round carries the open lines and those
+    that just went through; the latter are then part of ``_ahead``, what went
+    through before a line, and need not be looked at again.
     """
     order = [F.col("placed_at"), F.col("customer_id")]
-    taken, wants, stock = F.col("_taken"), F.col("quantity"), F.col("stock")
+    taken, wants = F.col("_taken"), F.col("quantity")
     nothing = F.lit(0).cast("bigint")
     totals = {
         "_open": F.when(~taken, wants).otherwise(nothing),
         "_sold": F.when(taken, wants).otherwise(nothing),
     }
-    lines = pin(lines.withColumn("_taken", F.lit(False)))
-    while not lines.filter(~taken).isEmpty():
-        placed = running_totals(lines, "product_id", order, totals, small_rows=small_rows)
-        verdict = (
-            placed.filter(~taken)
-            .groupBy("customer_id")
-            .agg(
-                F.bool_and(F.col("_open") + F.col("_sold") <= stock).alias("_fits"),
-                F.bool_or(F.col("_sold") + wants > stock).alias("_fails"),
-            )
+    spark = lines.sparkSession
+    verdicts = scratch_dir(spark, "verdicts")
+    kinds = "customer_id {}, fits boolean, fails boolean".format(
+        lines.schema["customer_id"].dataType.simpleString()
+    )
+    lines = lines.withColumn("_taken", F.lit(False)).withColumn("_ahead", nothing)
+    small, number = False, 0
+    while True:
+        small = small or at_most(lines, small_rows)
+        total = plain_running_totals if small else running_totals
+        open_lines = pin(
+            total(lines, "product_id", order, totals)
+            .filter(~taken)
+            .withColumn("_ahead", F.col("_ahead") + F.col("_sold"))
         )
-        judged = lines.join(verdict, "customer_id", "left")
-        going = judged.filter(~F.coalesce(F.col("_fails"), F.lit(False)))
-        lines = pin(
-            going.withColumn("_taken", taken | F.coalesce(F.col("_fits"), F.lit(False))).drop("_fits", "_fails")
+        room = F.col("stock") - F.col("_ahead")
+        open_lines.groupBy("customer_id").agg(
+            F.bool_and(F.col("_open") <= room).alias("fits"), F.bool_or(wants > room).alias("fails")
+        ).write.mode("overwrite").parquet(f"{verdicts}/round={number}")
+        verdict = spark.read.schema(kinds).parquet(f"{verdicts}/round={number}")
+        if verdict.filter(~F.col("fits") & ~F.col("fails")).isEmpty():
+            break
+        lines = (
+            open_lines.drop("_open", "_sold", "_taken")
+            .join(verdict.filter(~F.col("fails")), "customer_id")
+            .withColumnRenamed("fits", "_taken")
+            .drop("fails")
         )
-    return lines
+        number += 1
+    return spark.read.schema(kinds).parquet(verdicts).filter(F.col("fails")).select("customer_id")
 
 
 def checkout_batch(
@@ -240,13 +261,7 @@ def checkout_batch(
             "customer_id", "placed_at", "product_id", "quantity", "stock"
         )
     )
-    through = _settle(disputed, small_rows)
-    refused = (
-        disputed.select("customer_id")
-        .distinct()
-        .join(through.select("customer_id"), "customer_id", "left_anti")
-        .unionByName(hopeless)
-    )
+    refused = _settle(disputed, small_rows).unionByName(hopeless)
     accepted = lines.join(refused, "customer_id", "left_anti")
     orders = accepted.select(
         "customer_id",

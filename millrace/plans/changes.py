@@ -116,9 +116,7 @@ def state_reconciliation(shop: Shop):
     select 'products', count(*) from products union all select 'inventory', count(*) from inventory union all
     select 'orders', count(*) from shop_orders union all select 'order_items', count(*) from order_items""")
 def table_row_counts(shop: Shop):
-    tables = shop.tables()
-    counted = evolve.reconcile(tables, tables, {})
-    return counted.select("table_name", F.col("after_rows").alias("rows"))
+    return evolve.table_figures(shop.tables(), {}).select("table_name", "rows")
 
 
 @query("""select 'email_verified' as column_name, 'only production' as drift, 'boolean' as data_type,

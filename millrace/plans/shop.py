@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from datetime import datetime
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ SQL_VIEWS = {
     "products": """select p_partkey as id, p_name as name, cast(p_retailprice as decimal(10,2)) as price, p_type as category from part""",
     "inventory": """select p_partkey as product_id, cast((p_partkey * 37) % 201 as int) as quantity, case p_partkey % 3 when 0 then 'US-East' when 1 then 'US-West' else 'EU-Central' end as warehouse, cast(5 + 5 * (p_partkey % 4) as int) as reorder_level from part""",
     "customers": """select c_custkey as id, c_name as name, concat('user', cast(c_custkey as varchar(20)), '@example.com') as email, (c_custkey % 3 = 0) as email_verified from customer""",
-    "shop_orders": """select o_orderkey as id, o_custkey as customer_id, o_orderkey % 200 as product_id, cast(1 + o_orderkey % 3 as int) as quantity, cast(o_totalprice * 0.002 as decimal(10,2)) as total, case o_custkey % 4 when 0 then 'USD' when 1 then 'EUR' when 2 then 'GBP' else 'JPY' end as currency, o_orderdate as order_date, case o_orderstatus when 'F' then 'delivered' when 'O' then 'shipped' else 'pending' end as status from orders""",
+    "shop_orders": """select o_orderkey as id, o_custkey as customer_id, o_orderkey % 200 as product_id, cast(1 + o_orderkey % 3 as int) as quantity, cast(cast(o_totalprice as decimal(12,2)) * 0.002 as decimal(10,2)) as total, case o_custkey % 4 when 0 then 'USD' when 1 then 'EUR' when 2 then 'GBP' else 'JPY' end as currency, o_orderdate as order_date, case o_orderstatus when 'F' then 'delivered' when 'O' then 'shipped' else 'pending' end as status from orders""",
     "order_items": """select l_orderkey as order_id, l_linenumber as line_no, l_partkey as product_id, cast(l_quantity as int) as quantity, cast(l_extendedprice as decimal(10,2)) as line_total from lineitem""",
     "exchange_rates": """select * from (values (1,'USD','US Dollar',cast(1.000000 as decimal(12,6))),(2,'EUR','Euro',cast(1.085000 as decimal(12,6))),(3,'GBP','British Pound',cast(1.265000 as decimal(12,6))),(4,'JPY','Japanese Yen',cast(0.006700 as decimal(12,6)))) t(id, currency_code, currency_name, rate_to_usd)""",
     "campaigns": """select * from (values ('Spring Kickoff','spring_email'),('Loyalty Push','loyalty_push'),('Cross-Channel Demo','paid_social')) t(campaign, utm_source)""",
@@ -185,7 +186,7 @@ class Shop:
             customer.alias("customer_id"),
             (key % 200).alias("product_id"),
             (1 + key % 3).cast("int").alias("quantity"),
-            (F.col("o_totalprice") * 0.002).cast("decimal(10,2)").alias("total"),
+            (F.col("o_totalprice").cast("decimal(12,2)") * F.lit(Decimal("0.002"))).cast("decimal(10,2)").alias("total"),
             _case(customer % 4, {0: "USD", 1: "EUR", 2: "GBP"}, "JPY").alias("currency"),
             F.col("o_orderdate").alias("order_date"),
             _case(F.col("o_orderstatus"), {"F": "delivered", "O": "shipped"}, "pending").alias("status"),

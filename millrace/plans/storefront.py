@@ -292,7 +292,8 @@ def order_detail(shop: Shop):
     cast(i.line_total as double) as line_total
     from order_items i where exists (select 1 from orders_latest o where o.id = i.order_id)""")
 def order_items_kept(shop: Shop):
-    live = latest_change(shop.order_changes, "id", "seq").filter(F.col("op") != "delete")
+    changes = shop.order_changes.select("id", "seq", "op")
+    live = latest_change(changes, "id", "seq").filter(F.col("op") != "delete")
     return cascade_delete(shop.order_items, live, "order_id", "id").select(*shop.order_items.columns)
 
 

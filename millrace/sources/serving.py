@@ -86,25 +86,33 @@ class ServingCopy:
         last = self._current()
         return self.spark.read.parquet(last.folder) if last else None
 
-    def _changes(self, after: int, schema: T.StructType) -> DataFrame | None:
+    def _changes(self, columns: Sequence[T.StructField]) -> DataFrame | None:
+        schema = T.StructType([*columns, T.StructField("batch", T.LongType())])
         try:
-            found = self.spark.read.schema(schema).parquet(f"{self.folder}/changes")
+            return self.spark.read.schema(schema).parquet(f"{self.folder}/changes")
         except AnalysisException:
             return None
-        return found.filter(F.col("batch") > after).drop("batch")
 
-    def load(self, rows: DataFrame, seq: int = -1, batch: int = -1) -> None:
-        """Replace the whole copy (snapshot sync)."""
-        self._publish(rows.withColumn(self.seq, F.lit(seq).cast("bigint")).withColumn(self.op, F.lit(INSERT)), batch)
+    def _last_batch(self) -> int:
+        changes = self._changes([])
+        newest = changes.agg(F.max("batch")).first()[0] if changes is not None else None
+        return -1 if newest is None else newest
+
+    def load(self, rows: DataFrame, seq: int = -1) -> None:
+        """Replace the whole copy (snapshot sync); earlier changes are done with."""
+        first = rows.withColumn(self.seq, F.lit(seq).cast("bigint")).withColumn(self.op, F.lit(INSERT))
+        self._publish(first, self._last_batch())
 
     def versions(self) -> DataFrame | None:
         """The newest state of every key, deleted ones included."""
         state = self._state()
         if state is None:
             return None
-        stored = T.StructType([*state.schema.fields, T.StructField("batch", T.LongType())])
-        changes = self._changes(self._current().batch, stored)
-        return state if changes is None else merge_versions(state, changes, self.key, self.seq, self.op)
+        changes = self._changes(state.schema.fields)
+        if changes is None:
+            return state
+        later = changes.filter(F.col("batch") > self._current().batch).drop("batch")
+        return merge_versions(state, later, self.key, self.seq, self.op)
 
     def read(self) -> DataFrame:
         """The rows of the copy as of the last published or streamed change."""

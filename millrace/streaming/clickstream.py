@@ -62,10 +62,20 @@ def ingest_json_events(
     return run_to_end(to_files(marked, target, checkpoint, partition_by="rejected"))
 
 
+def _ingested(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    extra = [T.StructField("_corrupt_record", T.StringType()), T.StructField("rejected", T.BooleanType())]
+    return spark.read.schema(T.StructType([*schema.fields, *extra])).parquet(target)
+
+
 def accepted_events(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """What the ingest job accepted, ready to be streamed or read."""
-    stored = T.StructType([*schema.fields, T.StructField("rejected", T.BooleanType())])
-    return spark.read.schema(stored).parquet(target).filter(~F.col("rejected")).drop("rejected")
+    """What the ingest job accepted."""
+    return _ingested(spark, target, schema).filter(~F.col("rejected")).select(*schema.fieldNames())
+
+
+def rejected_events(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """The text of what it could not take."""
+    rejected = _ingested(spark, target, schema).filter(F.col("rejected"))
+    return rejected.select(F.col("_corrupt_record").alias("value"))
 
 
 def adapt_live_events(live: DataFrame, identity: Column | None = None) -> DataFrame:
