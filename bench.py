@@ -32,6 +32,8 @@ HEADLINE = [
     "constraint_report",
     "query_patterns",
     "working_set",
+    "silver_stream",
+    "continuous_sync_stream",
 ]
 
 

@@ -22,7 +22,15 @@ from millrace.functions.text import (
     strip_nul,
     surrogate_key,
 )
-from millrace.functions.times import epoch_seconds, event_time, sale_end
+from millrace.functions.times import (
+    epoch_seconds,
+    event_time,
+    from_micros,
+    instant,
+    iso_text,
+    moment,
+    sale_end,
+)
 
 __all__ = [
     "before_image_label",
@@ -31,9 +39,13 @@ __all__ = [
     "effective_price",
     "epoch_seconds",
     "event_time",
+    "from_micros",
     "in_usd",
+    "instant",
+    "iso_text",
     "loyalty_points",
     "loyalty_tier",
+    "moment",
     "order_priority",
     "percent",
     "query_pattern",

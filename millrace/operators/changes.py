@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions import moment
 from millrace.operators.joins import insert_ignore, names
 
 INSERT, UPDATE, DELETE = "insert", "update", "delete"
@@ -51,10 +52,10 @@ def apply_changes(
 
 
 def as_of(
-    changes: DataFrame, key: str | Sequence[str], seq: str, time: str, moment: datetime, op: str = "op"
+    changes: DataFrame, key: str | Sequence[str], seq: str, time: str, when: datetime, op: str = "op"
 ) -> DataFrame:
     """The table the log described at a moment."""
-    until = changes.filter(F.col(time) <= F.lit(moment).cast("timestamp_ntz"))
+    until = changes.filter(F.col(time) <= moment(when))
     return latest_change(until, key, seq, op).filter(F.col(op) != DELETE).drop(op, seq, time)
 
 

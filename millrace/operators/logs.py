@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions import epoch_seconds, query_pattern
+from millrace.functions import epoch_seconds, from_micros, query_pattern
 
 # Trailing windows in minutes, on a five-minute grid.
 WINDOW_MINUTES = (5, 15, 60)
@@ -35,8 +33,7 @@ def slowest_patterns(log: DataFrame, n: int = 20) -> DataFrame:
 
 
 def _grid_end(index: Column) -> Column:
-    seconds = (index * (GRID_MINUTES * 60)).cast("decimal(20,6)")
-    return F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return from_micros(index * (GRID_MINUTES * 60 * 1_000_000))
 
 
 def working_set(events: DataFrame, key: str, ts: str = "ts", approximate: bool = False) -> DataFrame:

@@ -7,11 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions import loyalty_points, loyalty_tier, order_priority
+from millrace.functions import loyalty_points, loyalty_tier, moment, order_priority
 from millrace.operators.evolve import update_where
-from millrace.operators.joins import insert_ignore
-
-MEMBERS = "email string, tier string, enrolled_at timestamp_ntz, total_earned bigint"
+from millrace.operators.joins import insert_ignore, one_per_key
 
 
 def backfill_points(customers: DataFrame, orders: DataFrame) -> DataFrame:
@@ -34,12 +32,10 @@ def enroll_members(
     fresh = customers.filter(F.col("loyalty_points") > 0).select(
         "email",
         loyalty_tier(F.col("loyalty_points")).alias("tier"),
-        F.lit(now).cast("timestamp_ntz").alias("enrolled_at"),
+        moment(now).alias("enrolled_at"),
         F.col("loyalty_points").alias("total_earned"),
     )
-    if members is None:
-        members = customers.sparkSession.createDataFrame([], MEMBERS)
-    return insert_ignore(members, fresh, "email")
+    return one_per_key(fresh, "email") if members is None else insert_ignore(members, fresh, "email")
 
 
 def leaderboard(customers: DataFrame, n: int = 10) -> DataFrame:

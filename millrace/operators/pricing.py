@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions import effective_price, loyalty_points, sale_price
+from millrace.functions import effective_price, loyalty_points, moment, sale_price
 from millrace.operators.joins import lookup_join
 from millrace.operators.ordering import plain_running_totals, running_totals
 from millrace.session import at_most, pin, scratch_dir
@@ -26,9 +26,8 @@ def active_promotions(promotions: DataFrame, as_of: datetime | None = None) -> D
     live = promotions.filter(F.col("is_active"))
     if as_of is None:
         return live
-    moment = F.lit(as_of).cast("timestamp_ntz")
-    started = F.coalesce(F.col("start_date") <= moment, F.lit(True))
-    running = F.coalesce(F.col("end_date") >= moment, F.lit(True))
+    started = F.coalesce(F.col("start_date") <= moment(as_of), F.lit(True))
+    running = F.coalesce(F.col("end_date") >= moment(as_of), F.lit(True))
     return live.filter(started & running)
 
 

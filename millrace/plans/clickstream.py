@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from millrace.functions import epoch_seconds, event_time, sale_end
+from millrace.functions import epoch_seconds, event_time, iso_text, sale_end
 from millrace.operators import demand as d
 from millrace.plans.registry import query
 from millrace.plans.shop import Shop
@@ -79,8 +79,8 @@ def latest_events(shop: Shop):
     from clickstream_bronze where event_type in ('view', 'click', 'add_to_cart')
     and product_id is not null and event_ts is not null""")
 def live_events_adapted(shop: Shop):
-    text = F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-    live = shop.bronze.select("event_type", "product_id", text.alias("event_ts"))
+    sent = iso_text(F.col("event_ts"))
+    live = shop.bronze.select("event_type", "product_id", sent.alias("event_ts"))
     return d.clean_events(adapt_live_events(live)).select("event_type", "product_id", "event_ts")
 
 

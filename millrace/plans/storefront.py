@@ -187,8 +187,8 @@ def cart_pricing(shop: Shop):
       on l.customer_id = t.customer_id
     left join customers k on k.id = t.customer_id left join members b on b.email = k.email""")
 def cart_totals(shop: Shop):
-    people = loyalty.backfill_points(shop.customers, shop.orders)
-    return pricing.cart_totals(shop.carts, _prices(shop), people, loyalty.enroll_members(people, NOW))
+    members = loyalty.enroll_members(loyalty.backfill_points(shop.customers, shop.orders), NOW)
+    return pricing.cart_totals(shop.carts, _prices(shop), shop.customers, members)
 
 
 # Serves the carts one by one, as a loop over their numbers.

@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions import moment
+
 # The shop's categories and how often shoppers view each.
 CATEGORY_WEIGHTS = {"Electronics": 4, "Clothing": 3, "Books": 1, "Home": 2, "Sports": 2}
 WAREHOUSES = ("US-East", "US-West", "EU-Central")
@@ -93,7 +95,7 @@ def generate_clickstream(
     )
     happened = F.aggregate(F.transform(views, visit), nothing, add, lambda state: state["events"])
     minutes_before = _between(_draw(seed, "start", session), 0, 24 * 60)
-    start = F.lit(end).cast("timestamp_ntz") - F.make_dt_interval(mins=minutes_before)
+    start = moment(end) - F.make_dt_interval(mins=minutes_before)
     return (
         spark.range(sessions)
         .select(
@@ -149,7 +151,7 @@ def generate_store(
         .withColumn("rating", _weighted(_draw(seed, "rating", F.col("product_id"), F.col("customer_id")), RATING_WEIGHTS))
         .withColumn(
             "review_date",
-            F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz")
+            moment(datetime(2024, 1, 1))
             + F.make_dt_interval(
                 days=_between(_draw(seed, "day", F.col("product_id"), F.col("customer_id")), 0, 27)
             ),

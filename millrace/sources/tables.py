@@ -57,6 +57,17 @@ def overwrite(df: DataFrame, name: str) -> None:
     spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
 
 
+def store_keyed(df: DataFrame, name: str, key: str | Sequence[str], buckets: int) -> None:
+    """Store a table bucketed and sorted by its key.
+
+    Two tables stored alike are compared, merged or joined on the key without
+    a shuffle of either.
+    """
+    first, *others = [key] if isinstance(key, str) else list(key)
+    bucketed = df.repartition(buckets, first, *others).write.format("parquet").mode("overwrite")
+    bucketed.bucketBy(buckets, first, *others).sortBy(first, *others).saveAsTable(name)
+
+
 def append(df: DataFrame, name: str) -> None:
     df.select(*df.sparkSession.table(name).columns).write.mode("append").saveAsTable(name)
 

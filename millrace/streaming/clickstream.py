@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions import event_time
+from millrace.functions import event_time, instant, iso_text
 from millrace.operators.demand import EVENT_KEY, demand_table, funnel_counts, product_labels
 from millrace.operators.joins import lookup_join
 from millrace.operators.quality import clickstream_rules, keep_valid, violation_counts
@@ -23,11 +23,9 @@ _SPREAD = 32
 
 
 def event_to_json(events: DataFrame) -> DataFrame:
-    """One JSON text per event, times as ISO-8601 with their UTC offset."""
+    """One JSON text per event, zone-less times as ISO-8601 in UTC."""
     columns = [
-        F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias(f.name)
-        if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))
-        else F.col(f.name)
+        iso_text(F.col(f.name)).alias(f.name) if f.dataType == T.TimestampNTZType() else F.col(f.name)
         for f in events.schema
     ]
     return events.select(F.to_json(F.struct(*columns)).alias("value"))
@@ -99,7 +97,7 @@ def dedup_events(events: DataFrame, key: Sequence[str], horizon: str | None = No
     """
     if horizon is None:
         return events.dropDuplicates(list(key))
-    timed = events.withColumn("_time", F.to_timestamp(F.col("event_ts")))
+    timed = events.withColumn("_time", instant(F.col("event_ts")))
     return timed.withWatermark("_time", horizon).dropDuplicatesWithinWatermark(list(key)).drop("_time")
 
 

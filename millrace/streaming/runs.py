@@ -26,6 +26,11 @@ def run_to_end(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+def keep_running(writer: DataStreamWriter, every: str) -> StreamingQuery:
+    """Look for new data at an interval, such as ``5 seconds``, until stopped."""
+    return writer.trigger(processingTime=every).start()
+
+
 def to_files(df: DataFrame, folder: str, checkpoint: str, partition_by: str | None = None) -> DataStreamWriter:
     """Append to a folder; its log makes every batch count exactly once."""
     writer = (

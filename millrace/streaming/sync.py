@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.sources.serving import ServingCopy
-from millrace.streaming.runs import run_to_end, to_batches
+from millrace.streaming.runs import keep_running, run_to_end, to_batches
 
 
 def sync_continuous(
-    changes: DataFrame, copy: ServingCopy, checkpoint: str, compact_every: int | None = None
-) -> None:
+    changes: DataFrame,
+    copy: ServingCopy,
+    checkpoint: str,
+    compact_every: int | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
     """Upsert a stream of changes; batches may repeat and come out of order.
 
     A batch costs as much as it brings.  Every ``compact_every`` batches the
-    copy is rewritten as a whole, which keeps reading it cheap.
+    copy is rewritten as a whole, which keeps reading it cheap.  With ``every``
+    the query goes on looking for changes at that interval; without, it works
+    off what is there and ends.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
@@ -22,4 +29,5 @@ def sync_continuous(
         if compact_every and (number + 1) % compact_every == 0:
             copy.compact(number)
 
-    run_to_end(to_batches(changes, apply, checkpoint))
+    writer = to_batches(changes, apply, checkpoint)
+    return keep_running(writer, every) if every else run_to_end(writer)

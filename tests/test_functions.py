@@ -131,6 +131,11 @@ def test_query_pattern(spark, query, pattern):
         ("2026-07-29T10:15:42.123456+00:00", datetime(2026, 7, 29, 10, 15, 42, 123456)),
         ("2026-07-29T12:15:42+02:00", datetime(2026, 7, 29, 10, 15, 42)),
         ("2026-07-29T10:15:42Z", datetime(2026, 7, 29, 10, 15, 42)),
+        # Around the hour that New York has twice, and the one it skips.
+        ("2026-11-01T05:30:00Z", datetime(2026, 11, 1, 5, 30)),
+        ("2026-11-01T06:30:00Z", datetime(2026, 11, 1, 6, 30)),
+        ("2026-03-08T02:30:00+00:00", datetime(2026, 3, 8, 2, 30)),
+        ("1969-12-31T23:59:59.5Z", datetime(1969, 12, 31, 23, 59, 59, 500000)),
         ("yesterday", None),
         (None, None),
     ],
@@ -140,6 +145,8 @@ def test_event_time(spark, text, time):
         spark.conf.set("spark.sql.session.timeZone", zone)
         try:
             assert one(spark, f.event_time(F.col("t")), "t string", text) == time
+            there_and_back = f.event_time(f.iso_text(F.col("t")))
+            assert one(spark, there_and_back, "t timestamp_ntz", time) == time
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
 

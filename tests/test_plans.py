@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from millrace.operators import demand
 from millrace.operators.catalog import latest_reviews
+from millrace.operators.changes import apply_changes, change_set, choose_sync_mode
 from millrace.operators.joins import lookup_join
 from millrace.plans.shop import Shop
+from millrace.sources import tables
 from tests.conftest import DATA
 
 STREAMS = {name for name in queries() if name.endswith("_stream")}
@@ -57,6 +59,28 @@ def test_latest_reviews_are_trimmed_before_the_shuffle(spark, capsys):
     assert "WindowGroupLimit" in plan(latest_reviews(shop.reviews, shop.customers), capsys)
 
 
+def test_tables_stored_by_key_are_compared_without_a_shuffle(spark, no_broadcast, capsys):
+    shop = Shop(spark, DATA)
+    old = shop.orders.select("id", "total", "status")
+    tables.store_keyed(old, "orders_old", "id", 8)
+    tables.store_keyed(old.withColumn("status", F.lit("new")), "orders_new", "id", 8)
+    before, after = spark.table("orders_old"), spark.table("orders_new")
+    changed = change_set(before, after, "id")
+    assert "Exchange" not in plan(changed, capsys)
+    assert changed.count() == old.filter("status <> 'new'").count()
+    text = plan(choose_sync_mode(before, after, "id"), capsys)
+    assert "hashpartitioning" not in text
+
+
+def test_small_log_does_not_shuffle_the_table(spark, capsys):
+    shop = Shop(spark, DATA)
+    log = shop.order_changes.filter("op <> 'insert'").limit(50)
+    merged = apply_changes(shop.orders.select("id", "total", "status"), log, "id", "seq")
+    merged.collect()
+    final = plan(merged, capsys).split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+
+
 def test_hot_key_is_split_by_adaptive_execution(spark, no_broadcast, capsys):
     """A third of all facts has one key; its partition is read in pieces."""
     settings = {

@@ -121,6 +121,23 @@ def test_continuous_sync_over_late_files(spark, shop, folder, compact_every):
     assert rows(copy.read()) == expected
 
 
+def test_continuous_sync_keeps_up_until_stopped(spark, shop, folder):
+    changes = shop.order_changes
+    copy = ServingCopy(spark, f"{folder}/copy", "id")
+    base = changes.select("id", "customer_id", "total", "status").limit(0)
+    copy.load(base)
+    changes.filter("op = 'insert'").write.parquet(f"{folder}/feed")
+    feed = file_stream(spark, f"{folder}/feed", changes.schema)
+    query = sync_continuous(feed, copy, f"{folder}/state", every="1 second")
+    try:
+        query.processAllAvailable()
+        changes.filter("op <> 'insert'").write.mode("append").parquet(f"{folder}/feed")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(copy.read()) == rows(apply_changes(base, changes, "id", "seq"))
+
+
 def test_failed_stream_raises(spark, folder):
     spark.range(5).write.parquet(f"{folder}/feed")
     stream = file_stream(spark, f"{folder}/feed", spark.range(1).schema)
