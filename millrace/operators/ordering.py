@@ -15,6 +15,8 @@ _UP_TO = (Window.unboundedPreceding, Window.currentRow)
 # A per-key limit up to this many rows is applied before the shuffle by Spark
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 _EARLY_LIMIT = 1000
+# monotonically_increasing_id() keeps the place in the partition in these bits.
+_PLACE_BITS = 33
 
 
 def _in_ranges(df: DataFrame, order: Sequence[Column], parts: int | None) -> DataFrame:
@@ -25,7 +27,13 @@ def _in_ranges(df: DataFrame, order: Sequence[Column], parts: int | None) -> Dat
     wherever it is used.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pin(df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # Partition number and place in the sorted partition, in one number.
+    return pin(
+        ranged.withColumn("_spot", F.monotonically_increasing_id())
+        .withColumn("_range", F.shiftright("_spot", _PLACE_BITS))
+        .withColumn("_spot", F.col("_spot").bitwiseAND((1 << _PLACE_BITS) - 1))
+    )
 
 
 def number_rows(
@@ -38,8 +46,9 @@ def number_rows(
 ) -> DataFrame:
     """Number all rows densely; ``order`` must be total.
 
-    Rows are numbered inside ranges of the order and shifted by the sizes of
-    the ranges before.  Only one row per range meets in a single task.  With
+    Each row's place in its sorted range is shifted by the sizes of the ranges
+    before, so the rows are shuffled once and only one row per range meets in a
+    single task.  With
     ``small_rows`` a table checked to be no larger takes one plain window.
     """
     if small_rows and at_most(df, small_rows):
@@ -48,13 +57,15 @@ def number_rows(
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_range").rowsBetween(*_BEFORE))
     shifts = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_shift"))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return (
-        ranged.withColumn("_inside", inside)
-        .join(shifts, "_range")
-        .withColumn(name, F.col("_shift") + F.col("_inside") + (start - 1))
-        .drop("_range", "_inside", "_shift")
-    )
+    number = F.col("_shift") + F.col("_spot") + start
+    return ranged.join(shifts, "_range").select(*df.columns, number.alias(name))
+
+
+def continue_ids(df: DataFrame, order: Sequence[Column], held: DataFrame, key: str = "id") -> DataFrame:
+    """Give new rows the ids after the highest one held, in the given order."""
+    last = held.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint")).scalar()
+    numbered = number_rows(df, order, "_new")
+    return numbered.select((F.col("_new") + last).alias(key), *df.columns)
 
 
 def plain_running_totals(
@@ -95,7 +106,8 @@ def running_totals(
     )
     piece = Window.partitionBy(*groups, "_range").orderBy(*order).rowsBetween(*_UP_TO)
     summed = ranged.select(
-        *df.columns, "_range", *[F.sum(f"_v_{n}").over(piece).alias(f"_p_{n}") for n in totals]
+        *df.columns,
+        "_range", *[F.sum(f"_v_{n}").over(piece).alias(f"_p_{n}") for n in totals]
     )
     return summed.join(carried, [*groups, "_range"]).select(
         *df.columns,
@@ -104,7 +116,7 @@ def running_totals(
 
 
 def page(
-    df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0, near_rows: int = 100_000
+    df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0, near_rows: int = 1_000
 ) -> DataFrame:
     """Rows ``offset + 1`` to ``offset + limit`` of a total order.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import effective_price, loyalty_points, moment, sale_price
 from millrace.operators.joins import lookup_join
-from millrace.operators.ordering import plain_running_totals, running_totals
+from millrace.operators.ordering import continue_ids, plain_running_totals, running_totals
 from millrace.session import at_most, pin, scratch_dir
 
 
@@ -168,6 +168,28 @@ class Checkout(NamedTuple):
     points: DataFrame
 
 
+class PlacedOrders(NamedTuple):
+    orders: DataFrame
+    order_items: DataFrame
+
+
+def place_orders(checkout: Checkout, held_orders: DataFrame) -> PlacedOrders:
+    """The new orders with ids that go on from the held ones, and their lines.
+
+    A cart becomes one order, with one line, per product.
+    """
+    order = [F.asc(c) for c in ("order_date", "customer_id", "product_id")]
+    orders = continue_ids(checkout.orders, order, held_orders)
+    lines = orders.select(
+        F.col("id").alias("order_id"),
+        "product_id",
+        "quantity",
+        "unit_price",
+        F.col("total").alias("line_total"),
+    )
+    return PlacedOrders(orders.drop("unit_price"), lines)
+
+
 def _settle(lines: DataFrame, small_rows: int) -> DataFrame:
     """The carts of the disputed lines that fail, serving carts in order.
 

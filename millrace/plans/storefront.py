@@ -228,6 +228,17 @@ def checkout_batch(shop: Shop):
     return _checkout(shop).orders
 
 
+@query(f"""{_SERVED}
+    select (select max(id) from shop_orders)
+        + row_number() over (order by o.placed_at, c.customer_id, c.product_id) as order_id,
+      cast(c.product_id as bigint) as product_id, c.quantity, cast(p.price as double) as unit_price,
+      cast(p.price * c.quantity as double) as line_total
+    from carts c join outcome o on o.customer_id = c.customer_id join products p on p.id = c.product_id
+    where o.accepted""")
+def checkout_order_items(shop: Shop):
+    return pricing.place_orders(_checkout(shop), shop.orders).order_items
+
+
 @query(f"""{_SERVED}
     select c.customer_id, count(*) as lines, cast(sum(c.quantity) as bigint) as items
     from carts c join outcome o on o.customer_id = c.customer_id where not o.accepted group by c.customer_id""")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.operators import catalog, demand, evolve, finance, logs, loyalty, quality
 from millrace.operators.joins import Child, insert_ignore, lookup_join, one_per_key, preaggregate_join, select_available, where_all
-from millrace.operators.ordering import latest_per_key, number_rows, page, running_totals
+from millrace.operators.ordering import continue_ids, latest_per_key, number_rows, page, running_totals
 from tests.conftest import rows
 
 
@@ -72,6 +72,13 @@ def test_number_rows_over_ties(spark, small_rows):
     assert [got[p] for p in expected] == list(range(600))
 
 
+def test_ids_go_on_from_the_highest(spark):
+    fresh = spark.createDataFrame([("b",), ("a",)], "v string")
+    held = spark.createDataFrame([(7,), (3,)], "id bigint")
+    assert rows(continue_ids(fresh, [F.asc("v")], held)) == [(8, "a"), (9, "b")]
+    assert rows(continue_ids(fresh, [F.asc("v")], held.limit(0))) == [(1, "a"), (2, "b")]
+
+
 @pytest.mark.parametrize("small_rows", [0, 10_000])
 def test_running_totals_cross_ranges(spark, small_rows):
     df = _skewed(spark)
