@@ -1,6 +1,6 @@
 """Joins and filters that keep their result whole and their tasks even.
 
-No operator here hints a broadcast.  Spark broadcasts a side when its measured
+No join here hints a broadcast.  Spark broadcasts a side when its measured
 size is under ``spark.sql.autoBroadcastJoinThreshold``; otherwise the join is
 shuffled and adaptive execution splits the partitions of hot keys.
 """

@@ -6,7 +6,6 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.plans.shop import Shop, with_views
@@ -32,15 +31,12 @@ def query(sql: str | None = None, name: str | None = None):
 
 def plain_types(df: DataFrame) -> DataFrame:
     """Numbers as both engines print them: bigint and double."""
+    small = (T.IntegerType, T.ShortType, T.ByteType)
     columns = []
-    for field in df.schema:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
-        elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            column = column.cast("bigint")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+    for name, kind in ((f"`{f.name}`", f.dataType) for f in df.schema):
+        plain = "double" if isinstance(kind, T.DecimalType) else "bigint" if isinstance(kind, small) else None
+        columns.append(f"cast({name} as {plain}) as {name}" if plain else name)
+    return df.selectExpr(*columns)
 
 
 def load() -> dict[str, Query]:

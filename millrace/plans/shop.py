@@ -8,10 +8,9 @@ from __future__ import annotations
 
 import re
 from datetime import datetime
-from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.evolve import Tables
@@ -71,66 +70,43 @@ def with_views(sql: str) -> str:
     return "with " + ", ".join(views) + " " + text if views else text
 
 
-def _text(column: str) -> Column:
-    return F.col(column).cast("string")
-
-
-def _case(column: Column, labels: dict, otherwise: str) -> Column:
-    result = F.lit(otherwise)
-    for value, label in reversed(labels.items()):
-        result = F.when(column == value, label).otherwise(result)
-    return result
-
-
 def raw_events(events: DataFrame) -> DataFrame:
     """Input events as shop events; holds for batches and streams."""
-    kind = F.when(F.col("event_type") == "purchase", "add_to_cart").otherwise(F.col("event_type"))
-    product = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-    return events.select(
+    return events.selectExpr(
         "event_id",
         "user_id",
         "ts",
-        kind.alias("event_type"),
-        F.when(F.col("event_id") % 97 != 0, product).alias("product_id"),
+        "case event_type when 'purchase' then 'add_to_cart' else event_type end as event_type",
+        "case when event_id % 97 <> 0 then cast(regexp_extract(props, '[0-9]+', 0) as int) end as product_id",
     )
 
 
 def clickstream_bronze(events: DataFrame) -> DataFrame:
     """The at-least-once feed: every tenth event arrives twice."""
-    deliveries = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    deliveries = "explode(case when event_id % 10 = 0 then array(1, 2) else array(1) end) as delivery"
     return (
         raw_events(events)
-        .withColumn("_delivery", F.explode(deliveries))
-        .select(
-            F.concat(F.lit("sess-"), _text("user_id")).alias("session_id"),
-            "event_type",
-            "product_id",
-            F.col("ts").alias("event_ts"),
-        )
+        .selectExpr("*", deliveries)
+        .selectExpr("concat('sess-', user_id) as session_id", "event_type", "product_id", "ts as event_ts")
     )
 
 
 def order_changes(orders: DataFrame) -> DataFrame:
     """A change log of the orders: inserts, cancellations, deletions."""
-    rows = F.filter(
-        F.array(
-            _change(F.col("status"), "insert", 0, 0),
-            F.when(F.col("id") % 5 == 0, _change(F.lit("cancelled"), "update", 1, 30)),
-            F.when(F.col("id") % 11 == 0, _change(F.col("status"), "delete", 2, 60)),
-        ),
-        lambda change: change.isNotNull(),
-    )
-    return orders.select("id", "customer_id", "total", F.explode(rows).alias("_change")).select(
-        "id", "customer_id", "total", "_change.*"
-    )
 
+    def change(status: str, op: str, place: int, days: int, condition: str) -> str:
+        row = f"named_struct('status', {status}, 'op', '{op}', 'seq', id * 10 + {place}, "
+        return f"if({condition}, {row} 'commit_ts', order_date + interval {days} day), null)"
 
-def _change(status: Column, op: str, place: int, days: int) -> Column:
-    return F.struct(
-        status.alias("status"),
-        F.lit(op).alias("op"),
-        (F.col("id") * 10 + place).alias("seq"),
-        (F.col("order_date") + F.make_dt_interval(F.lit(days))).alias("commit_ts"),
+    log = ", ".join(
+        [
+            change("status", "insert", 0, 0, "true"),
+            change("'cancelled'", "update", 1, 30, "id % 5 = 0"),
+            change("status", "delete", 2, 60, "id % 11 = 0"),
+        ]
+    )
+    return orders.selectExpr(
+        "id", "customer_id", "total", f"inline(filter(array({log}), c -> c is not null))"
     )
 
 
@@ -152,54 +128,52 @@ class Shop:
 
     @cached_property
     def products(self) -> DataFrame:
-        return self.table("part").select(
-            F.col("p_partkey").alias("id"),
-            F.col("p_name").alias("name"),
-            F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
-            F.col("p_type").alias("category"),
+        return self.table("part").selectExpr(
+            "p_partkey as id",
+            "p_name as name",
+            "cast(p_retailprice as decimal(10,2)) as price",
+            "p_type as category",
         )
 
     @cached_property
     def inventory(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.table("part").select(
-            key.alias("product_id"),
-            ((key * 37) % 201).cast("int").alias("quantity"),
-            _case(key % 3, {0: "US-East", 1: "US-West"}, "EU-Central").alias("warehouse"),
-            (5 + 5 * (key % 4)).cast("int").alias("reorder_level"),
+        return self.table("part").selectExpr(
+            "p_partkey as product_id",
+            "cast((p_partkey * 37) % 201 as int) as quantity",
+            "case p_partkey % 3 when 0 then 'US-East' when 1 then 'US-West' else 'EU-Central' end as warehouse",
+            "cast(5 + 5 * (p_partkey % 4) as int) as reorder_level",
         )
 
     @cached_property
     def customers(self) -> DataFrame:
-        return self.table("customer").select(
-            F.col("c_custkey").alias("id"),
-            F.col("c_name").alias("name"),
-            F.concat(F.lit("user"), _text("c_custkey"), F.lit("@example.com")).alias("email"),
-            (F.col("c_custkey") % 3 == 0).alias("email_verified"),
+        return self.table("customer").selectExpr(
+            "c_custkey as id",
+            "c_name as name",
+            "concat('user', c_custkey, '@example.com') as email",
+            "c_custkey % 3 = 0 as email_verified",
         )
 
     @cached_property
     def orders(self) -> DataFrame:
-        key, customer = F.col("o_orderkey"), F.col("o_custkey")
-        return self.table("orders").select(
-            key.alias("id"),
-            customer.alias("customer_id"),
-            (key % 200).alias("product_id"),
-            (1 + key % 3).cast("int").alias("quantity"),
-            (F.col("o_totalprice").cast("decimal(12,2)") * F.lit(Decimal("0.002"))).cast("decimal(10,2)").alias("total"),
-            _case(customer % 4, {0: "USD", 1: "EUR", 2: "GBP"}, "JPY").alias("currency"),
-            F.col("o_orderdate").alias("order_date"),
-            _case(F.col("o_orderstatus"), {"F": "delivered", "O": "shipped"}, "pending").alias("status"),
+        return self.table("orders").selectExpr(
+            "o_orderkey as id",
+            "o_custkey as customer_id",
+            "o_orderkey % 200 as product_id",
+            "cast(1 + o_orderkey % 3 as int) as quantity",
+            "cast(cast(o_totalprice as decimal(12,2)) * 0.002 as decimal(10,2)) as total",
+            "case o_custkey % 4 when 0 then 'USD' when 1 then 'EUR' when 2 then 'GBP' else 'JPY' end as currency",
+            "o_orderdate as order_date",
+            "case o_orderstatus when 'F' then 'delivered' when 'O' then 'shipped' else 'pending' end as status",
         )
 
     @cached_property
     def order_items(self) -> DataFrame:
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("line_no"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("line_total"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey as order_id",
+            "l_linenumber as line_no",
+            "l_partkey as product_id",
+            "cast(l_quantity as int) as quantity",
+            "cast(l_extendedprice as decimal(10,2)) as line_total",
         )
 
     @cached_property
@@ -212,14 +186,13 @@ class Shop:
 
     @cached_property
     def promotions(self) -> DataFrame:
-        key = F.col("id")
-        return self.products.filter(key % 4 == 0).select(
+        return self.products.filter("id % 4 = 0").selectExpr(
             "id",
-            key.alias("product_id"),
-            _case(key % 3, {0: "SPRING SALE", 1: "FLASH SALE"}, "CLEARANCE").alias("badge_text"),
-            (10 + 5 * (key % 11)).cast("decimal(5,2)").alias("discount_pct"),
-            F.lit("percentage").alias("promo_type"),
-            (key % 12 != 0).alias("is_active"),
+            "id as product_id",
+            "case id % 3 when 0 then 'SPRING SALE' when 1 then 'FLASH SALE' else 'CLEARANCE' end as badge_text",
+            "cast(10 + 5 * (id % 11) as decimal(5,2)) as discount_pct",
+            "'percentage' as promo_type",
+            "id % 12 <> 0 as is_active",
         )
 
     @cached_property
@@ -232,22 +205,20 @@ class Shop:
 
     @cached_property
     def reviews(self) -> DataFrame:
-        signups = (F.col("event_type") == "signup") & F.col("product_id").isNotNull()
-        return self.raw_events.filter(signups).select(
-            F.col("event_id").alias("id"),
+        signups = self.raw_events.filter("event_type = 'signup' and product_id is not null")
+        return signups.selectExpr(
+            "event_id as id",
             "product_id",
-            F.col("user_id").alias("customer_id"),
-            (1 + F.col("event_id") % 5).cast("int").alias("rating"),
-            F.col("ts").alias("review_date"),
+            "user_id as customer_id",
+            "cast(1 + event_id % 5 as int) as rating",
+            "ts as review_date",
         )
 
     @cached_property
     def carts(self) -> DataFrame:
-        added = (F.col("event_type") == "add_to_cart") & F.col("product_id").isNotNull()
-        return (
-            self.raw_events.filter(added)
-            .groupBy(F.col("user_id").alias("customer_id"), "product_id")
-            .agg(F.count(F.lit(1)).alias("quantity"), F.max("ts").alias("added_at"))
+        added = self.raw_events.filter("event_type = 'add_to_cart' and product_id is not null")
+        return added.groupBy(F.col("user_id").alias("customer_id"), "product_id").agg(
+            F.count(F.lit(1)).alias("quantity"), F.max("ts").alias("added_at")
         )
 
     @cached_property
@@ -256,30 +227,22 @@ class Shop:
 
     @cached_property
     def query_log(self) -> DataFrame:
-        key, customer = F.col("o_orderkey"), F.col("o_custkey")
-        by_id = F.concat(F.lit("SELECT * FROM orders  WHERE id = "), key.cast("string"))
-        by_status = F.concat(
-            F.lit("SELECT id FROM orders WHERE status = '"),
-            F.col("o_orderstatus"),
-            F.lit("' AND customer_id IN ("),
-            customer.cast("string"),
-            F.lit(", "),
-            (customer + 1).cast("string"),
-            F.lit(")"),
-        )
-        change = F.concat(F.lit("UPDATE orders2024 SET total = total - 1.25 WHERE id = "), key.cast("string"))
-        return self.table("orders").select(
-            _case(F.col("o_orderpriority"), {"1-URGENT": "storefront", "2-HIGH": "checkout"}, "reporting").alias("role"),
-            F.when(key % 3 == 0, by_id).when(key % 3 == 1, by_status).otherwise(change).alias("query"),
-            F.col("o_totalprice").cast("decimal(12,2)").alias("duration_ms"),
+        return self.table("orders").selectExpr(
+            "case o_orderpriority when '1-URGENT' then 'storefront' when '2-HIGH' then 'checkout' "
+            "else 'reporting' end as role",
+            "case o_orderkey % 3 when 0 then concat('SELECT * FROM orders  WHERE id = ', o_orderkey) "
+            "when 1 then concat('SELECT id FROM orders WHERE status = \\'', o_orderstatus, "
+            "'\\' AND customer_id IN (', o_custkey, ', ', o_custkey + 1, ')') "
+            "else concat('UPDATE orders2024 SET total = total - 1.25 WHERE id = ', o_orderkey) end as query",
+            "cast(o_totalprice as decimal(12,2)) as duration_ms",
         )
 
     @cached_property
     def operation_log(self) -> DataFrame:
-        return self.table("events").select(
-            F.col("event_type").alias("operation"),
-            _case(F.col("event_id") % 10, {0: "Error", 1: "In progress"}, "OK").alias("status"),
-            F.col("value").cast("decimal(12,2)").alias("duration_ms"),
+        return self.table("events").selectExpr(
+            "event_type as operation",
+            "case event_id % 10 when 0 then 'Error' when 1 then 'In progress' else 'OK' end as status",
+            "cast(value as decimal(12,2)) as duration_ms",
         )
 
     def tables(self) -> Tables:

@@ -14,10 +14,11 @@ from millrace.operators.demand import EVENT_KEY, demand_table, funnel_counts, pr
 from millrace.operators.joins import lookup_join
 from millrace.operators.quality import clickstream_rules, keep_valid, violation_counts
 from millrace.session import at_most
-from millrace.streaming.runs import file_stream, observed, run_to_end, to_batches, to_files
+from millrace.streaming.runs import dropped_late, file_stream, observed, run_to_end, to_batches, to_files
 
 EXPECTATIONS = "expectations"
-# Dimensions with more rows are joined by shuffle, hot products spread out.
+# Up to this many products are broadcast; beyond, the join is shuffled with
+# hot products spread out.  Adaptive execution does neither for this stream.
 _SMALL_DIMENSION = 100_000
 _SPREAD = 32
 
@@ -102,20 +103,28 @@ def dedup_events(events: DataFrame, key: Sequence[str], horizon: str | None = No
 
 
 def silver_stream(
-    bronze: DataFrame, products: DataFrame, horizon: str | None = None, spread: int | None = None
+    bronze: DataFrame,
+    products: DataFrame,
+    horizon: str | None = None,
+    small_rows: int = _SMALL_DIMENSION,
+    spread: int = _SPREAD,
 ) -> DataFrame:
     """Valid events, each once, with product name and category.
 
     Rejections are counted per delivery, before duplicates are known.
     """
+    labels = product_labels(products)
+    small = at_most(labels, small_rows)
     rules = clickstream_rules()
     watched = bronze.select(*EVENT_KEY).observe(
         EXPECTATIONS, F.count(F.lit(1)).alias("deliveries"), *violation_counts(rules)
     )
     clean = dedup_events(keep_valid(watched, rules), EVENT_KEY, horizon)
-    return lookup_join(clean, product_labels(products), "product_id", spread=spread).select(
-        *EVENT_KEY, "product_name", "category"
-    )
+    if small:
+        enriched = lookup_join(clean, F.broadcast(labels), "product_id")
+    else:
+        enriched = lookup_join(clean, labels, "product_id", spread=spread)
+    return enriched.select(*EVENT_KEY, "product_name", "category")
 
 
 def run_silver(
@@ -123,11 +132,11 @@ def run_silver(
 ) -> dict[str, int]:
     """Bring the silver files up to date; returns deliveries and rejections.
 
-    The products are read as they are when the run starts.
+    The products are read as they are when the run starts.  ``late`` counts
+    the events beyond the horizon.
     """
-    spread = None if at_most(products, _SMALL_DIMENSION) else _SPREAD
-    silver = silver_stream(bronze, products, horizon, spread)
-    return observed(run_to_end(to_files(silver, target, checkpoint)), EXPECTATIONS)
+    query = run_to_end(to_files(silver_stream(bronze, products, horizon), target, checkpoint))
+    return {**observed(query, EXPECTATIONS), "late": dropped_late(query)}
 
 
 def run_funnel(

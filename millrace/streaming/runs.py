@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
+_REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
+_KEPT_REPORTS = "100000"
+
+
 def file_stream(
     spark: SparkSession, folder: str, schema: T.StructType, kind: str = "parquet", files_per_batch: int | None = None
 ) -> DataFrame:
@@ -20,8 +24,17 @@ def file_stream(
 
 
 def run_to_end(writer: DataStreamWriter) -> StreamingQuery:
-    """Work off everything available, then stop; raise if the stream failed."""
-    query = writer.trigger(availableNow=True).start()
+    """Work off everything available, then stop; raise if the stream failed.
+
+    The reports of all batches are kept, which the totals below add up.
+    """
+    conf = SparkSession.active().conf
+    usual = conf.get(_REPORTS)
+    conf.set(_REPORTS, _KEPT_REPORTS)
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        conf.set(_REPORTS, usual)
     query.awaitTermination()
     return query
 
@@ -47,6 +60,15 @@ def to_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoi
     return df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
 
 
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows a finished stream left out because they came after the watermark."""
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )
+
+
 def observed(query: StreamingQuery, name: str) -> dict[str, int]:
     """Totals of an observation over the batches a finished stream reports."""
     totals: dict[str, int] = {}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.operators.changes import apply_changes
-from millrace.operators.demand import demand_from_silver, silver_events
+from millrace.operators.demand import clean_events, demand_from_silver, silver_events
 from millrace.sources.serving import ServingCopy
 from millrace.streaming import clickstream as cs
 from millrace.streaming.runs import file_stream, run_to_end, to_files
@@ -29,7 +29,7 @@ def test_silver_stream_equals_batch(spark, shop, folder, parts, horizon):
     metrics = silver_run(spark, shop, folder, horizon)
     expected = rows(silver_events(shop.bronze, shop.products))
     assert rows(spark.read.parquet(f"{folder}/silver")) == expected
-    assert metrics["deliveries"] == shop.bronze.count()
+    assert metrics["deliveries"] == shop.bronze.count() and metrics["late"] == 0
     kinds = F.col("event_type").isin(*schemas.EVENT_TYPES)
     assert metrics["valid_event_type"] == shop.bronze.filter(~kinds).count()
     # Deliver a part once more and go on from the checkpoint.
@@ -38,10 +38,23 @@ def test_silver_stream_equals_batch(spark, shop, folder, parts, horizon):
     assert rows(spark.read.parquet(f"{folder}/silver")) == expected
 
 
+def test_events_beyond_the_horizon_are_counted(spark, shop, folder):
+    clean = clean_events(shop.bronze)
+    clean.write.parquet(f"{folder}/feed")
+    silver_run(spark, shop, folder, "1 hour")
+    late = clean.limit(1).withColumn("event_ts", F.lit("2020-01-01").cast("timestamp_ntz"))
+    for _ in range(2):
+        late.write.mode("append").parquet(f"{folder}/feed")
+        metrics = silver_run(spark, shop, folder, "1 hour")
+        assert (metrics["deliveries"], metrics["late"]) == (1, 1)
+    assert spark.read.parquet(f"{folder}/silver").count() == clean.count()
+    assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == "100"
+
+
 def test_spread_enrichment_in_a_stream(spark, shop, folder):
     shop.bronze.write.parquet(f"{folder}/feed")
     bronze = file_stream(spark, f"{folder}/feed", schemas.BRONZE)
-    silver = cs.silver_stream(bronze, shop.products, spread=4)
+    silver = cs.silver_stream(bronze, shop.products, small_rows=0, spread=4)
     run_to_end(to_files(silver, f"{folder}/silver", f"{folder}/state"))
     assert rows(spark.read.parquet(f"{folder}/silver")) == rows(silver_events(shop.bronze, shop.products))
 
