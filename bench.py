@@ -45,7 +45,7 @@ def main() -> None:
     for name in HEADLINE:
         run = runnable(name)
         best = None
-        for _ in range(2):
+        for _ in range(3):
             start = time.perf_counter()
             run(spark, folder).write.format("noop").mode("overwrite").save()
             took = time.perf_counter() - start
