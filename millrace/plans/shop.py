@@ -208,7 +208,7 @@ class Shop:
         signups = self.raw_events.filter("event_type = 'signup' and product_id is not null")
         return signups.selectExpr(
             "event_id as id",
-            "product_id",
+            "cast(product_id as bigint) as product_id",
             "user_id as customer_id",
             "cast(1 + event_id % 5 as int) as rating",
             "ts as review_date",
@@ -217,7 +217,8 @@ class Shop:
     @cached_property
     def carts(self) -> DataFrame:
         added = self.raw_events.filter("event_type = 'add_to_cart' and product_id is not null")
-        return added.groupBy(F.col("user_id").alias("customer_id"), "product_id").agg(
+        keyed = added.selectExpr("user_id as customer_id", "cast(product_id as bigint) as product_id", "ts")
+        return keyed.groupBy("customer_id", "product_id").agg(
             F.count(F.lit(1)).alias("quantity"), F.max("ts").alias("added_at")
         )
 

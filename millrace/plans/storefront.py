@@ -33,7 +33,7 @@ def promotion_prices(shop: Shop):
     return priced(shop)
 
 
-@query(f"""with extended as (
+PROMOTION_UPDATE_SQL = f"""with extended as (
       select id, product_id, badge_text, discount_pct, promo_type, is_active, sale_price
       from priced_promotions
       union all
@@ -47,7 +47,10 @@ def promotion_prices(shop: Shop):
       promo_type, is_active,
       cast(case when discount_pct = 20 then round(sale_price * 1.25 * 0.65, 2) else sale_price end as double)
         as sale_price
-    from extended""")
+    from extended"""
+
+
+@query(PROMOTION_UPDATE_SQL)
 def promotion_update(shop: Shop):
     """Three new deals; every 20% deal becomes a 35% one."""
     held = priced(shop)

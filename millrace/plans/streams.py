@@ -1,16 +1,17 @@
-"""Streaming jobs run to their end over the given tables."""
+"""Streaming and sync jobs, run to their end over the given tables."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import event_time
 from millrace.plans.changes import LATEST_SQL
-from millrace.plans.clickstream import DEMAND_SQL, SILVER_SQL
+from millrace.plans.clickstream import DEMAND_SQL, SILVER_SQL, product_demand
 from millrace.plans.registry import query
 from millrace.plans.shop import Shop, clickstream_bronze
+from millrace.plans.storefront import PROMOTION_UPDATE_SQL, priced, promotion_update
 from millrace.schemas import BRONZE_TEXT, INPUTS
 from millrace.session import scratch_dir
-from millrace.sources.serving import ServingCopy
+from millrace.sources.serving import ServingCopy, sync_snapshot, sync_triggered
 from millrace.streaming.clickstream import (
     accepted_events,
     event_to_json,
@@ -64,3 +65,20 @@ def continuous_sync_stream(shop: Shop):
     feed = file_stream(shop.spark, f"{folder}/feed", changes.schema, files_per_batch=4)
     sync_continuous(feed, copy, f"{folder}/state", compact_every=2)
     return copy.read()
+
+
+@query(DEMAND_SQL)
+def demand_synced(shop: Shop):
+    """The demand table reloaded into a serving copy as a whole."""
+    copy = ServingCopy(shop.spark, scratch_dir(shop.spark, "demand"), "product_id")
+    sync_snapshot(product_demand(shop), copy)
+    return copy.read()
+
+
+@query(PROMOTION_UPDATE_SQL)
+def promotions_synced(shop: Shop):
+    """Promotions loaded into a serving copy; then the update's changes only."""
+    copy = ServingCopy(shop.spark, scratch_dir(shop.spark, "promotions"), "id")
+    sync_snapshot(priced(shop), copy)
+    sync_triggered(promotion_update(shop), copy)
+    return copy.read()

@@ -126,9 +126,19 @@ class ServingCopy:
 
         Costs as much as the batch, however large the copy is.
         """
-        columns = self._state().columns
-        last = latest_change(changes, self.key, self.seq, self.op)
-        last.select(*columns).write.mode("overwrite").parquet(f"{self.folder}/changes/batch={batch}")
+        fields = self._state().schema.fields
+        typed = changes.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+        last = latest_change(typed, self.key, self.seq, self.op)
+        last.write.mode("overwrite").parquet(f"{self.folder}/changes/batch={batch}")
+
+    def bring_to(self, rows: DataFrame) -> None:
+        """Send only what differs from ``rows`` (triggered sync).
+
+        For copies that no stream feeds: the batch number serves as ``seq``.
+        """
+        batch = max(self._last_batch(), self._current().batch) + 1
+        changes = change_set(self.read(), rows, self.key)
+        self.append_changes(changes.withColumnRenamed("op", self.op).withColumn(self.seq, F.lit(batch)), batch)
 
     def compact(self, upto_batch: int) -> None:
         """Fold the change batches up to one into a new full version."""
@@ -140,6 +150,11 @@ def sync_snapshot(rows: DataFrame, copy: ServingCopy) -> None:
     copy.load(to_serving_schema(clean_null_bytes(rows)))
 
 
+def sync_triggered(rows: DataFrame, copy: ServingCopy) -> None:
+    """Bring the copy up to date with the changed rows only."""
+    copy.bring_to(to_serving_schema(clean_null_bytes(rows)))
+
+
 def sync_incremental(old: DataFrame, new: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """The copy ``old`` brought to ``new`` through the change set only."""
     return apply_change_set(old, change_set(old, new, key), key)

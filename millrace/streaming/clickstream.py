@@ -10,10 +10,17 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions import event_time, instant, iso_text
-from millrace.operators.demand import EVENT_KEY, demand_table, funnel_counts, product_labels
+from millrace.operators.demand import (
+    EVENT_KEY,
+    demand_from_silver,
+    demand_table,
+    funnel_counts,
+    product_labels,
+)
 from millrace.operators.joins import lookup_join
 from millrace.operators.quality import clickstream_rules, keep_valid, violation_counts
 from millrace.session import at_most
+from millrace.sources.tables import overwrite
 from millrace.streaming.runs import dropped_late, file_stream, observed, run_to_end, to_batches, to_files
 
 EXPECTATIONS = "expectations"
@@ -171,6 +178,13 @@ def funnel_so_far(spark: SparkSession, target: str) -> DataFrame:
     )
 
 
+def refresh_gold(
+    spark: SparkSession, silver: str, order_items: DataFrame, inventory: DataFrame, table: str
+) -> None:
+    """Recompute the demand table from all silver files and replace it."""
+    overwrite(demand_from_silver(spark.read.parquet(silver), order_items, inventory), table)
+
+
 def refresh_gold_incremental(
     spark: SparkSession, funnel: str, order_items: DataFrame, inventory: DataFrame
 ) -> DataFrame:

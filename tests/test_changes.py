@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from millrace.operators import changes as ch
-from millrace.sources.serving import ServingCopy, load_snapshot, save_snapshot, sync_incremental, sync_snapshot
+from millrace.sources.serving import ServingCopy, load_snapshot, save_snapshot, sync_incremental, sync_snapshot, sync_triggered
 from tests.conftest import rows
 
 START = datetime(2024, 1, 1)
@@ -161,6 +161,25 @@ def test_copy_reload_changes_and_compaction(spark, folder):
     assert rows(copy.read()) == [(7, "only"), (8, "e")]
 
 
+def test_triggered_syncs_follow_the_source(spark, folder):
+    copy = ServingCopy(spark, f"{folder}/copy", "id")
+    chance = random.Random(8)
+
+    def table():
+        keys = chance.sample(range(30), 20)
+        return spark.createDataFrame([(k, chance.choice(["a", "b", None])) for k in keys], "id int, v string")
+
+    sync_snapshot(table(), copy)
+    for step in range(4):
+        source = table()
+        sync_triggered(source, copy)
+        assert rows(copy.read()) == rows(source)
+        if step == 2:
+            copy.compact(step)
+    sync_triggered(source, copy)
+    assert spark.read.parquet(f"{folder}/copy/changes").filter("batch = 4").isEmpty()
+
+
 def test_unfinished_version_is_not_seen(spark, folder):
     copy = ServingCopy(spark, f"{folder}/copy", "id")
     sync_snapshot(spark.createDataFrame([(1, "a")], "id int, v string"), copy)

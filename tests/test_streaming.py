@@ -71,6 +71,14 @@ def test_incremental_gold_equals_full(spark, shop, folder):
     assert rows(fresh) == rows(full)
 
 
+def test_gold_table_is_replaced(spark, shop, folder):
+    silver_events(shop.bronze, shop.products).write.parquet(f"{folder}/silver")
+    for _ in range(2):
+        cs.refresh_gold(spark, f"{folder}/silver", shop.order_items, shop.inventory, "gold_demand")
+    full = demand_from_silver(spark.read.parquet(f"{folder}/silver"), shop.order_items, shop.inventory)
+    assert rows(spark.table("gold_demand")) == rows(full)
+
+
 def test_json_ingest_keeps_bad_events_apart(spark, folder):
     good = [{"event_type": "view", "product_id": i, "event_ts": "2026-07-29T10:15:42.000001+00:00"} for i in range(5)]
     bad = ["{not json", json.dumps({**good[0], "product_id": "x"})]
