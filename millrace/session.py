@@ -26,6 +26,25 @@ CLUSTER_SETTINGS = {
 }
 
 
+_TASK_BYTES = 256 << 20
+
+
+def cluster_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job that shuffles about so many bytes on so many cores.
+
+    Enough shuffle partitions that one fits a task's memory with room to sort,
+    and never fewer than two per core; adaptive execution joins small ones.
+    Ranges of ranks and running totals follow the same number.
+    """
+    parts = max(2 * cores, -(-shuffle_bytes // _TASK_BYTES), 8)
+    return {
+        **CLUSTER_SETTINGS,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_TASK_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(_TASK_BYTES),
+    }
+
+
 def local_session(app: str = "millrace", cores: str = "8", **settings: str) -> SparkSession:
     """A local session for tests and the benchmark."""
     builder = (

@@ -9,6 +9,7 @@ from millrace.operators.catalog import latest_reviews
 from millrace.operators.changes import apply_changes, change_set, choose_sync_mode
 from millrace.operators.joins import lookup_join
 from millrace.plans.shop import Shop
+from millrace.session import cluster_settings
 from millrace.sources import tables
 from tests.conftest import DATA
 
@@ -72,6 +73,12 @@ def test_tables_stored_by_key_are_compared_without_a_shuffle(spark, no_broadcast
     assert "hashpartitioning" not in text
 
 
+def test_partitions_follow_the_data():
+    large = cluster_settings(20 << 40, 4000)
+    assert large["spark.sql.shuffle.partitions"] == str(20 * 1024 * 4)
+    assert cluster_settings(1 << 20, 4000)["spark.sql.shuffle.partitions"] == "8000"
+
+
 def test_small_log_does_not_shuffle_the_table(spark, capsys):
     shop = Shop(spark, DATA)
     log = shop.order_changes.filter("op <> 'insert'").limit(50)
