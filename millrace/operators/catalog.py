@@ -28,10 +28,24 @@ def product_rating(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("product_id").agg(_average(), F.count(F.lit(1)).alias("review_count"))
 
 
-def _ratings_of(reviews: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Ratings of a few chosen products: reviews are trimmed before grouping."""
-    keys = chosen.select(F.col("id").alias("product_id"))
-    return product_rating(reviews.join(keys, "product_id", "left_semi"))
+def _of(child: DataFrame | None, chosen: DataFrame) -> DataFrame | None:
+    """The rows of a child table that belong to a few chosen products."""
+    if child is None:
+        return None
+    return child.join(chosen.select(F.col("id").alias("product_id")), "product_id", "left_semi")
+
+
+def _with_rating(products: DataFrame, reviews: DataFrame | None) -> DataFrame:
+    """Rating and number of reviews; zero for unreviewed, or without reviews."""
+    if reviews is None:
+        none = {"avg_rating": F.lit(0.0), "review_count": F.lit(0).cast("bigint")}
+        return products.withColumns(none)
+    ratings = product_rating(reviews).withColumnRenamed("product_id", "id")
+    return products.join(ratings, "id", "left").fillna({"avg_rating": 0.0, "review_count": 0})
+
+
+def _with_points(products: DataFrame) -> DataFrame:
+    return products.withColumn("loyalty_points_earned", loyalty_points(F.col("price")))
 
 
 def _with_stock(products: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -39,16 +53,6 @@ def _with_stock(products: DataFrame, inventory: DataFrame) -> DataFrame:
     return products.join(stock, "id", "left").fillna({"stock": 0})
 
 
-def _promotions_of(promotions: DataFrame, chosen: DataFrame) -> DataFrame:
-    keys = chosen.select(F.col("id").alias("product_id"))
-    return promotions.join(keys, "product_id", "left_semi")
-
-
-def _stock_of(inventory: DataFrame, chosen: DataFrame) -> DataFrame:
-    keys = chosen.select(F.col("id").alias("product_id"))
-    return _with_stock(chosen, inventory.join(keys, "product_id", "left_semi"))
-
-
 def catalog_filter(products: DataFrame, category: str = "", search: str = "") -> DataFrame:
     return where_all(
         products,
@@ -62,8 +66,8 @@ def catalog_filter(products: DataFrame, category: str = "", search: str = "") ->
 def catalog_page(
     products: DataFrame,
     inventory: DataFrame,
-    reviews: DataFrame,
-    promotions: DataFrame,
+    reviews: DataFrame | None = None,
+    promotions: DataFrame | None = None,
     category: str = "",
     search: str = "",
     limit: int = 50,
@@ -73,15 +77,13 @@ def catalog_page(
 
     The page is cut from the products first; the child tables are then read
     only for the products on it.  ``total`` counts all matching products.
+    Reviews and promotions may not exist yet.
     """
     matching = catalog_filter(products, category, search).select("id", "name", "price", "category")
     shown = pin(page(matching, [F.asc("id")], limit, offset))
-    ratings = _ratings_of(reviews, shown).withColumnRenamed("product_id", "id")
-    cards = _stock_of(inventory, shown).join(ratings, "id", "left")
-    cards = cards.fillna({"avg_rating": 0.0, "review_count": 0})
-    cards = overlay_promotions(cards, _promotions_of(promotions, shown))
-    total = matching.agg(F.count(F.lit(1))).scalar()
-    return cards.withColumn("loyalty_points_earned", loyalty_points(F.col("price"))).withColumn("total", total)
+    cards = _with_rating(_with_stock(shown, _of(inventory, shown)), _of(reviews, shown))
+    cards = _with_points(overlay_promotions(cards, _of(promotions, shown)))
+    return cards.withColumn("total", matching.agg(F.count(F.lit(1))).scalar())
 
 
 def categories(products: DataFrame) -> DataFrame:
@@ -96,36 +98,36 @@ def store_totals(products: DataFrame, approximate: bool = False) -> DataFrame:
 
 
 def product_detail(
-    products: DataFrame, inventory: DataFrame, reviews: DataFrame, promotions: DataFrame
+    products: DataFrame,
+    inventory: DataFrame,
+    reviews: DataFrame | None = None,
+    promotions: DataFrame | None = None,
 ) -> DataFrame:
     """Every product with its stock per warehouse, rating and promotion."""
     place = inventory.select(F.col("product_id").alias("id"), "quantity", "warehouse", "reorder_level")
-    ratings = product_rating(reviews).withColumnRenamed("product_id", "id")
     detail = (
         products.select("id", "name", "price", "category")
         .join(place, "id", "left")
-        .join(ratings, "id", "left")
         .withColumnRenamed("quantity", "stock")
-        .fillna({"stock": 0, "avg_rating": 0.0, "review_count": 0})
-        .withColumn("loyalty_points_earned", loyalty_points(F.col("price")))
+        .fillna({"stock": 0})
     )
-    return overlay_promotions(detail, promotions)
+    return overlay_promotions(_with_points(_with_rating(detail, reviews)), promotions)
 
 
 def latest_reviews(reviews: DataFrame, customers: DataFrame, n: int = 20) -> DataFrame:
     """The newest reviews of every product, with the reviewer's name."""
     newest = latest_per_key(reviews, "product_id", [F.desc_nulls_last("review_date"), F.asc("id")], n)
     people = customers.select(F.col("id").alias("customer_id"), F.col("name").alias("reviewer"))
-    return lookup_join(newest, people, "customer_id", "inner").select(
-        "product_id", "position", "id", "rating", "review_date", "reviewer"
-    )
+    shown = [c for c in ("rating", "comment", "review_date") if c in reviews.columns]
+    named = lookup_join(newest, people, "customer_id", "inner")
+    return named.select("product_id", "position", "id", *shown, "reviewer")
 
 
 def top_rated(
     products: DataFrame,
     inventory: DataFrame,
     reviews: DataFrame,
-    promotions: DataFrame,
+    promotions: DataFrame | None = None,
     least_reviews: int = 2,
     n: int = 8,
 ) -> DataFrame:
@@ -135,17 +137,16 @@ def top_rated(
         ratings.withColumnRenamed("product_id", "id"), "id"
     )
     best = pin(rated.orderBy(F.desc("avg_rating"), F.desc("review_count"), F.asc("id")).limit(n))
-    return overlay_promotions(_stock_of(inventory, best), _promotions_of(promotions, best)).withColumn(
-        "loyalty_points_earned", loyalty_points(F.col("price"))
-    )
+    cards = _with_stock(best, _of(inventory, best))
+    return _with_points(overlay_promotions(cards, _of(promotions, best)))
 
 
 def best_sellers(
     products: DataFrame,
     inventory: DataFrame,
     order_items: DataFrame,
-    reviews: DataFrame,
-    promotions: DataFrame,
+    reviews: DataFrame | None = None,
+    promotions: DataFrame | None = None,
     n: int = 8,
 ) -> DataFrame:
     """Most units sold; sales and reviews are summed apart, then joined."""
@@ -154,11 +155,8 @@ def best_sellers(
     )
     selling = products.select("id", "name", "price", "category").join(sold, "id")
     best = pin(selling.orderBy(F.desc("units_sold"), F.asc("id")).limit(n))
-    ratings = _ratings_of(reviews, best).select(F.col("product_id").alias("id"), "avg_rating")
-    cards = _stock_of(inventory, best).join(ratings, "id", "left").fillna({"avg_rating": 0.0})
-    return overlay_promotions(cards, _promotions_of(promotions, best)).withColumn(
-        "loyalty_points_earned", loyalty_points(F.col("price"))
-    )
+    cards = _with_rating(_with_stock(best, _of(inventory, best)), _of(reviews, best))
+    return _with_points(overlay_promotions(cards.drop("review_count"), _of(promotions, best)))
 
 
 def promo_deals(products: DataFrame, inventory: DataFrame, promotions: DataFrame, n: int = 8) -> DataFrame:
@@ -172,7 +170,7 @@ def promo_deals(products: DataFrame, inventory: DataFrame, promotions: DataFrame
     )
     offered = products.select("id", "name", "price", "category").join(deals, "id")
     best = pin(offered.orderBy(F.desc("discount_pct"), F.asc("promotion_id")).limit(n))
-    return _stock_of(inventory, best).withColumn("loyalty_points_earned", loyalty_points(F.col("price")))
+    return _with_points(_with_stock(best, _of(inventory, best)))
 
 
 def order_history(orders: DataFrame, products: DataFrame, customer_id: int | None = None) -> DataFrame:

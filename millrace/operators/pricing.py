@@ -45,8 +45,16 @@ def best_promotion(promotions: DataFrame) -> DataFrame:
     )
 
 
-def overlay_promotions(products: DataFrame, promotions: DataFrame, key: str = "id") -> DataFrame:
+def overlay_promotions(products: DataFrame, promotions: DataFrame | None, key: str = "id") -> DataFrame:
     """Products with their promotion's badge, discount and price, or nulls."""
+    if promotions is None:
+        none = F.lit(None)
+        return products.select(
+            "*",
+            none.cast("string").alias("badge_text"),
+            none.cast("decimal(5,2)").alias("discount_pct"),
+            none.cast("decimal(10,2)").alias("sale_price"),
+        )
     promo = best_promotion(promotions).withColumnRenamed("product_id", key)
     return products.join(promo, key, "left")
 
@@ -60,14 +68,6 @@ def price_list(products: DataFrame, inventory: DataFrame, promotions: DataFrame
     """One row per product: list price, stock and promotion."""
     listed = products.select(F.col("id").alias("product_id"), "name", "price", "category")
     listed = listed.join(stock_levels(inventory), "product_id", "left").fillna({"stock": 0})
-    if promotions is None:
-        none = F.lit(None)
-        return listed.select(
-            "*",
-            none.cast("string").alias("badge_text"),
-            none.cast("decimal(5,2)").alias("discount_pct"),
-            none.cast("decimal(10,2)").alias("sale_price"),
-        )
     return overlay_promotions(listed, promotions, "product_id")
 
 

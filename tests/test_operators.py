@@ -245,6 +245,27 @@ def test_catalog_page_counts_all_matches(spark, shop):
     assert none.isEmpty()
 
 
+def test_pages_without_reviews_and_promotions(shop):
+    cards = [
+        catalog.catalog_page(shop.products, shop.inventory, limit=3),
+        catalog.best_sellers(shop.products, shop.inventory, shop.order_items, n=3),
+        catalog.product_detail(shop.products, shop.inventory).filter("id < 3"),
+    ]
+    for df in cards:
+        found = df.collect()
+        assert len(found) == 3
+        assert {(r.avg_rating, r.badge_text, r.sale_price) for r in found} == {(0.0, None, None)}
+
+
+def test_reviews_show_their_comment(spark):
+    reviews = spark.createDataFrame(
+        [(1, 5, 7, 4, "fine", datetime(2024, 1, 1))],
+        "id int, product_id int, customer_id int, rating int, comment string, review_date timestamp_ntz",
+    )
+    people = spark.createDataFrame([(7, "Ann")], "id int, name string")
+    assert rows(catalog.latest_reviews(reviews, people)) == [(5, 1, 1, 4, "fine", datetime(2024, 1, 1), "Ann")]
+
+
 def test_order_history_of_one_customer_is_newest_first(shop):
     customer = shop.orders.first().customer_id
     history = catalog.order_history(shop.orders, shop.products, customer).collect()
