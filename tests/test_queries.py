@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from millrace.plans.registry import load
 from millrace.plans.shop import with_views
 from tests.conftest import DATA
 from tools.check import compare, connect
@@ -15,7 +16,7 @@ def connection():
     return connect(DATA)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(load()))
 def test_query_matches_sql(spark, connection, name):
     assert compare(spark, connection, name, queries()[name], SQL[name], DATA) is None
 
