@@ -4,13 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import secrets, sharding, weak_rules
+from millrace.llm import ball_tree, language, packing, secrets, sharding, weak_rules
 from millrace.llm.common import table
 
 
+def held_out() -> Column:
+    """Documents that the language model may not learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    net = language.learn_languages(documents, F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    found = language.identify(documents, net)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = ball_tree.quantized(table(spark, folder, "embeddings"))
+    return ball_tree.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     rows = sharding.with_slots(sharding.into_shards(table(spark, folder, "documents")))
     return rows.select(
@@ -47,8 +70,27 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
+    "op6_packing": op6_packing,
+    "op7_top_k_search": op7_top_k_search,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_secrets": op10_secrets,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_top_k_search": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings
+            where vec_id is not null and len(embedding) > 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scored as (
+            select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+            from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+            where q.vec_id % 50 = 0
+        )
+        select query_id, rank::int as rank, vec_id, score
+        from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+        where rank <= 5
+    """,
+}
