@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +29,153 @@ def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], sc
                 yield work(batch)
 
     return df.mapInArrow(run, schema)
+
+
+_LONGEST = 1 << 20  # bytes of text looked at together, unless one text is longer
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2**64
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+LETTER = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 256, dtype=np.uint64)
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[32, *range(9, 14)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS[0]) < n:
+        size = max(n, _LONGEST + (1 << 16))
+        for i, factor in enumerate((_FACTOR, _INVERSE)):
+            steps = np.full(size, factor)
+            steps[0] = 1
+            _POWERS[i] = np.cumprod(steps, dtype=np.uint64)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A well-spread function of 64-bit numbers."""
+    x = (x + np.uint64((seed * 0x9E3779B97F4A7C15) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+class Words:
+    """The words of some texts: a 64-bit hash, place and text of each.
+
+    Hashes depend on a word's bytes only, so tasks anywhere agree on them.
+    """
+
+    def __init__(self, texts: list[bytes], lower: bool = False):
+        data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        if lower:
+            data = _LOWER[data]
+        self.data = data
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        self.text_starts = np.cumsum(sizes) - sizes
+        inside = ~_IS_SPACE[data]
+        edges = np.diff(inside.astype(np.int8), prepend=0)
+        self.starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        powers, inverse = powers_of(len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(LETTER[data] * powers, out=sums[1:])
+        self.hashes = mix((sums[ends] - sums[self.starts]) * inverse[self.starts])
+        self.texts = np.searchsorted(self.text_starts, self.starts, "right") - 1
+
+
+def portions(texts: list[bytes | None]) -> Iterator[slice]:
+    """Consecutive texts of bounded total length."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text or b"") > _LONGEST:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(text or b"") + 1
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def firsts(*columns: np.ndarray) -> np.ndarray:
+    """Where, in sorted columns, a new combination of values starts."""
+    n = len(columns[0])
+    if not n:
+        return np.zeros(0, np.int64)
+    new = np.ones(n, bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Arrow lists of consecutive values."""
+    offsets = np.zeros(len(counts) + 1, np.int32)
+    np.cumsum(counts, out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
+
+
+def heads(rows: DataFrame, key: str, order: list[str], head: list[str]) -> DataFrame:
+    """Rows of the groups of ``key`` that have several different rows, each
+    with the ``head`` columns (as ``head_*``) of a first row of its group.
+
+    The order goes by ``key``, then ``order``, and is cut into ranges anywhere,
+    so one huge group is spread over many tasks; each part then has a first row
+    of its own.  Rows that agree in ``key`` and ``order`` count once.  A range's
+    outermost groups may go on in its neighbours and are kept even if single.
+    """
+    columns = rows.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", " + ", ".join(
+        f"`head_{c}` {rows.schema[c].dataType.simpleString()}" for c in head
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = leader = first_key = before = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            if not table.num_rows:
+                continue
+            for out, held, leader, first_key, before in [_marked(table, columns, key, order, head, leader, first_key, before)]:  # noqa: B020
+                if out.num_rows:
+                    yield from out.combine_chunks().to_batches()
+        if held is not None:
+            out = held
+            same = before is not None and before == held.column(key)[0].as_py()
+            for c in head:
+                out = out.append_column(f"head_{c}", (leader if same else held).column(c))
+            yield from out.combine_chunks().to_batches()
+
+    ordered = rows.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    return ordered.mapInArrow(run, schema)
+
+
+def _marked(table, columns, key, order, head, leader, first_key, before):
+    """All rows of a batch but the last, which waits for the next batch."""
+    keys = table.column(key).to_numpy()
+    n = len(keys)
+    if first_key is None:
+        first_key = keys[0]
+    again = np.zeros(n, bool)
+    again[1:] = keys[1:] == keys[:-1]
+    again[0] = before is not None and before == keys[0]
+    starts = np.maximum.accumulate(np.where(again, -1, np.arange(n)))
+    follows = np.zeros(n, bool)
+    follows[:-1] = again[1:]
+    repeats = again.copy()
+    for c in order:
+        values = table.column(c).to_numpy(zero_copy_only=False)
+        repeats[1:] &= values[1:] == values[:-1]
+    repeats[0] = False
+    emit = (again | follows | (keys == first_key)) & ~repeats
+    emit[-1] = False
+    rows = np.flatnonzero(emit)
+    out = table.take(pa.array(rows)).select(columns)
+    leaders = table.slice(0, 1) if leader is None else leader
+    source = pa.concat_tables([leaders.select(columns), table.select(columns)])
+    place = starts[rows] + 1
+    for c in head:
+        out = out.append_column(f"head_{c}", source.column(c).take(pa.array(place)))
+    last_head = source.slice(int(starts[-2]) + 1, 1) if n > 1 else leader
+    if n > 1:
+        before = int(keys[-2])
+    return out, table.slice(n - 1, 1), last_head, first_key, before

@@ -25,29 +25,33 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from millrace.llm.common import LETTER, mix, portions, powers_of, raw
 
-PIECES = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-)
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 SENTENCE_CUT = 2.0  # penalty, in tokens of padding, of a cut between sentences
 WORD_CUT = 16.0  # and of one inside a sentence
 _BLOCK = 1 << 18  # tokens solved at once
 _STEP = 32  # tokens between possible cuts inside a sentence
 _NEAR = 8  # sentence ends nearer than this count as one
-_KNOWN = 600_000  # runs remembered by a worker
-_SENTENCES = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+|\n")
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
-_ODD = re.compile(r"[^\x20\x09-\x0D\x21-\x7eÀ-ÖØ-öø-ÿ]").search
-# Fixed value: how the vocabulary's own file cuts lower-cased text, for these signs.
-_RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\x20\x09-\x0Da-z0-9ß-öø-ÿ]+").findall
-_ONE_RUN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[\x21-\x2f\x3a-\x60\x7b-\x7e]+").fullmatch
+_KNOWN = 1_500_000  # runs remembered by a worker
+_SPACE, _LETTER_KIND, _DIGIT, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[32, *range(9, 14)]] = _SPACE
+_KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = _LETTER_KIND
+_KIND[48:58] = _DIGIT
+_STOP = np.zeros(256, bool)
+_STOP[[*b".!?"]] = True
+# Capitals of ASCII, and second bytes of the Latin ones.
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[65:91] += 32
+_LOWERED[0x80:0x9F] += 32
+_ONE_RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[\x21-\x26\x28-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+").fullmatch
 
 
 def cut_points(places: list[int], penalties: list[float], size: int, last: bool) -> list[int]:
@@ -85,12 +89,14 @@ def cut_points(places: list[int], penalties: list[float], size: int, last: bool)
 
 
 class Tokens:
-    """Token ids of texts as little-endian unsigned 32-bit bytes.
-
-    The tokenizer lower-cases a text, cuts it into runs and encodes each run
-    alone.  Runs come again and again, so those of plain Latin text are cut
-    here and encoded once; a bounded number of them is remembered.  A text with
-    any other sign is cut at white space only, over which no run goes.
+    """Token ids of texts.
+
+    The tokenizer lower-cases a text, cuts it into runs of letters, single
+    digits and runs of other signs, and encodes each run alone; no run goes
+    over white space.  Here runs are found with array operations over the
+    bytes of many texts, and each kind of run is encoded once and remembered
+    (a bounded number of them).  A word with a sign outside plain Latin text,
+    with an apostrophe or with part of a special token is left whole.
     """
 
     def __init__(self, path: str):
@@ -101,36 +107,95 @@ class Tokens:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[k for word, k in vocabulary.items() if word.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.ids = np.zeros(1 << 16, "<u4")
+        self.stops = np.zeros(1 << 14, np.int64)  # where each known run's ids end; the first is empty
+        self.used = 0
+
+    def _keep(self, ids: np.ndarray, counts: np.ndarray, hashes: list[int]) -> None:
+        n, at = len(self.known), self.used
+        while at + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while n + len(counts) + 1 > len(self.stops):
+            self.stops = np.concatenate([self.stops, np.zeros_like(self.stops)])
+        self.ids[at : at + len(ids)] = ids
+        self.stops[n + 1 : n + 1 + len(counts)] = at + np.cumsum(counts)
+        self.used = at + len(ids)
+        self.known.update(zip(hashes, range(n, n + len(hashes)), strict=True))
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    @staticmethod
-    def runs(text: str) -> list[list[str]]:
-        """The runs, or words, of each sentence."""
-        if _ODD(text) is None and "<|" not in text:
-            return [_RUNS(x) for x in _SENTENCES.split(text.lower())]
-        return [_WORDS(x) for x in _SENTENCES.split(text)]
-
-    def learn(self, runs: set[str]) -> None:
-        """Makes sure that all these are known."""
-        if len(self.known) > _KNOWN:
-            self.known.clear()
-        new = list(runs.difference(self.known))
-        for at in range(0, len(new), 1000):
-            some = new[at : at + 1000]
+    def _learn(self, runs: list[bytes], hashes: list[int]) -> None:
+        for at in range(0, len(runs), 1000):
+            some = [r.decode("utf-8", "replace") for r in runs[at : at + 1000]]
             # A run's ids end with the first that ends a word.
-            ids = np.array(self._ids([" ".join(some)])[0], "<u4")
-            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            ids = np.array(self._encode([" ".join(some)])[0], "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(some) and stops[-1] == len(ids) and all(map(_ONE_RUN, some)):
-                data, start = ids.tobytes(), 0
-                for run, stop in zip(some, stops, strict=True):
-                    self.known[run] = data[start << 2 : stop << 2]
-                    start = stop
+                counts = np.diff(stops, prepend=0)
             else:
-                for run, found in zip(some, self._ids(some), strict=True):
-                    self.known[run] = np.array(found, "<u4").tobytes()
+                found = self._encode(some)
+                counts = np.array([len(x) for x in found])
+                ids = np.array([k for x in found for k in x], "<u4")
+            self._keep(ids, counts, hashes[at : at + 1000])
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
+        """Ids of all texts together, each text's number of ids, and the
+        places in it where a sentence or line ends."""
+        data = np.frombuffer(b"\n".join(texts) + b"\n\n", np.uint8)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        kind = _KIND[data]
+        before, after = np.roll(data, 1), np.roll(data, -1)
+        latin = (data == 0xC3) & (after >= 0x80) & (after != 0x97) & (after != 0xB7)
+        odd = (data >= 0x80) & ~latin & ~np.roll(latin, 1)
+        odd |= (data == 0x27) | ((data == 0x3C) & (after == 0x7C))
+        odd |= (data < 0x20) & (kind != _SPACE) | (data == 0x7F)
+        inside = kind != _SPACE
+        starts_word = inside & (kind[np.arange(len(kind)) - 1] == _SPACE)
+        starts_word[0] = inside[0]
+        word = np.cumsum(starts_word)
+        whole = np.zeros(int(word[-1]) + 1, bool)
+        whole[word[odd]] = True
+        whole = whole[word]
+        starts = np.flatnonzero(starts_word | (inside & ~whole & ((kind != np.roll(kind, 1)) | (kind == _DIGIT))))
+        if not len(starts):
+            return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64), [[] for _ in texts]
+        stops_byte = np.flatnonzero(~inside)
+        gap = stops_byte[np.searchsorted(stops_byte, starts)]
+        ends = np.minimum(gap, np.append(starts[1:], len(data)))
+        plain = np.where(whole, data, _LOWERED[data])
+        powers, inverse = powers_of(len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(LETTER[plain] * powers, out=sums[1:])
+        hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
+        kinds, first, each = np.unique(hashes, return_index=True, return_inverse=True)
+        listed = kinds.tolist()
+        new = [i for i, h in enumerate(listed) if h not in self.known]
+        if len(self.known) + len(new) > _KNOWN:
+            self._forget()
+            new = list(range(len(listed)))
+        if new:
+            bytes_ = plain.tobytes()
+            where = first[new]
+            self._learn([bytes_[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)], [listed[i] for i in new])
+        known = np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))[each]
+        begin, counts = self.stops[known], self.stops[known + 1] - self.stops[known]
+        total = np.cumsum(counts)
+        ids = self.ids[np.repeat(begin - (total - counts), counts) + np.arange(int(total[-1]))]
+        text_of = np.searchsorted(np.cumsum(sizes), starts, "right")
+        per_text = np.bincount(text_of, counts, len(texts)).astype(np.int64)
+        ahead = (np.cumsum(per_text) - per_text)[text_of]
+        line = np.cumsum(data == 10)[starts]
+        sentence = _STOP[data[ends - 1]] & ~inside[ends]
+        sentence[:-1] |= line[1:] > line[:-1]
+        places, owner = (total - ahead)[sentence], text_of[sentence]
+        bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+        listed_places = places.tolist()
+        return ids, per_text, [listed_places[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 _TOKENS: dict[str, Tokens] = {}
@@ -151,28 +216,27 @@ class _Stream:
         self.places, self.penalties = [0], [0.0]
         self.rows: list[tuple] = []
 
-    def add(self, doc_id, sentences: list[list[str]], known: dict[str, bytes], end: bytes) -> None:
-        """A document: the runs of each sentence, the ids of runs, the end."""
+    def add(self, doc_id, ids: bytes, sentences: list[int]) -> None:
+        """A document's ids, its end's included, and where sentences end."""
         first = self.places[-1]
-        ids, place, marks, word = [], first, [], known.__getitem__
-        for words in sentences:
-            found = b"".join(map(word, words))
-            if not found:
-                continue
-            ids.append(found)
-            n = len(found) >> 2
-            if n > 2 * _STEP:
-                marks += [(place + k, WORD_CUT) for k in range(_STEP, n - _STEP + 1, _STEP)]
-            place += n
-            if not marks or place - marks[-1][0] >= _NEAR:
-                marks.append((place, SENTENCE_CUT))
-        ids.append(end)
-        place += len(end) >> 2
-        while marks and marks[-1][0] >= place - 1:  # not between the text and its end token
-            marks.pop()
-        self.places += [p for p, _ in marks] + [place]
-        self.penalties += [c for _, c in marks] + [0.0]
-        self.documents.append((doc_id, b"".join(ids), first))
+        size = len(ids) >> 2
+        place, places, penalties = 0, self.places, self.penalties
+        for stop in sentences:
+            while stop - place > 2 * _STEP:
+                place += _STEP
+                places.append(first + place)
+                penalties.append(WORD_CUT)
+            if stop - place >= _NEAR and stop < size - 1:  # not between the text and its end
+                place = stop
+                places.append(first + place)
+                penalties.append(SENTENCE_CUT)
+        while size - place > 2 * _STEP:
+            place += _STEP
+            places.append(first + place)
+            penalties.append(WORD_CUT)
+        places.append(first + size)
+        penalties.append(0.0)
+        self.documents.append((doc_id, ids, first))
 
     def cut(self, last: bool) -> None:
         """Solves what is open, writes full windows, keeps the open one."""
@@ -215,12 +279,13 @@ def pack(documents: DataFrame, vocabulary: str, size: int = 2048, end_id: int =
         tokens = _tokens(vocabulary)
         stream = _Stream(size, (TaskContext.get().partitionId()) << 33)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(ids), 512):
-                some = [tokens.runs(data or "") for data in texts[at : at + 512]]
-                tokens.learn(set(chain.from_iterable(chain.from_iterable(some))))
-                for doc_id, sentences in zip(ids[at : at + 512], some, strict=True):
-                    stream.add(doc_id, sentences, tokens.known, end)
+            names, texts = batch.column(0).to_pylist(), raw(batch.column(1))
+            for some in portions(texts):
+                ids, counts, sentences = tokens.encode([t or b"" for t in texts[some]])
+                data, at = ids.tobytes(), 0
+                for doc_id, count, ends in zip(names[some], counts.tolist(), sentences, strict=True):
+                    stream.add(doc_id, data[at << 2 : (at + count) << 2] + end, ends)
+                    at += count
                     if stream.places[-1] >= _BLOCK:
                         stream.cut(last=False)
             if stream.rows:
