@@ -2,15 +2,37 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the tasks, once per application, so that they
+    find it wherever they run and whatever the driver's folder is."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        package = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="run-")) / "millrace_package.zip"
+        with zipfile.ZipFile(target, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(target))
+
+
+_SHIPPED: set[str] = set()
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -20,13 +42,14 @@ def raw(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
-def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``work`` over every Arrow batch of ``df``; rows depend on one batch only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+            out = work(batch) if batch.num_rows else None
+            if out is not None:
+                yield out
 
     return df.mapInArrow(run, schema)
 
@@ -130,20 +153,15 @@ def heads(rows: DataFrame, key: str, order: list[str], head: list[str]) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = leader = first_key = before = None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if held is not None:
-                table = pa.concat_tables([held, table])
-            if not table.num_rows:
-                continue
-            for out, held, leader, first_key, before in [_marked(table, columns, key, order, head, leader, first_key, before)]:  # noqa: B020
-                if out.num_rows:
-                    yield from out.combine_chunks().to_batches()
+            table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+            if table.num_rows:
+                out, held, leader, first_key, before = _marked(table, columns, key, order, head, leader, first_key, before)
+                yield from out.combine_chunks().to_batches()
         if held is not None:
-            out = held
-            same = before is not None and before == held.column(key)[0].as_py()
+            source = leader if before is not None and before == held.column(key)[0].as_py() else held
             for c in head:
-                out = out.append_column(f"head_{c}", (leader if same else held).column(c))
-            yield from out.combine_chunks().to_batches()
+                held = held.append_column(f"head_{c}", source.column(c))
+            yield from held.combine_chunks().to_batches()
 
     ordered = rows.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
     return ordered.mapInArrow(run, schema)
@@ -179,3 +197,27 @@ def _marked(table, columns, key, order, head, leader, first_key, before):
     if n > 1:
         before = int(keys[-2])
     return out, table.slice(n - 1, 1), last_head, first_key, before
+
+
+_MARKS = 1 << 23
+
+
+def marked(column: Column, spread: bool = True) -> Column:
+    """A place in a table of marks; of a value, or of a hash as it is."""
+    return F.pmod(F.xxhash64(column) if spread else column, F.lit(_MARKS))
+
+
+def marks_of(rows: DataFrame, place: Column) -> np.ndarray:
+    """Which places occur: a bit table of fixed size (1 MB), built by Spark.
+
+    It only narrows down what has to be looked at; a join decides.
+    """
+    bits = rows.select(place.cast("long").alias("place"))
+    pieces = bits.groupBy(F.floor(F.col("place") / 32768).cast("int").alias("piece")).agg(
+        F.bitmap_construct_agg((F.col("place") % 32768)).alias("bits")
+    )
+    out = np.zeros(_MARKS, bool)
+    for row in pieces.collect():
+        found = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
+        out[row["piece"] * 32768 : row["piece"] * 32768 + len(found)] = found
+    return out

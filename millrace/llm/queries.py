@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ball_tree, language, packing, secrets, sharding, weak_rules
+from millrace.llm import ball_tree, language, lines, packing, secrets, sharding, weak_rules
 from millrace.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each line that goes."""
+    return lines.later_matches(table(spark, folder, "documents"))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -71,6 +76,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
+    "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_top_k_search": op7_top_k_search,
     "op8_sharding": op8_sharding,
