@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ball_tree, language, lines, packing, secrets, sharding, weak_rules
+from millrace.llm import ball_tree, jaccard, language, lines, packing, secrets, sharding, weak_rules
 from millrace.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, folder, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """One row for each line that goes."""
     return lines.later_matches(table(spark, folder, "documents"))
@@ -76,6 +80,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_top_k_search": op7_top_k_search,
@@ -84,6 +89,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op4_ngram_jaccard_join": r"""
+        with recursive words as (
+            select doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+            from documents
+        ), shingles as (
+            select distinct doc_id, unnest(case
+                when len(w) = 0 then []
+                when len(w) < 5 then [array_to_string(w, ' ')]
+                else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as shingle
+            from words
+        ), sizes as (
+            select doc_id, count(*) as n from shingles group by doc_id
+        ), common as (
+            select x.doc_id as a, y.doc_id as b, count(*) as c
+            from shingles x join shingles y on x.shingle = y.shingle and x.doc_id <> y.doc_id
+            group by all
+        ), links as (
+            select a, b from common
+            join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+            where 100 * c >= 75 * (x.n + y.n - c)
+        ), reach as (
+            select doc_id, doc_id as other from documents
+            union
+            select links.a, reach.other from reach join links on links.b = reach.doc_id
+        )
+        select d.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(other) as component_id
+        from documents d join reach r on r.doc_id = d.doc_id left join sizes s on s.doc_id = d.doc_id
+        group by d.doc_id
+    """,
     "op7_top_k_search": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
