@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Words, by_batch, firsts, heads, lists, marked, marks_of, mix, portions, raw
-from millrace.session import pin
+from millrace.llm.common import Words, by_batch, firsts, lists, marked, marks_of, mix, portions, raw, stored
 
 _COUNTERS = 1 << 21
 _SLICES = 32
@@ -151,8 +150,8 @@ def _words_of(documents: DataFrame, least_words: int, texts_wanted: np.ndarray,
                 words.append(hashes[starts[i] : starts[i] + sizes[i]].tobytes())
         return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(words, pa.binary())], ["set", "words"])
 
-    found = by_batch(documents.select(marked(F.col("doc_id")).alias("mark"), "text"), work, "set long, words binary")
-    return found.groupBy("set").agg(F.first("words").alias("words"))
+    rows = documents.select(marked(F.col("doc_id").cast("long")).alias("mark"), "text")
+    return by_batch(rows, work, "set long, words binary").dropDuplicates(["set"])
 
 
 def matching(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
@@ -182,47 +181,137 @@ def _close(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
     return lengths & (apart <= both - 2 * need)
 
 
-def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 3) -> DataFrame:
+def _candidates(rows: DataFrame, percent: int, most: int) -> DataFrame:
+    """Pairs of sets that share a word, ``set`` later than ``other``.
+
+    Rows are sorted by word, then place, cut into ranges anywhere.  Groups of
+    up to ``most`` rows are compared within themselves.  Larger ones, and the
+    outermost of a range, which may go on in another, are handed back as rows
+    (``word`` is then not null), each also paired with the first of its group.
+    """
+    columns = rows.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", other long"
+
+    def close(t: dict[str, np.ndarray], later: np.ndarray, early: np.ndarray) -> np.ndarray:
+        a, b = t["size"][later], t["size"][early]
+        need = (percent * (a + b) + 99 + percent) // (100 + percent)
+        reach = 1 + np.minimum(a - t["place"][later], b - t["place"][early]) - 1
+        fit = (100 * a >= percent * b) & (100 * b >= percent * a) & (reach >= need)
+        later, early, room = later[fit], early[fit], (a + b - 2 * need)[fit]
+        apart = sum(np.bitwise_count(t[x][later] ^ t[x][early]).astype(np.int64) for x in ("low", "high"))
+        fit[fit] = apart <= room
+        return fit
+
+    def answer(table: pa.Table, open_word: int | None, last: bool) -> list[pa.Table]:
+        """What some groups give; the last may go on elsewhere."""
+        t = {c: table.column(c).to_numpy(zero_copy_only=False) for c in ("set", "word", "size", "place", "low", "high")}
+        for c in ("low", "high"):
+            t[c] = t[c].view(np.uint64)
+        n = len(t["word"])
+        starts = firsts(t["word"])
+        sizes = np.diff(np.append(starts, n))
+        rank = np.arange(n) - np.repeat(starts, sizes)
+        large = sizes > most
+        large[t["word"][starts] == open_word] = True
+        large[-1] |= last
+        large = np.repeat(large, sizes)
+        out = []
+        for lag in range(1, int(sizes.max())):
+            later = np.flatnonzero((rank >= lag) & ~large)
+            if not len(later):
+                break
+            early = later - lag
+            fit = close(t, later, early)
+            out.append((t["set"][later[fit]], t["set"][early[fit]]))
+        # The members of large groups meet the first one.
+        later = np.flatnonzero(large & (rank > 0))
+        early = np.repeat(starts, sizes)[later]
+        fit = close(t, later, early)
+        out.append((t["set"][later[fit]], t["set"][early[fit]]))
+        given = []
+        for mine, other in out:
+            if len(mine):
+                nulls = {f.name: pa.nulls(len(mine), f.type) for f in table.schema}
+                given.append(nulls | {"set": pa.array(mine), "other": pa.array(other)})
+        if large.any():
+            handed = table.filter(pa.array(large))
+            given.append({c: handed.column(c) for c in columns} | {"other": pa.nulls(handed.num_rows, pa.int64())})
+        kinds = pa.schema([(f.name, f.type) for f in table.schema] + [("other", pa.int64())])
+        return [pa.table([x[c] for c in kinds.names], schema=kinds) for x in given]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, opened = None, None  # rows of the last group so far; a word whose group is or may be in parts
+        first = True
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+            if not table.num_rows:
+                continue
+            words = table.column("word").to_numpy()
+            if first:
+                opened, first = int(words[0]), False
+            cut = int(np.searchsorted(words, words[-1]))
+            if table.num_rows - cut > most:
+                opened_now, cut = int(words[-1]), table.num_rows  # too large to wait for its end
+            else:
+                opened_now = None
+            if cut:
+                for found in answer(table.slice(0, cut), opened, opened_now is not None):
+                    yield from found.combine_chunks().to_batches()
+            held = table.slice(cut) if cut < table.num_rows else None
+            opened = opened_now if opened_now is not None else (opened if held is not None and int(words[-1]) == opened else None)
+        if held is not None:
+            for found in answer(held, opened, True):
+                yield from found.combine_chunks().to_batches()
+
+    order = ["word", "doc_id", "line", "set"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
+
+
+def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 3, compared: int = 256) -> DataFrame:
     """``doc_id, line`` (numbered from 0) of the lines that go.
 
+    ``compared`` is the size up to which a group of sets that share a word is
+    compared at once; larger groups take further rounds, with the same result.
     Runs the jobs that count words, store the sets and settle the rounds.
     """
-    counts = word_counts(documents)
-    lines = pin(line_sets(documents, counts, percent, least_words))
-    first = F.min(F.struct("doc_id", "line")).alias("first")
+    lines = stored(line_sets(documents, word_counts(documents), percent, least_words))
     figures = [F.first(c).alias(c) for c in ("size", "low", "high", "prefix")]
-    sets = pin(lines.groupBy("set").agg(first, *figures))
-    rows = sets.select("set", "first.doc_id", "first.line", "size", "low", "high", F.posexplode("prefix").alias("place", "word"))
-    shared = [c for c in rows.columns if c != "word"]
-    rows = pin(heads(rows, "word", ["doc_id", "line", "set"], shared))
-
-    mine, head = {c: F.col(c) for c in shared}, {c: F.col(f"head_{c}") for c in shared}
-    earlier = lambda a, b: F.struct(a["doc_id"], a["line"]) < F.struct(b["doc_id"], b["line"])
-    early = rows.where(earlier(head, mine) & _close(mine, head, percent))
-    early = pin(early.select("set", F.col("head_set").alias("other")).distinct())
+    sets = lines.groupBy("set").agg(F.min(F.struct("doc_id", "line")).alias("first"), *figures)
+    sets = stored(sets.select("set", "first.doc_id", "first.line", "size", "low", "high", "prefix"))
+    rows = sets.select("set", "doc_id", "line", "size", "low", "high", F.posexplode("prefix").alias("place", "word"))
+    found = stored(_candidates(rows, percent, compared))
+    pairs = stored(found.where("word is null").select("set", "other").distinct())
+    large = found.where("word is not null").drop("other")
 
     # The words that comparisons need: of these sets, from where they come first.
     def fetched(pairs: DataFrame) -> DataFrame:
         used = pairs.select(F.explode(F.array("set", "other")).alias("set")).distinct()
-        used = pin(used.join(sets.select("set", "first.doc_id"), "set"))
-        return pin(_words_of(documents, least_words, marks_of(used, marked(F.col("doc_id"))), marks_of(used, marked(F.col("set"), False))))
-
-    found = pin(matching(early, fetched(early), percent).select("set").distinct())
-
-    open_ = rows.join(found, "set", "left_anti").select(*(F.col(c).alias(f"my_{c}") for c in [*shared, "word"]))
-    me = {c: F.col(f"my_{c}") for c in shared}
-    need = F.floor((percent * (me["size"] + mine["size"]) + 99 + percent) / (100 + percent))
-    reach = 1 + F.least(me["size"] - me["place"] - 1, mine["size"] - mine["place"] - 1)
-    near = rows.select("word", *shared).join(open_, F.col("word") == F.col("my_word"))
-    near = near.where(earlier(mine, me) & (reach >= need) & _close(mine, me, percent))
-    near = near.select(F.col("my_set").alias("set"), F.col("set").alias("other")).distinct().join(early, ["set", "other"], "left_anti")
-    near = pin(near)
+        used = stored(used.join(sets.select("set", "doc_id"), "set"))
+        return stored(_words_of(documents, least_words, marks_of(used, marked(F.col("doc_id"))), marks_of(used, marked(F.col("set"), False))))
+
+    # One earlier set for each, then the others of those without a match yet.
+    words = fetched(pairs)
+    one = pairs.groupBy("set").agg(F.min("other").alias("other"))
+    settled = stored(matching(one, words, percent).select("set").distinct())
+    rest = pairs.join(one, ["set", "other"], "left_anti").join(settled, "set", "left_anti")
+    settled = stored(settled.unionByName(matching(rest, words, percent).select("set")).distinct())
+
+    # Sets of large groups without a match meet all earlier ones of the group.
+    shared = ["doc_id", "line", "size", "low", "high", "place", "set", "word"]
+    me, them = {c: F.col(f"my_{c}") for c in shared}, {c: F.col(c) for c in shared}
+    mine = large.join(settled, "set", "left_anti").select(*(F.col(c).alias(f"my_{c}") for c in shared))
+    earlier = F.struct(them["doc_id"], them["line"]) < F.struct(me["doc_id"], me["line"])
+    need = F.floor((percent * (me["size"] + them["size"]) + 99 + percent) / (100 + percent))
+    reach = F.least(me["size"] - me["place"], them["size"] - them["place"])
+    near = large.join(mine, them["word"] == me["word"]).where(earlier & (reach >= need) & _close(them, me, percent))
+    near = near.select(me["set"].alias("set"), them["set"].alias("other")).distinct().join(pairs, ["set", "other"], "left_anti")
+    near = stored(near)
     if near.take(1):
-        found = found.unionByName(matching(near, fetched(near), percent).select("set")).distinct()
+        settled = settled.unionByName(matching(near, fetched(near), percent).select("set")).distinct()
 
-    gone = sets.select("set", "first").join(found.withColumn("matched", F.lit(True)), "set", "left")
+    gone = sets.select("set", F.struct("doc_id", "line").alias("first")).join(settled.withColumn("matched", F.lit(True)), "set", "left")
     back = lines.select("set", "doc_id", "line").join(gone, "set")
-    later = F.struct(F.col("first.doc_id"), F.col("first.line")) < F.struct("doc_id", "line")
+    later = F.col("first") < F.struct("doc_id", "line")
     return back.where(F.col("matched") | later).select("doc_id", "line").distinct()
 
 
