@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import scratch_dir
+
 
 def ship(spark: SparkSession) -> None:
     """Gives this package to the tasks, once per application, so that they
@@ -42,6 +44,29 @@ def raw(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder, compressed, and read again.
+
+    Later steps see the same rows, also after an executor is lost.  Shuffle
+    files of what led here are no longer needed; Spark deletes them when the
+    driver collects garbage, which is asked for here as Spark itself does now
+    and then (``spark.cleaner.periodicGC.interval``).
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, "stored")
+    df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a stored table that nothing will read again."""
+    jvm = df.sparkSession.sparkContext._jvm
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``work`` over every Arrow batch of ``df``; rows depend on one batch only."""
 
@@ -54,7 +79,7 @@ def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | No
     return df.mapInArrow(run, schema)
 
 
-_LONGEST = 1 << 20  # bytes of text looked at together, unless one text is longer
+_LONGEST = 1 << 17  # bytes of text looked at together, unless one text is longer; fits a cache
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 LETTER = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 256, dtype=np.uint64)
