@@ -92,7 +92,7 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
-        size = max(n, _LONGEST + (1 << 16))
+        size = max(n, (1 << 20) + (1 << 16))
         for i, factor in enumerate((_FACTOR, _INVERSE)):
             steps = np.full(size, factor)
             steps[0] = 1
@@ -130,11 +130,11 @@ class Words:
         self.texts = np.searchsorted(self.text_starts, self.starts, "right") - 1
 
 
-def portions(texts: list[bytes | None]) -> Iterator[slice]:
+def portions(texts: list[bytes | None], longest: int = _LONGEST) -> Iterator[slice]:
     """Consecutive texts of bounded total length."""
     start, size = 0, 0
     for i, text in enumerate(texts):
-        if size and size + len(text or b"") > _LONGEST:
+        if size and size + len(text or b"") > longest:
             yield slice(start, i)
             start, size = i, 0
         size += len(text or b"") + 1

@@ -37,6 +37,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 SENTENCE_CUT = 2.0  # penalty, in tokens of padding, of a cut between sentences
 WORD_CUT = 16.0  # and of one inside a sentence
 _BLOCK = 1 << 18  # tokens solved at once
+_TOGETHER = 1 << 20  # bytes of text whose runs are told apart together
 _STEP = 32  # tokens between possible cuts inside a sentence
 _NEAR = 8  # sentence ends nearer than this count as one
 _KNOWN = 1_500_000  # runs remembered by a worker
@@ -280,7 +281,7 @@ def pack(documents: DataFrame, vocabulary: str, size: int = 2048, end_id: int =
         stream = _Stream(size, (TaskContext.get().partitionId()) << 33)
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), raw(batch.column(1))
-            for some in portions(texts):
+            for some in portions(texts, _TOGETHER):
                 ids, counts, sentences = tokens.encode([t or b"" for t in texts[some]])
                 data, at = ids.tobytes(), 0
                 for doc_id, count, ends in zip(names[some], counts.tolist(), sentences, strict=True):

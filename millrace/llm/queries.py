@@ -7,10 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ball_tree, jaccard, language, lines, packing, secrets, sharding, weak_rules
+from millrace.llm import ball_tree, jaccard, language, lines, mixing, packing, secrets, sharding, url_trees, weak_rules
 from millrace.llm.common import table
 
 
+URL_RULES = [
+    url_trees.rule("allow", "com/"),
+    url_trees.rule("block", "example.com/en/"),
+    url_trees.rule("allow", "www.example.com/en/"),
+    url_trees.rule("block", "net/es/"),
+    url_trees.rule("block", "net/fr/"),
+]
+SOURCE_WEIGHTS = [3.0, 1.0, 2.0]
+
+
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_trees.judged(table(spark, folder, "pages"), URL_RULES)
+
+
+def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.mixed(table(spark, folder, "documents"), SOURCE_WEIGHTS)
+    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
 def held_out() -> Column:
     """Documents that the language model may not learn from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -79,6 +98,8 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
+    "op2_source_mixing": op2_source_mixing,
     "op3_language_id": op3_language_id,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
