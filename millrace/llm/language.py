@@ -192,6 +192,24 @@ def languages_of(net: Net | None, texts: list[bytes | None]) -> tuple[list[str],
     return names, scores
 
 
+def with_language(documents: DataFrame, net: Net | None, least: float) -> DataFrame:
+    """The documents, columns as they were, whose text has a language with at
+    least this score; all with a letter where there was nothing to learn from."""
+    shared = documents.sparkSession.sparkContext.broadcast(net)
+    at = documents.columns.index("text")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = raw(batch.column(at))
+        names, scores = languages_of(shared.value, texts)
+        if shared.value is None:
+            keep = [bool(t) and any(map(str.isalpha, t.decode("utf-8", "replace"))) for t in texts]
+        else:
+            keep = [n != NONE and s >= least for n, s in zip(names, scores, strict=True)]
+        return batch.filter(pa.array(keep, pa.bool_()))
+
+    return by_batch(documents, work, documents.schema)
+
+
 def identify(documents: DataFrame, net: Net | None) -> DataFrame:
     """``doc_id, lang_pred, score`` for every document's whole text."""
     shared = documents.sparkSession.sparkContext.broadcast(net)

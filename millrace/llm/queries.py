@@ -35,9 +35,13 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
+def may_learn() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 5 != 0
+
+
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    net = language.learn_languages(documents, F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    net = language.learn_languages(documents, may_learn())
     found = language.identify(documents, net)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
@@ -97,6 +101,12 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_source_mixing": op2_source_mixing,
@@ -108,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_secrets": op10_secrets,
+    "pipeline": pipeline,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_ngram_jaccard_join": r"""
