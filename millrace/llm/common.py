@@ -155,6 +155,13 @@ def firsts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def sorted_within(group: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The order by group, then key; groups are numbered from 0."""
+    order = np.argsort(keys)
+    group = group[order]
+    return order[np.argsort(group.astype(np.uint16) if group.max(initial=0) < 65536 else group, kind="stable")]
+
+
 def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     """Arrow lists of consecutive values."""
     offsets = np.zeros(len(counts) + 1, np.int32)

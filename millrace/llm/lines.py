@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Words, by_batch, firsts, lists, marked, marks_of, mix, portions, raw, stored
+from millrace.llm.common import Words, by_batch, firsts, lists, marked, marks_of, mix, portions, raw, sorted_within, stored
 
 _COUNTERS = 1 << 21
 _SLICES = 32
@@ -55,9 +55,10 @@ def word_counts(documents: DataFrame) -> np.ndarray:
         total = np.zeros(_COUNTERS, np.int64)
         for batch in batches:
             texts = raw(batch.column(0))
-            for some in portions(texts):
-                hashes = Words([t or b"" for t in texts[some]]).hashes
-                total += np.bincount((hashes & np.uint64(_COUNTERS - 1)).astype(np.int64), minlength=_COUNTERS)
+            places = [Words(texts[some]).hashes & np.uint64(_COUNTERS - 1) for some in portions(texts)]
+            if not places:
+                continue
+            total += np.bincount(np.concatenate(places).astype(np.int64), minlength=_COUNTERS)
         if total.any():
             parts = [x.tobytes() for x in np.split(total, _SLICES)]
             yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])
@@ -78,27 +79,30 @@ def word_counts(documents: DataFrame) -> np.ndarray:
     return out
 
 
-def _sets(texts: list[bytes], counts: np.ndarray, least_words: int) -> tuple | None:
-    """Words of each line's set in order of rarity, and the sets' figures."""
+def _sets(texts: list[bytes], counts: np.ndarray | None, least_words: int) -> tuple | None:
+    """Words of each line's set in order of rarity, or of hashes, and the sets' figures."""
     hashes, line, text, number = _line_words(texts)
     if not len(hashes):
         return None
-    often = counts[(hashes & np.uint64(_COUNTERS - 1)).astype(np.int64)]
-    order = np.lexsort((hashes, often, line))
-    hashes, line, often = hashes[order], line[order], often[order]
+    order = sorted_within(line, hashes)
+    hashes, line = hashes[order], line[order]
     keep = firsts(line, hashes)
-    hashes, line, often = hashes[keep], line[keep], often[keep]
+    hashes, line = hashes[keep], line[keep]
     starts = firsts(line)
     sizes = np.diff(np.append(starts, len(line)))
     fit = sizes >= least_words
     inside = np.repeat(fit, sizes)
-    hashes, line, often, sizes = hashes[inside], line[inside], often[inside], sizes[fit]
+    hashes, line, sizes = hashes[inside], line[inside], sizes[fit]
     if not len(sizes):
         return None
     starts = np.cumsum(sizes) - sizes
     lines = line[starts]
     name = mix(np.add.reduceat(mix(hashes, 1), starts), 2).view(np.int64)
-    return hashes, often, starts, sizes, name, text[lines], number[lines]
+    if counts is not None:
+        # Rarest first; words as rare as each other by their hashes.
+        often = np.minimum(counts[(hashes & np.uint64(_COUNTERS - 1)).astype(np.int64)], (1 << 24) - 1)
+        hashes = hashes[sorted_within(line, (often.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24)))]
+    return hashes, starts, sizes, name, text[lines], number[lines]
 
 
 def line_sets(documents: DataFrame, counts: np.ndarray, percent: int, least_words: int) -> DataFrame:
@@ -112,7 +116,7 @@ def line_sets(documents: DataFrame, counts: np.ndarray, percent: int, least_word
             found = _sets([t or b"" for t in texts[some]], shared.value, least_words)
             if found is None:
                 continue
-            hashes, often, starts, sizes, name, text, number = found
+            hashes, starts, sizes, name, text, number = found
             bit = (hashes >> np.uint64(50)) & np.uint64(127)
             one = np.uint64(1) << (bit & np.uint64(63))
             low, high = np.where(bit < 64, one, 0).astype(np.uint64), np.where(bit >= 64, one, 0).astype(np.uint64)
@@ -133,7 +137,6 @@ def _words_of(documents: DataFrame, least_words: int, texts_wanted: np.ndarray,
     """The words of wanted sets, from the documents where they come first."""
     sc = documents.sparkSession.sparkContext
     wanted = sc.broadcast((texts_wanted, sets_wanted))
-    none = np.zeros(_COUNTERS, np.int64)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         in_texts, in_sets = wanted.value
@@ -141,10 +144,10 @@ def _words_of(documents: DataFrame, least_words: int, texts_wanted: np.ndarray,
         texts = raw(batch.column(1).take(pa.array(rows)))
         names, words = [], []
         for some in portions(texts):
-            found = _sets([t or b"" for t in texts[some]], none, least_words)
+            found = _sets([t or b"" for t in texts[some]], None, least_words)
             if found is None:
                 continue
-            hashes, _, starts, sizes, name, _, _ = found
+            hashes, starts, sizes, name, _, _ = found
             for i in np.flatnonzero(in_sets[name & (len(in_sets) - 1)]).tolist():
                 names.append(int(name[i]))
                 words.append(hashes[starts[i] : starts[i] + sizes[i]].tobytes())
@@ -216,8 +219,9 @@ def _candidates(rows: DataFrame, percent: int, most: int) -> DataFrame:
         large[-1] |= last
         large = np.repeat(large, sizes)
         out = []
+        later = np.flatnonzero(~large)
         for lag in range(1, int(sizes.max())):
-            later = np.flatnonzero((rank >= lag) & ~large)
+            later = later[rank[later] >= lag]
             if not len(later):
                 break
             early = later - lag
