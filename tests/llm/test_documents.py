@@ -67,8 +67,11 @@ def test_a_family_of_near_copies_is_one_component(spark):
 @pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 7, 8, 20, 64, 100, 500, 3000])
 def test_similar_sets_share_a_signature(size):
     rng = np.random.default_rng(size)
-    common = (rng.random(1 << 24) < 0.3).astype(np.uint8)
-    for _ in range(20):
+    draws = rng.random(1 << 24)
+    for i in range(30):
+        share = (0.0, 0.3, 0.5, 0.7, 0.9, 1.0)[i % 6]
+        common = ((draws < share).astype(np.uint8) * 2).astype(np.uint8)
+        common[draws > 0.95] = 1
         a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
         for other in range(-(-75 * size // 100), size * 100 // 75 + 1, max(1, size // 7)):
             need = -(-75 * (size + other) // 175)
