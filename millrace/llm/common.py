@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import cached_property
 from pathlib import Path
 
 import numpy as np
@@ -121,14 +122,19 @@ class Words:
         self.data = data
         sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         self.text_starts = np.cumsum(sizes) - sizes
-        inside = ~_IS_SPACE[data]
-        edges = np.diff(inside.astype(np.int8), prepend=0)
-        self.starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        space = _IS_SPACE[data]
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        if not space[0]:
+            edges = np.concatenate([[0], edges])
+        self.starts, ends = edges[::2], edges[1::2]  # the last sign is a line end
         powers, inverse = powers_of(len(data))
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(LETTER[data] * powers, out=sums[1:])
         self.hashes = mix((sums[ends] - sums[self.starts]) * inverse[self.starts])
-        self.texts = np.searchsorted(self.text_starts, self.starts, "right") - 1
+
+    @cached_property
+    def texts(self) -> np.ndarray:
+        return np.searchsorted(self.text_starts, self.starts, "right") - 1
 
 
 def portions(texts: list[bytes | None], longest: int = _LONGEST) -> Iterator[slice]:

@@ -8,7 +8,7 @@ Lines with equal sets are put together first; of each set only the first line
 takes part in the join.  A set's words are ordered by rarity, and only the
 prefix in which similar sets must share a word is indexed.  Candidates that
 share a prefix word pass a length filter, a positional filter, and a bound on
-the symmetric difference from 128 parity bits, then their words are compared.
+the symmetric difference from 64 parity bits, then their words are compared.
 Candidates come in two rounds.  In the first each set meets one earlier set
 for each of its words, which settles the members of large families of copies;
 sets without a match yet meet all earlier sets that share a word.
@@ -36,7 +36,7 @@ from millrace.llm.common import Words, by_batch, firsts, lists, marked, marks_of
 
 _COUNTERS = 1 << 21
 _SLICES = 32
-_LINES = "doc_id long, line long, set long, size long, low long, high long, prefix array<long>"
+_LINES = "doc_id long, line long, set long, size long, bits long, prefix array<long>"
 
 
 def _line_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -60,21 +60,21 @@ def word_counts(documents: DataFrame) -> np.ndarray:
                 continue
             total += np.bincount(np.concatenate(places).astype(np.int64), minlength=_COUNTERS)
         if total.any():
-            parts = [x.tobytes() for x in np.split(total, _SLICES)]
+            parts = [x.astype(np.uint32).tobytes() for x in np.split(total, _SLICES)]  # of one task
             yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])
 
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist())
+    def add(table: pa.Table, kind: type) -> pa.Table:
+        total = sum(np.frombuffer(x, kind).astype(np.int64) for x in table.column("counts").to_pylist())
         return pa.table([pa.array([table.column("slice")[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
 
     schema = "slice int, counts binary"
     some = documents.select("text").where("text is not null").mapInArrow(count, schema)
     # Tasks' tables are added up in groups of tasks first, so that none holds many.
     group = F.pmod(F.xxhash64("counts"), F.lit(16)).cast("int")
-    half = some.withColumn("group", group).groupBy("slice", "group").applyInArrow(add, schema)
+    half = some.withColumn("group", group).groupBy("slice", "group").applyInArrow(lambda t: add(t, np.uint32), schema)
     out = np.zeros(_COUNTERS, np.int64)
     width = _COUNTERS // _SLICES
-    for row in half.groupBy("slice").applyInArrow(add, schema).collect():
+    for row in half.groupBy("slice").applyInArrow(lambda t: add(t, np.int64), schema).collect():
         out[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(bytes(row["counts"]), np.int64)
     return out
 
@@ -117,15 +117,13 @@ def line_sets(documents: DataFrame, counts: np.ndarray, percent: int, least_word
             if found is None:
                 continue
             hashes, starts, sizes, name, text, number = found
-            bit = (hashes >> np.uint64(50)) & np.uint64(127)
-            one = np.uint64(1) << (bit & np.uint64(63))
-            low, high = np.where(bit < 64, one, 0).astype(np.uint64), np.where(bit >= 64, one, 0).astype(np.uint64)
+            bits = np.bitwise_xor.reduceat(np.uint64(1) << (hashes >> np.uint64(58)), starts)
             place = np.arange(len(hashes)) - np.repeat(starts, sizes)
             length = sizes - (percent * sizes + 99) // 100 + 1
             prefix = place < np.repeat(length, sizes)
             owner = np.repeat(np.arange(len(sizes)), sizes)[prefix]
             documents = pa.array(names[some][text], pa.int64(), mask=nulls[some][text])
-            columns = [number, name, sizes, np.bitwise_xor.reduceat(low, starts).view(np.int64), np.bitwise_xor.reduceat(high, starts).view(np.int64)]
+            columns = [number, name, sizes, bits.view(np.int64)]
             words = lists(hashes[prefix], np.bincount(owner, minlength=len(sizes)))
             out.append(pa.RecordBatch.from_arrays([documents, *(pa.array(c, pa.int64()) for c in columns), words], [c.split()[0] for c in _LINES.split(", ")]))
         return pa.Table.from_batches(out).combine_chunks().to_batches()[0] if out else None
@@ -179,7 +177,7 @@ def _close(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
     """Length filter and difference bound, exact in integers."""
     both = a["size"] + b["size"]
     need = F.floor((percent * both + 99 + percent) / (100 + percent))
-    apart = F.bit_count(a["low"].bitwiseXOR(b["low"])) + F.bit_count(a["high"].bitwiseXOR(b["high"]))
+    apart = F.bit_count(a["bits"].bitwiseXOR(b["bits"]))
     lengths = (100 * a["size"] >= percent * b["size"]) & (100 * b["size"] >= percent * a["size"])
     return lengths & (apart <= both - 2 * need)
 
@@ -201,15 +199,13 @@ def _candidates(rows: DataFrame, percent: int, most: int) -> DataFrame:
         reach = 1 + np.minimum(a - t["place"][later], b - t["place"][early]) - 1
         fit = (100 * a >= percent * b) & (100 * b >= percent * a) & (reach >= need)
         later, early, room = later[fit], early[fit], (a + b - 2 * need)[fit]
-        apart = sum(np.bitwise_count(t[x][later] ^ t[x][early]).astype(np.int64) for x in ("low", "high"))
-        fit[fit] = apart <= room
+        fit[fit] = np.bitwise_count(t["bits"][later] ^ t["bits"][early]) <= room
         return fit
 
     def answer(table: pa.Table, open_word: int | None, last: bool) -> list[pa.Table]:
         """What some groups give; the last may go on elsewhere."""
-        t = {c: table.column(c).to_numpy(zero_copy_only=False) for c in ("set", "word", "size", "place", "low", "high")}
-        for c in ("low", "high"):
-            t[c] = t[c].view(np.uint64)
+        t = {c: table.column(c).to_numpy(zero_copy_only=False) for c in ("set", "word", "size", "place", "bits")}
+        t["bits"] = t["bits"].view(np.uint64)
         n = len(t["word"])
         starts = firsts(t["word"])
         sizes = np.diff(np.append(starts, n))
@@ -279,10 +275,10 @@ def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 3,
     Runs the jobs that count words, store the sets and settle the rounds.
     """
     lines = stored(line_sets(documents, word_counts(documents), percent, least_words))
-    figures = [F.first(c).alias(c) for c in ("size", "low", "high", "prefix")]
+    figures = [F.first(c).alias(c) for c in ("size", "bits", "prefix")]
     sets = lines.groupBy("set").agg(F.min(F.struct("doc_id", "line")).alias("first"), *figures)
-    sets = stored(sets.select("set", "first.doc_id", "first.line", "size", "low", "high", "prefix"))
-    rows = sets.select("set", "doc_id", "line", "size", "low", "high", F.posexplode("prefix").alias("place", "word"))
+    sets = stored(sets.select("set", "first.doc_id", "first.line", "size", "bits", "prefix"))
+    rows = sets.select("set", "doc_id", "line", "size", "bits", F.posexplode("prefix").alias("place", "word"))
     found = stored(_candidates(rows, percent, compared))
     pairs = stored(found.where("word is null").select("set", "other").distinct())
     large = found.where("word is not null").drop("other")
@@ -301,7 +297,7 @@ def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 3,
     settled = stored(settled.unionByName(matching(rest, words, percent).select("set")).distinct())
 
     # Sets of large groups without a match meet all earlier ones of the group.
-    shared = ["doc_id", "line", "size", "low", "high", "place", "set", "word"]
+    shared = ["doc_id", "line", "size", "bits", "place", "set", "word"]
     me, them = {c: F.col(f"my_{c}") for c in shared}, {c: F.col(c) for c in shared}
     mine = large.join(settled, "set", "left_anti").select(*(F.col(c).alias(f"my_{c}") for c in shared))
     earlier = F.struct(them["doc_id"], them["line"]) < F.struct(me["doc_id"], me["line"])
