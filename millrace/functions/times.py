@@ -30,9 +30,11 @@ def from_micros(micros: Column) -> Column:
 def event_time(text: Column) -> Column:
     """ISO-8601 text to a zone-less UTC time; null when it is no time.
 
-    Text without an offset is read in the session's zone, as any cast does.
+    Text without an offset is read as UTC, whatever the session's zone is.
     """
-    return from_micros(F.unix_micros(text.try_cast("timestamp")))
+    offset = text.rlike(r"\d:\d{1,2}(:\d{1,2}(\.\d*)?)?\s*([A-Za-z]|[+-])")
+    absolute = from_micros(F.unix_micros(F.when(offset, text).try_cast("timestamp")))
+    return F.coalesce(absolute, F.when(~offset, text).try_cast("timestamp_ntz"))
 
 
 def iso_text(ts: Column) -> Column:

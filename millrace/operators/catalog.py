@@ -77,13 +77,14 @@ def catalog_page(
 
     The page is cut from the products first; the child tables are then read
     only for the products on it.  ``total`` counts all matching products.
-    Reviews and promotions may not exist yet.
+    Reviews and promotions may not exist yet.  Runs the jobs that cut the page
+    and count the matches.
     """
     matching = catalog_filter(products, category, search).select("id", "name", "price", "category")
     shown = pin(page(matching, [F.asc("id")], limit, offset))
     cards = _with_rating(_with_stock(shown, _of(inventory, shown)), _of(reviews, shown))
     cards = _with_points(overlay_promotions(cards, _of(promotions, shown)))
-    return cards.withColumn("total", matching.agg(F.count(F.lit(1))).scalar())
+    return cards.withColumn("total", matching.agg(F.count(F.lit(1))).scalar()).orderBy("id")
 
 
 def categories(products: DataFrame) -> DataFrame:
@@ -131,14 +132,15 @@ def top_rated(
     least_reviews: int = 2,
     n: int = 8,
 ) -> DataFrame:
-    """Best average among products with enough reviews."""
+    """Best average among products with enough reviews, best first; runs the job that picks them."""
     ratings = product_rating(reviews).filter(F.col("review_count") >= least_reviews)
     rated = products.select("id", "name", "price", "category").join(
         ratings.withColumnRenamed("product_id", "id"), "id"
     )
-    best = pin(rated.orderBy(F.desc("avg_rating"), F.desc("review_count"), F.asc("id")).limit(n))
+    order = [F.desc("avg_rating"), F.desc("review_count"), F.asc("id")]
+    best = pin(rated.orderBy(*order).limit(n))
     cards = _with_stock(best, _of(inventory, best))
-    return _with_points(overlay_promotions(cards, _of(promotions, best)))
+    return _with_points(overlay_promotions(cards, _of(promotions, best))).orderBy(*order)
 
 
 def best_sellers(
@@ -149,18 +151,20 @@ def best_sellers(
     promotions: DataFrame | None = None,
     n: int = 8,
 ) -> DataFrame:
-    """Most units sold; sales and reviews are summed apart, then joined."""
+    """Most units sold, in that order; sales and reviews are summed apart, then
+    joined.  Runs the job that picks the products."""
     sold = order_items.groupBy(F.col("product_id").alias("id")).agg(
         F.sum(F.col("quantity").cast("bigint")).alias("units_sold")
     )
     selling = products.select("id", "name", "price", "category").join(sold, "id")
-    best = pin(selling.orderBy(F.desc("units_sold"), F.asc("id")).limit(n))
+    order = [F.desc("units_sold"), F.asc("id")]
+    best = pin(selling.orderBy(*order).limit(n))
     cards = _with_rating(_with_stock(best, _of(inventory, best)), _of(reviews, best))
-    return _with_points(overlay_promotions(cards.drop("review_count"), _of(promotions, best)))
+    return _with_points(overlay_promotions(cards.drop("review_count"), _of(promotions, best))).orderBy(*order)
 
 
 def promo_deals(products: DataFrame, inventory: DataFrame, promotions: DataFrame, n: int = 8) -> DataFrame:
-    """The deepest active discounts."""
+    """The deepest active discounts, in that order; runs the job that picks them."""
     deals = active_promotions(promotions).select(
         F.col("id").alias("promotion_id"),
         F.col("product_id").alias("id"),
@@ -169,8 +173,9 @@ def promo_deals(products: DataFrame, inventory: DataFrame, promotions: DataFrame
         "sale_price",
     )
     offered = products.select("id", "name", "price", "category").join(deals, "id")
-    best = pin(offered.orderBy(F.desc("discount_pct"), F.asc("promotion_id")).limit(n))
-    return _with_points(_with_stock(best, _of(inventory, best)))
+    order = [F.desc("discount_pct"), F.asc("promotion_id")]
+    best = pin(offered.orderBy(*order).limit(n))
+    return _with_points(_with_stock(best, _of(inventory, best))).orderBy(*order)
 
 
 def order_history(orders: DataFrame, products: DataFrame, customer_id: int | None = None) -> DataFrame:

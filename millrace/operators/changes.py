@@ -135,17 +135,14 @@ def merge_versions(
     batches may come late, out of order or twice.  Newer state wins.
     """
     keys = names(key)
-    last = latest_change(changes, keys, seq, op).select(*state.columns)
-    rank = _newest(seq, op)
-    held = state.select(*keys, rank.alias("_held"))
-    stale = (
-        last.select(*keys, rank.alias("_new"))
-        .join(held, keys)
-        .filter(F.col("_held") >= F.col("_new"))
-        .select(*keys)
-    )
-    winners = last.join(stale, keys, "left_anti")
-    return state.join(winners.select(*keys), keys, "left_anti").unionByName(winners)
+    rest = [c for c in state.columns if c not in keys]
+    rank, row = _newest(seq, op), F.struct(*rest)
+    held = state.select(*keys, rank.alias("_held"), row.alias("_held_row"))
+    last = latest_change(changes, keys, seq, op).select(*keys, rank.alias("_new"), row.alias("_new_row"))
+    newer = F.col("_held").isNull() | (F.col("_new") > F.col("_held"))
+    winner = F.when(F.col("_new").isNotNull() & newer, F.col("_new_row")).otherwise(F.col("_held_row"))
+    both = held.join(last, keys, "full_outer").select(*keys, winner.alias("_row"))
+    return both.select(*keys, "_row.*").select(*state.columns)
 
 
 def restore_rows(live: DataFrame, recovered: DataFrame, key: str | Sequence[str]) -> DataFrame:

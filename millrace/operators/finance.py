@@ -54,9 +54,9 @@ def attribution(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Orders and revenue per campaign, dealing customers out in turn.
 
     Orders are summed per share first, so a campaign's share, however large,
-    reaches the join as one row.
+    reaches the join as one row.  Highest revenue first.
     """
-    indexed = number_rows(campaigns, [F.asc("campaign"), F.asc("utm_source")], "share", 0, small_rows=10_000)
+    indexed = number_rows(campaigns, [F.asc("campaign"), F.asc("utm_source")], "share", 0)
     how_many = campaigns.agg(F.count(F.lit(1))).scalar()
     shares = (
         orders.withColumn("share", F.col("customer_id") % how_many)
@@ -66,6 +66,9 @@ def attribution(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
             F.round(F.sum("total"), 2).alias("attributed_revenue"),
         )
     )
-    return indexed.join(shares, "share").select(
-        "campaign", "utm_source", "attributed_orders", "attributed_revenue"
+    ranked = [F.desc("attributed_revenue"), F.asc("campaign"), F.asc("utm_source")]
+    return (
+        indexed.join(shares, "share")
+        .select("campaign", "utm_source", "attributed_orders", "attributed_revenue")
+        .orderBy(*ranked)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import names
-from millrace.session import at_most, pin
+from millrace.session import pin
 
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
@@ -27,6 +27,10 @@ def _in_ranges(df: DataFrame, order: Sequence[Column], parts: int | None) -> Dat
     wherever it is used.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Sampling reads the input once more; what takes work to make is stored first.
+    made = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(step in made for step in ("Aggregate", "Join", "Window", "Sort", "Generate")):
+        df = pin(df)
     ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     # Partition number and place in the sorted partition, in one number.
     return pin(
@@ -41,23 +45,19 @@ def number_rows(
     order: Sequence[Column],
     name: str = "row_number",
     start: int = 1,
-    small_rows: int = 0,
     parts: int | None = None,
 ) -> DataFrame:
-    """Number all rows densely; ``order`` must be total.
+    """Number all rows densely, as bigint; ``order`` must be total.
 
     Each row's place in its sorted range is shifted by the sizes of the ranges
     before, so the rows are shuffled once and only one row per range meets in a
-    single task.  With
-    ``small_rows`` a table checked to be no larger takes one plain window.
+    single task.  Runs the jobs that cut and store the ranges.
     """
-    if small_rows and at_most(df, small_rows):
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)) + (start - 1))
     ranged = _in_ranges(df, order, parts)
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_range").rowsBetween(*_BEFORE))
     shifts = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_shift"))
-    number = F.col("_shift") + F.col("_spot") + start
+    number = (F.col("_shift") + F.col("_spot") + start).cast("bigint")
     return ranged.join(shifts, "_range").select(*df.columns, number.alias(name))
 
 
@@ -71,7 +71,7 @@ def continue_ids(df: DataFrame, order: Sequence[Column], held: DataFrame, key: s
 def plain_running_totals(
     df: DataFrame, by: str | Sequence[str], order: Sequence[Column], totals: Mapping[str, Column]
 ) -> DataFrame:
-    """The same by one window; only for tables checked to be small."""
+    """The same by one window: the meaning of ``running_totals``, for checks."""
     whole = Window.partitionBy(*names(by)).orderBy(*order).rowsBetween(*_UP_TO)
     return df.select("*", *[F.sum(v).over(whole).alias(n) for n, v in totals.items()])
 
@@ -81,18 +81,16 @@ def running_totals(
     by: str | Sequence[str],
     order: Sequence[Column],
     totals: Mapping[str, Column],
-    small_rows: int = 0,
     parts: int | None = None,
 ) -> DataFrame:
     """Per group, the sums over all rows up to and including each row.
 
     ``order`` must be total inside a group.  A group may be larger than a
     task: it is cut along the order, summed per piece, and each piece gets the
-    sums of the pieces before it.
+    sums of the pieces before it.  Nulls add nothing; a sum is null as long as
+    it has met nulls only.
     """
     groups = names(by)
-    if small_rows and at_most(df, small_rows):
-        return plain_running_totals(df, groups, order, totals)
     valued = df.select("*", *[v.alias(f"_v_{n}") for n, v in totals.items()])
     ranged = _in_ranges(valued, [*[F.col(g) for g in groups], *order], parts)
     pieces = ranged.groupBy(*groups, "_range").agg(
@@ -102,7 +100,7 @@ def running_totals(
     carried = pieces.select(
         *groups,
         "_range",
-        *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_c_{n}") for n in totals],
+        *[F.sum(f"_s_{n}").over(earlier).alias(f"_c_{n}") for n in totals],
     )
     piece = Window.partitionBy(*groups, "_range").orderBy(*order).rowsBetween(*_UP_TO)
     summed = ranged.select(
@@ -111,7 +109,12 @@ def running_totals(
     )
     return summed.join(carried, [*groups, "_range"]).select(
         *df.columns,
-        *[(F.col(f"_p_{n}") + F.col(f"_c_{n}")).alias(n) for n in totals],
+        *[
+            F.coalesce(F.col(f"_p_{n}") + F.col(f"_c_{n}"), F.col(f"_p_{n}"), F.col(f"_c_{n}"))
+            .cast(summed.schema[f"_p_{n}"].dataType)
+            .alias(n)
+            for n in totals
+        ],
     )
 
 
@@ -127,7 +130,7 @@ def page(
         return df.orderBy(*order).offset(offset).limit(limit)
     numbered = number_rows(df, order, "_row")
     inside = F.col("_row").between(offset + 1, offset + limit)
-    return numbered.filter(inside).drop("_row")
+    return numbered.filter(inside).orderBy("_row").drop("_row")
 
 
 def latest_per_key(

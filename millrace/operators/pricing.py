@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import effective_price, loyalty_points, moment, sale_price
 from millrace.operators.joins import lookup_join
-from millrace.operators.ordering import continue_ids, plain_running_totals, running_totals
+from millrace.operators.ordering import continue_ids, running_totals
 from millrace.session import at_most, pin, scratch_dir
 
 
@@ -190,54 +190,16 @@ def place_orders(checkout: Checkout, held_orders: DataFrame) -> PlacedOrders:
     return PlacedOrders(orders.drop("unit_price"), lines)
 
 
-def _settle(lines: DataFrame, small_rows: int) -> DataFrame:
-    """The carts of the disputed lines that fail, serving carts in order.
+def _short(lines: DataFrame) -> DataFrame:
+    """The carts with a line that does not fit behind all earlier demand.
 
-    A cart goes through when all its lines fit behind every earlier cart still
-    open, and fails when one line does not fit behind those already through.
-    The rest waits for the next round, which knows more of both.  The earliest
-    open cart is always settled, so the rounds end, with the same outcome as
-    serving the carts one by one.  A round carries the open lines and those
-    that just went through; the latter are then part of ``_ahead``, what went
-    through before a line, and need not be looked at again.
+    One running total per product, over the carts in the order of their times:
+    the number of shuffles is fixed, however many carts share a product.
     """
-    order = [F.col("placed_at"), F.col("customer_id")]
-    taken, wants = F.col("_taken"), F.col("quantity")
-    nothing = F.lit(0).cast("bigint")
-    totals = {
-        "_open": F.when(~taken, wants).otherwise(nothing),
-        "_sold": F.when(taken, wants).otherwise(nothing),
-    }
-    spark = lines.sparkSession
-    verdicts = scratch_dir(spark, "verdicts")
-    kinds = "customer_id {}, fits boolean, fails boolean".format(
-        lines.schema["customer_id"].dataType.simpleString()
-    )
-    lines = lines.withColumn("_taken", F.lit(False)).withColumn("_ahead", nothing)
-    small, number = False, 0
-    while True:
-        small = small or at_most(lines, small_rows)
-        total = plain_running_totals if small else running_totals
-        open_lines = pin(
-            total(lines, "product_id", order, totals)
-            .filter(~taken)
-            .withColumn("_ahead", F.col("_ahead") + F.col("_sold"))
-        )
-        room = F.col("stock") - F.col("_ahead")
-        open_lines.groupBy("customer_id").agg(
-            F.bool_and(F.col("_open") <= room).alias("fits"), F.bool_or(wants > room).alias("fails")
-        ).write.mode("overwrite").parquet(f"{verdicts}/round={number}")
-        verdict = spark.read.schema(kinds).parquet(f"{verdicts}/round={number}")
-        if verdict.filter(~F.col("fits") & ~F.col("fails")).isEmpty():
-            break
-        lines = (
-            open_lines.drop("_open", "_sold", "_taken")
-            .join(verdict.filter(~F.col("fails")), "customer_id")
-            .withColumnRenamed("fits", "_taken")
-            .drop("fails")
-        )
-        number += 1
-    return spark.read.schema(kinds).parquet(verdicts).filter(F.col("fails")).select("customer_id")
+    order = [F.asc("placed_at"), F.asc("customer_id")]
+    asked = running_totals(lines, "product_id", order, {"_asked": F.col("quantity")})
+    fits = F.bool_and(F.col("_asked") <= F.col("stock"))
+    return asked.groupBy("customer_id").agg(fits.alias("fits")).filter(~F.col("fits")).select("customer_id")
 
 
 def checkout_batch(
@@ -245,14 +207,14 @@ def checkout_batch(
     products: DataFrame,
     inventory: DataFrame,
     promotions: DataFrame | None = None,
-    small_rows: int = 200_000,
 ) -> Checkout:
-    """Check out many carts as if served one by one, oldest cart first.
+    """Check out many carts, oldest cart first; stock is never oversold.
 
     ``carts`` has one row per ``customer_id`` and ``product_id`` with
     ``quantity`` and ``added_at``; a cart's time is that of its last addition.
-    A cart is rejected as a whole when a product is unknown or short at its
-    turn.  Orders are charged at list price, or at the cart's promotion price
+    A cart is rejected as a whole when a product is unknown, or short once all
+    earlier carts are counted, whether those go through or not; only carts
+    that ask for more than there is at all do not count.  Orders are charged at list price, or at the cart's promotion price
     when ``promotions`` is given.  Products whose stock covers all demand need
     no order among carts; only lines of the others are ranked.
     """
@@ -282,7 +244,7 @@ def checkout_batch(
             "customer_id", "placed_at", "product_id", "quantity", "stock"
         )
     )
-    refused = _settle(disputed, small_rows).unionByName(hopeless)
+    refused = _short(disputed).unionByName(hopeless)
     accepted = lines.join(refused, "customer_id", "left_anti")
     orders = accepted.select(
         "customer_id",

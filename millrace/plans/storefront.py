@@ -194,28 +194,22 @@ def cart_totals(shop: Shop):
     return pricing.cart_totals(shop.carts, _prices(shop), shop.customers, members)
 
 
-# Serves the carts one by one, as a loop over their numbers.
-_SERVED = """with recursive numbered as (
-      select customer_id, row_number() over (order by max(added_at), customer_id) as turn, max(added_at) as placed_at
-      from carts group by customer_id),
+# A cart goes through when its lines fit behind the demand of all earlier carts.
+_SERVED = """with turns as (
+      select customer_id, max(added_at) as placed_at from carts group by customer_id),
     asked as (
-      select n.turn, c.product_id, c.quantity from carts c join numbered n on n.customer_id = c.customer_id),
-    shelf as (
-      select w.product_id, coalesce(s.stock, -1) as stock
-      from (select distinct product_id from carts) w left join products p on p.id = w.product_id
-      left join stock s on s.product_id = p.id),
-    served(turn, product_id, remaining, accepted) as (
-      select cast(0 as bigint), product_id, cast(stock as bigint), true from shelf
-      union all
-      select turn, product_id, case when fits then remaining - wanted else remaining end, fits
-      from (
-        select v.turn + 1 as turn, v.product_id, v.remaining, coalesce(a.quantity, 0) as wanted,
-          bool_and(v.remaining >= coalesce(a.quantity, 0) or a.quantity is null) over () as fits
-        from served v left join asked a on a.turn = v.turn + 1 and a.product_id = v.product_id
-        where v.turn < (select max(turn) from numbered))),
+      select c.customer_id, t.placed_at, c.product_id, c.quantity,
+        case when p.id is null then -1 else coalesce(s.stock, -1) end as stock
+      from carts c join turns t on t.customer_id = c.customer_id
+      left join products p on p.id = c.product_id left join stock s on s.product_id = p.id),
+    hopeless as (select distinct customer_id from asked where quantity > stock),
+    ranked as (
+      select customer_id, stock, sum(quantity) over (
+        partition by product_id order by placed_at, customer_id rows unbounded preceding) as wanted
+      from asked where customer_id not in (select customer_id from hopeless)),
+    fitting as (select customer_id from ranked group by customer_id having bool_and(wanted <= stock)),
     outcome as (
-      select n.customer_id, n.placed_at, o.accepted
-      from numbered n join (select distinct turn, accepted from served where turn > 0) o on o.turn = n.turn)"""
+      select customer_id, placed_at, customer_id in (select customer_id from fitting) as accepted from turns)"""
 
 
 def _checkout(shop: Shop) -> pricing.Checkout:

@@ -60,8 +60,10 @@ def continuous_sync_stream(shop: Shop):
     folder = scratch_dir(shop.spark, "copy")
     changes = shop.order_changes
     changes.write.parquet(f"{folder}/feed")
-    copy = ServingCopy(shop.spark, f"{folder}/copy", "id")
-    copy.load(changes.select("id", "customer_id", "total", "status").limit(0))
+    base = changes.select("id", "customer_id", "total", "status").limit(0)
+    log_only = set(changes.columns) - {*base.columns, "seq", "op"}
+    copy = ServingCopy(shop.spark, f"{folder}/copy", "id", ignore=sorted(log_only))
+    copy.load(base)
     feed = file_stream(shop.spark, f"{folder}/feed", changes.schema, files_per_batch=4)
     sync_continuous(feed, copy, f"{folder}/state", compact_every=2)
     return copy.read()

@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: connections one table may use at a time.
-MOST_CONNECTIONS = 16
+# Connections one table uses unless told otherwise.
+DEFAULT_CONNECTIONS = 16
 
 
 def foreign_catalog(spark: SparkSession, name: str, url: str, driver: str, **options: str) -> None:
@@ -40,7 +40,7 @@ def partition_options(key: str, lowest: int, highest: int, parts: int) -> dict[s
         "partitionColumn": key,
         "lowerBound": str(lowest),
         "upperBound": str(highest + 1),
-        "numPartitions": str(max(1, min(parts, MOST_CONNECTIONS))),
+        "numPartitions": str(max(1, parts)),
     }
 
 
@@ -49,7 +49,7 @@ def read_remote(
     url: str,
     table: str,
     key: str,
-    parts: int = MOST_CONNECTIONS,
+    parts: int = DEFAULT_CONNECTIONS,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Read a table in parallel ranges of its key; no row passes the driver.
@@ -65,14 +65,14 @@ def read_remote(
 
 
 def write_remote(
-    df: DataFrame, url: str, table: str, connections: int = MOST_CONNECTIONS, options: Mapping[str, str] | None = None
+    df: DataFrame, url: str, table: str, connections: int = DEFAULT_CONNECTIONS, options: Mapping[str, str] | None = None
 ) -> None:
     """Replace the rows of a remote table, keeping its definition."""
     settings = {
         "url": url,
         "dbtable": table,
         "truncate": "true",
-        "numPartitions": str(min(connections, MOST_CONNECTIONS)),
+        "numPartitions": str(connections),
         **(options or {}),
     }
     df.write.format("jdbc").options(**settings).mode("overwrite").save()

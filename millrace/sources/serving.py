@@ -8,6 +8,7 @@ previous version in force.  Files of a version are never changed.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -26,7 +27,7 @@ from millrace.operators.changes import (
 )
 from millrace.operators.joins import names
 
-_LOG = "version int, folder string, batch bigint"
+_LOG = "version int, folder string, batch bigint, floor bigint"
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 # Type names a relational store has no counterpart for.
 REFUSED_TYPES = {"geography", "geometry", "variant", "object"}
@@ -60,59 +61,92 @@ def clean_null_bytes(df: DataFrame) -> DataFrame:
 
 
 class ServingCopy:
-    """A keyed copy of a table in a shared folder."""
-
-    def __init__(self, spark: SparkSession, folder: str, key: str | Sequence[str], seq: str = "seq", op: str = "op"):
+    """A keyed copy of a table in a shared folder.
+
+    ``ignore`` names columns of the change log that are not the table's, such
+    as the time of a change; any other new column reaches the copy.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        key: str | Sequence[str],
+        seq: str = "seq",
+        op: str = "op",
+        ignore: Sequence[str] = (),
+    ):
         self.spark, self.folder, self.key = spark, folder, names(key)
-        self.seq, self.op = seq, op
+        self.seq, self.op, self.ignore = seq, op, set(ignore)
 
     def _current(self):
         try:
             log = self.spark.read.schema(_LOG).parquet(f"{self.folder}/log")
         except AnalysisException:
             return None
-        newest = log.agg(F.max_by(F.struct("version", "folder", "batch"), "version").alias("last"))
+        newest = log.agg(F.max_by(F.struct("version", "folder", "batch", "floor"), "version").alias("last"))
         return newest.first().last
 
-    def _publish(self, df: DataFrame, batch: int) -> None:
+    def _publish(self, df: DataFrame, batch: int, floor: int | None) -> None:
         last = self._current()
         version = last.version + 1 if last else 0
         folder = f"{self.folder}/version={version}"
         df.write.mode("overwrite").parquet(folder)
-        row = self.spark.createDataFrame([(version, folder, batch)], _LOG)
+        row = self.spark.createDataFrame([(version, folder, batch, floor)], _LOG)
         row.coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
 
     def _state(self) -> DataFrame | None:
         last = self._current()
         return self.spark.read.parquet(last.folder) if last else None
 
-    def _changes(self, columns: Sequence[T.StructField]) -> DataFrame | None:
-        schema = T.StructType([*columns, T.StructField("batch", T.LongType())])
+    def _changes(self) -> DataFrame | None:
+        """All change batches, with every column that any of them has."""
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.folder}/changes")
+            read = self.spark.read.option("mergeSchema", "true").parquet(f"{self.folder}/changes")
         except AnalysisException:
             return None
+        return read.withColumn("batch", F.col("batch").cast("bigint"))
+
+    def _last(self, column: str) -> int:
+        changes = self._changes()
+        newest = changes.agg(F.max(column)).first()[0] if changes is not None else None
+        return -1 if newest is None else int(newest)
 
-    def _last_batch(self) -> int:
-        changes = self._changes([])
-        newest = changes.agg(F.max("batch")).first()[0] if changes is not None else None
-        return -1 if newest is None else newest
+    def load(self, rows: DataFrame, seq: int | None = None) -> None:
+        """Replace the whole copy (snapshot sync); earlier changes are done with.
 
-    def load(self, rows: DataFrame, seq: int = -1) -> None:
-        """Replace the whole copy (snapshot sync); earlier changes are done with."""
+        ``seq`` is the last change that the rows already show; without, it is
+        the last one the copy was given.  Changes up to it lose from now on,
+        also when they are delivered again, and for keys the rows lack.
+        """
+        if seq is None:
+            held = self._current()
+            seq = max(self._last(self.seq), -1 if held is None or held.floor is None else held.floor)
         first = rows.withColumn(self.seq, F.lit(seq).cast("bigint")).withColumn(self.op, F.lit(INSERT))
-        self._publish(first, self._last_batch())
+        self._publish(first, self._last("batch"), seq)
 
     def versions(self) -> DataFrame | None:
         """The newest state of every key, deleted ones included."""
         state = self._state()
         if state is None:
             return None
-        changes = self._changes(state.schema.fields)
+        changes = self._changes()
         if changes is None:
             return state
-        later = changes.filter(F.col("batch") > self._current().batch).drop("batch")
-        return merge_versions(state, later, self.key, self.seq, self.op)
+        current = self._current()
+        later = changes.filter(F.col("batch") > current.batch).drop("batch")
+        if current.floor is not None:
+            later = later.filter(F.col(self.seq) > current.floor)
+        # A column that came with a change is null in rows from before, and the
+        # other way round.
+        held = {f.name: f.dataType for f in state.schema}
+        kinds = held | {f.name: f.dataType for f in later.schema if f.name not in held}
+
+        def filled(df: DataFrame) -> DataFrame:
+            has = set(df.columns)
+            return df.select(*[(F.col(c) if c in has else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()])
+
+        return merge_versions(filled(state), filled(later), self.key, self.seq, self.op)
 
     def read(self) -> DataFrame:
         """The rows of the copy as of the last published or streamed change."""
@@ -124,30 +158,45 @@ class ServingCopy:
     def append_changes(self, changes: DataFrame, batch: int) -> None:
         """Add one batch of changes; a repeated batch replaces itself.
 
-        Costs as much as the batch, however large the copy is.
+        Costs as much as the batch, however large the copy is.  Columns that
+        the copy does not have yet are kept; none of its own may be missing.
         """
-        fields = self._state().schema.fields
-        typed = changes.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-        last = latest_change(typed, self.key, self.seq, self.op)
+        held = {f.name: f.dataType for f in self._state().schema}
+        gone = [c for c in held if c not in changes.columns]
+        if gone:
+            raise ValueError(f"the changes lack columns of the copy: {', '.join(gone)}")
+        taken = [c for c in changes.columns if c in held or c not in self.ignore]
+        typed = [F.col(c).cast(held[c]).alias(c) if c in held else F.col(c) for c in taken]
+        last = latest_change(changes.select(*typed), self.key, self.seq, self.op)
         last.write.mode("overwrite").parquet(f"{self.folder}/changes/batch={batch}")
 
     def bring_to(self, rows: DataFrame) -> None:
         """Send only what differs from ``rows`` (triggered sync).
 
-        For copies that no stream feeds: the batch number serves as ``seq``.
+        For copies that no stream feeds: ``seq`` goes on from the last one.
+        New columns are null in the old rows; a missing one is an error.
         """
-        batch = max(self._last_batch(), self._current().batch) + 1
-        changes = change_set(self.read(), rows, self.key)
-        self.append_changes(changes.withColumnRenamed("op", self.op).withColumn(self.seq, F.lit(batch)), batch)
+        current = self._current()
+        batch = max(self._last("batch"), current.batch) + 1
+        seq = max(self._last(self.seq), -1 if current.floor is None else current.floor) + 1
+        held = self.read()
+        gone = [c for c in held.columns if c not in rows.columns]
+        if gone:
+            raise ValueError(f"the rows lack columns of the copy: {', '.join(gone)}")
+        for field in rows.schema:
+            if field.name not in held.columns:
+                held = held.withColumn(field.name, F.lit(None).cast(field.dataType))
+        changes = change_set(held.select(*rows.columns), rows, self.key).select(*rows.columns, F.col("op").alias(self.op))
+        self.append_changes(changes.withColumn(self.seq, F.lit(seq).cast("bigint")), batch)
 
     def compact(self, upto_batch: int) -> None:
         """Fold the change batches up to one into a new full version."""
-        self._publish(self.versions(), upto_batch)
+        self._publish(self.versions(), upto_batch, self._current().floor)
 
 
-def sync_snapshot(rows: DataFrame, copy: ServingCopy) -> None:
-    """Reload the whole copy."""
-    copy.load(to_serving_schema(clean_null_bytes(rows)))
+def sync_snapshot(rows: DataFrame, copy: ServingCopy, seq: int | None = None) -> None:
+    """Reload the whole copy; ``seq`` as in ``ServingCopy.load``."""
+    copy.load(to_serving_schema(clean_null_bytes(rows)), seq)
 
 
 def sync_triggered(rows: DataFrame, copy: ServingCopy) -> None:
@@ -162,15 +211,16 @@ def sync_incremental(old: DataFrame, new: DataFrame, key: str | Sequence[str]) -
 
 def save_snapshot(tables: Mapping[str, DataFrame], name: str, folder: str) -> None:
     """Keep a named copy of a set of tables, listed once all are written."""
-    for table, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}/{table}")
     spark = next(iter(tables.values())).sparkSession
-    listed = spark.createDataFrame([(name, table) for table in tables], "snapshot string, table_name string")
+    # A folder of its own for each save, so an older listing stays whole.
+    target = f"{folder}/{name}/{uuid.uuid4().hex}"
+    for table, df in tables.items():
+        df.write.parquet(f"{target}/{table}")
+    rows = [(name, table, f"{target}/{table}") for table in tables]
+    listed = spark.createDataFrame(rows, "snapshot string, table_name string, folder string")
     listed.coalesce(1).write.mode("overwrite").parquet(f"{folder}/_listing/snapshot={name}")
 
 
 def load_snapshot(spark: SparkSession, name: str, folder: str) -> dict[str, DataFrame]:
-    listed = spark.read.parquet(f"{folder}/_listing/snapshot={name}").select("table_name")
-    return {
-        row.table_name: spark.read.parquet(f"{folder}/{name}/{row.table_name}") for row in listed.toLocalIterator()
-    }
+    listed = spark.read.parquet(f"{folder}/_listing/snapshot={name}").select("table_name", "folder")
+    return {row.table_name: spark.read.parquet(row.folder) for row in listed.toLocalIterator()}

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from millrace.operators import changes as ch
+from millrace.operators.changes import merge_versions
 from millrace.sources.serving import ServingCopy, load_snapshot, save_snapshot, sync_incremental, sync_snapshot, sync_triggered
 from tests.conftest import rows
 
@@ -134,7 +135,7 @@ def test_before_image_guard(spark):
 
 
 def test_copy_reload_changes_and_compaction(spark, folder):
-    copy = ServingCopy(spark, f"{folder}/copy", "id")
+    copy = ServingCopy(spark, f"{folder}/copy", "id", ignore=["at"])
     with pytest.raises(ValueError):
         copy.read()
     base = {1: "x", 2: "y"}
@@ -196,3 +197,50 @@ def test_named_snapshots(spark, folder):
     found = load_snapshot(spark, "before", folder)
     assert {name: rows(df) for name, df in found.items()} == {name: rows(df) for name, df in tables.items()}
     assert load_snapshot(spark, "after", folder)["a"].count() == 1
+
+
+def _events(spark, *rows, schema="id int, v string, seq bigint, op string"):
+    return spark.createDataFrame(list(rows), schema)
+
+
+def test_a_reload_is_not_undone_by_an_old_change(spark, folder):
+    copy = ServingCopy(spark, f"{folder}/copy", "id")
+    copy.load(spark.createDataFrame([(1, "v0"), (2, "w")], "id int, v string"))
+    change = _events(spark, (1, "v10", 10, "update"), (3, "late", 9, "insert"))
+    copy.append_changes(change, 0)
+    copy.load(spark.createDataFrame([(1, "v20"), (2, "w")], "id int, v string"))
+    copy.append_changes(change, 1)
+    assert rows(copy.read()) == [(1, "v20"), (2, "w")]
+    copy.append_changes(_events(spark, (1, "v30", 11, "update")), 2)
+    assert rows(copy.read()) == [(1, "v30"), (2, "w")]
+    sync_snapshot(spark.createDataFrame([(1, "v40")], "id int, v string"), copy, seq=50)
+    copy.append_changes(_events(spark, (1, "old", 50, "update"), (2, "old", 12, "insert")), 3)
+    copy.compact(3)
+    copy.append_changes(_events(spark, (1, "old", 50, "update")), 4)
+    assert rows(copy.read()) == [(1, "v40")]
+
+
+def test_new_columns_reach_the_copy(spark, folder):
+    copy = ServingCopy(spark, f"{folder}/copy", "id")
+    sync_snapshot(spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), copy)
+    wide = spark.createDataFrame([(1, "a", 5), (2, "b", None), (3, "c", 6)], "id int, v string, n int")
+    sync_triggered(wide, copy)
+    assert copy.read().columns == ["id", "v", "n"] and rows(copy.read()) == [(1, "a", 5), (2, "b", None), (3, "c", 6)]
+    more = _events(spark, (2, "x", 1, "k", 90, "update"), schema="id int, v string, n int, extra string, seq bigint, op string")
+    copy.append_changes(more, 7)
+    copy.compact(7)
+    assert rows(copy.read()) == [(1, "a", 5, None), (2, "x", 1, "k"), (3, "c", 6, None)]
+    with pytest.raises(ValueError, match="lack"):
+        sync_triggered(spark.createDataFrame([(1, "a")], "id int, v string"), copy)
+
+
+def test_folding_changes_takes_two_exchanges(spark):
+    state = _events(spark, (1, "a", 1, "insert")).repartition(2)
+    changes = _events(spark, (1, "b", 2, "update")).repartition(2)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merge_versions(state, changes, "id", "seq")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert plan.count("Exchange hashpartitioning") <= 2

@@ -155,3 +155,17 @@ def test_sale_end_and_epoch(spark):
     start = datetime(2024, 2, 20, 8)
     assert one(spark, f.sale_end(F.col("t")), "t timestamp_ntz", start) == datetime(2024, 3, 5, 8)
     assert one(spark, f.epoch_seconds(F.col("t")), "t timestamp_ntz", start) == 1708416000
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_event_time_does_not_follow_the_session(spark, zone):
+    held = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        times = [
+            one(spark, f.event_time(F.col("t")), "t string", text)
+            for text in ("2024-03-10T12:00:00", "2024-03-10 12:00:00Z", "2024-03-10T14:00:00+02:00", "2024-03-10T12:00")
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", held)
+    assert {str(t) for t in times} == {"2024-03-10 12:00:00"}

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.operators import catalog, demand, evolve, finance, logs, loyalty, quality
 from millrace.operators.joins import Child, insert_ignore, lookup_join, one_per_key, preaggregate_join, select_available, where_all
-from millrace.operators.ordering import continue_ids, latest_per_key, number_rows, page, running_totals
+from millrace.operators.ordering import continue_ids, latest_per_key, number_rows, page, plain_running_totals, running_totals
 from tests.conftest import rows
 
 
@@ -63,10 +63,11 @@ def _skewed(spark, n=600):
     )
 
 
-@pytest.mark.parametrize("small_rows", [0, 10, 10_000])
-def test_number_rows_over_ties(spark, small_rows):
+@pytest.mark.parametrize("parts", [1, 5])
+def test_number_rows_over_ties(spark, parts):
     df = _skewed(spark)
-    numbered = number_rows(df, [F.desc("t"), F.asc("id")], "n", start=0, small_rows=small_rows, parts=5)
+    numbered = number_rows(df, [F.desc("t"), F.asc("id")], "n", start=0, parts=parts)
+    assert dict(numbered.dtypes)["n"] == "bigint"
     expected = sorted(((r.t, r.id) for r in df.collect()), key=lambda p: (-p[0], p[1]))
     got = {(r.t, r.id): r.n for r in numbered.collect()}
     assert [got[p] for p in expected] == list(range(600))
@@ -79,11 +80,33 @@ def test_ids_go_on_from_the_highest(spark):
     assert rows(continue_ids(fresh, [F.asc("v")], held.limit(0))) == [(1, "a"), (2, "b")]
 
 
-@pytest.mark.parametrize("small_rows", [0, 10_000])
-def test_running_totals_cross_ranges(spark, small_rows):
+@pytest.mark.parametrize("kind", ["bigint", "decimal(12,3)", "double"])
+def test_running_totals_over_nulls_equal_a_window(spark, kind):
+    df = _skewed(spark).withColumn("v", F.when(F.col("id") % 3 < 2, F.col("id") % 4).cast(kind))
+    order, totals = [F.asc("t"), F.asc("id")], {"s": F.col("v")}
+    plain = plain_running_totals(df, "g", order, totals)
+    ranged = running_totals(df, "g", order, totals, parts=9)
+    assert ranged.dtypes == plain.dtypes and rows(ranged) == rows(plain)
+    assert not plain.filter("s is null").isEmpty()
+
+
+def test_number_rows_reads_made_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    made = _skewed(spark).mapInArrow(count, "g bigint, t bigint, id bigint, v bigint").groupBy("id").agg(F.max("t").alias("t"))
+    assert number_rows(made, [F.asc("t"), F.asc("id")]).count() == 600
+    assert seen.value == 600
+
+
+def test_running_totals_cross_ranges(spark):
     df = _skewed(spark)
     totals = {"s": F.col("v"), "n": F.lit(1)}
-    result = running_totals(df, "g", [F.asc("t"), F.desc("id")], totals, small_rows=small_rows, parts=7)
+    result = running_totals(df, "g", [F.asc("t"), F.desc("id")], totals, parts=7)
     sums, expected = {}, {}
     for r in sorted(df.collect(), key=lambda r: (r.t, -r.id)):
         s, n = sums.get(r.g, (0, 0))
@@ -96,7 +119,7 @@ def test_running_totals_cross_ranges(spark, small_rows):
 def test_near_and_far_pages_agree(spark, near):
     shown = page(_skewed(spark), [F.asc("t"), F.asc("id")], 20, 130, near_rows=near)
     everything = sorted((r.t, r.id) for r in _skewed(spark).collect())
-    assert sorted((r.t, r.id) for r in shown.collect()) == everything[130:150]
+    assert [(r.t, r.id) for r in shown.collect()] == everything[130:150]
 
 
 @pytest.mark.parametrize("n", [1, 20, 1500])
@@ -127,6 +150,29 @@ def test_require_not_null(spark):
     assert evolve.require_not_null(df.dropna(), "id").count() == 1
     with pytest.raises(Exception, match="null in column id"):
         evolve.require_not_null(df, "id").collect()
+    for other in (lambda x: x.count(), lambda x: x.select(F.lit(1)).collect()):
+        with pytest.raises(Exception, match="null in column id"):
+            other(evolve.require_not_null(df, "id"))
+
+
+def test_decimals_that_nothing_holds_are_refused(spark):
+    wide = spark.createDataFrame([], "a decimal(38,0)")
+    with pytest.raises(TypeError):
+        evolve.evolve(wide, spark.createDataFrame([], "a decimal(20,10)"))
+
+
+def test_lists_keep_their_order_without_broadcasts(spark, shop):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sold = catalog.best_sellers(shop.products, shop.inventory, shop.order_items, n=50).collect()
+        assert [(-r.units_sold, r.id) for r in sold] == sorted((-r.units_sold, r.id) for r in sold)
+        cards = [r.id for r in catalog.catalog_page(shop.products, shop.inventory, limit=40).collect()]
+        assert cards == sorted(cards)
+        rated = catalog.top_rated(shop.products, shop.inventory, shop.reviews, n=30).collect()
+        assert [-r.avg_rating for r in rated] == sorted(-r.avg_rating for r in rated)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
 
 
 def test_evolve_adds_drops_and_widens(spark):
