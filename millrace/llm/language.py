@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import by_batch, raw
+from millrace.llm.common import by_batch, raw, stored
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 _TAIL = 3  # bytes that the widest filter reads behind its first
 NONE = "und"
+_SHORT = 100_000  # ids sent to all tasks at most
 
 
 @dataclass
@@ -139,7 +140,10 @@ def sample(documents: DataFrame, learn: Column, per_language: int = 400, per_tex
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = usable.where(F.length("text") > 0).select("doc_id", "lang")
     chosen = chosen.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language)
-    kept = usable.join(chosen.select("doc_id", "lang").distinct(), ["doc_id", "lang"], "left_semi")
+    chosen = stored(chosen.select("doc_id", "lang").distinct())
+    # A short list as long as there are not very many languages.
+    chosen = F.broadcast(chosen) if chosen.count() <= _SHORT else chosen
+    kept = usable.join(chosen, ["doc_id", "lang"], "left_semi")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         languages, out = batch.column(1).to_pylist(), ([], [], [])
