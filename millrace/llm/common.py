@@ -175,6 +175,19 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
+def gathered(batches: Iterator[pa.RecordBatch], least: int = 1 << 17) -> Iterator[pa.Table]:
+    """Batches put together to tables of a fair size."""
+    some: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            some.append(batch)
+        if sum(b.num_rows for b in some) >= least:
+            yield pa.Table.from_batches(some)
+            some = []
+    if some:
+        yield pa.Table.from_batches(some)
+
+
 def heads(rows: DataFrame, key: str, order: list[str], head: list[str]) -> DataFrame:
     """Rows of the groups of ``key`` that have several different rows, each
     with the ``head`` columns (as ``head_*``) of a first row of its group.
@@ -191,11 +204,10 @@ def heads(rows: DataFrame, key: str, order: list[str], head: list[str]) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = leader = first_key = before = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
-            if table.num_rows:
-                out, held, leader, first_key, before = _marked(table, columns, key, order, head, leader, first_key, before)
-                yield from out.combine_chunks().to_batches()
+        for table in gathered(batches):
+            table = table if held is None else pa.concat_tables([held, table])
+            out, held, leader, first_key, before = _marked(table, columns, key, order, head, leader, first_key, before)
+            yield from out.combine_chunks().to_batches()
         if held is not None:
             source = leader if before is not None and before == held.column(key)[0].as_py() else held
             for c in head:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Words, by_batch, firsts, lists, marked, marks_of, mix, portions, raw, sorted_within, stored
+from millrace.llm.common import Words, by_batch, firsts, gathered, lists, marked, marks_of, mix, portions, raw, sorted_within, stored
 
 _COUNTERS = 1 << 21
 _SLICES = 32
@@ -151,7 +151,7 @@ def _words_of(documents: DataFrame, least_words: int, texts_wanted: np.ndarray,
                 words.append(hashes[starts[i] : starts[i] + sizes[i]].tobytes())
         return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(words, pa.binary())], ["set", "words"])
 
-    rows = documents.select(marked(F.col("doc_id").cast("long")).alias("mark"), "text")
+    rows = documents.select(marked(F.col("doc_id").cast("long")).alias("mark"), "text").where("text is not null")
     return by_batch(rows, work, "set long, words binary").dropDuplicates(["set"])
 
 
@@ -242,10 +242,8 @@ def _candidates(rows: DataFrame, percent: int, most: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, opened = None, None  # rows of the last group so far; a word whose group is or may be in parts
         first = True
-        for batch in batches:
-            table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
-            if not table.num_rows:
-                continue
+        for table in gathered(batches):
+            table = table if held is None else pa.concat_tables([held, table])
             words = table.column("word").to_numpy()
             if first:
                 opened, first = int(words[0]), False
