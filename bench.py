@@ -22,6 +22,9 @@ HEADLINE = [
     "best_sellers",
     "latest_reviews",
     "order_history",
+    "supplier_demand",
+    "checkout_batch",
+    "checkout_points",
     "orders_usd",
     "loyalty_members",
     "attribution",

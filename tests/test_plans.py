@@ -8,12 +8,13 @@ from millrace.operators import demand
 from millrace.operators.catalog import latest_reviews
 from millrace.operators.changes import apply_changes, change_set, choose_sync_mode
 from millrace.operators.joins import lookup_join
+from millrace.plans.registry import load
 from millrace.plans.shop import Shop
 from millrace.session import cluster_settings
 from millrace.sources import tables
 from tests.conftest import DATA
 
-STREAMS = {name for name in queries() if name.endswith("_stream")}
+STREAMS = {name for name in load() if name.endswith("_stream")}
 
 
 def plan(df, capsys):
@@ -29,7 +30,7 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(load()) - STREAMS))
 def test_no_pairs_and_no_udf(spark, no_broadcast, capsys, name):
     text = plan(queries()[name](spark, DATA), capsys)
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):

@@ -81,7 +81,7 @@ def test_clean_null_bytes(spark):
 
 def test_partition_options():
     options = remote.partition_options("id", 5, 104, 64)
-    assert options == {"partitionColumn": "id", "lowerBound": "5", "upperBound": "105", "numPartitions": "16"}
+    assert options == {"partitionColumn": "id", "lowerBound": "5", "upperBound": "105", "numPartitions": "64"}
 
 
 def test_foreign_catalog_settings(spark):
