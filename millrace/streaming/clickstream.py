@@ -36,7 +36,7 @@ def event_to_json(events: DataFrame) -> DataFrame:
         iso_text(F.col(f.name)).alias(f.name) if f.dataType == T.TimestampNTZType() else F.col(f.name)
         for f in events.schema
     ]
-    return events.select(F.to_json(F.struct(*columns)).alias("value"))
+    return events.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def event_from_json(texts: DataFrame, schema: T.StructType) -> DataFrame:
@@ -53,18 +53,22 @@ def ingest_json_events(
 ) -> StreamingQuery:
     """Append JSON events to a folder of files.
 
-    Events that do not parse or do not match the schema are kept, with their
+    An event must have the schema's fields, all and no others, of its types;
+    null is a value.  Those that do not, or do not parse, are kept, with their
     text, in the partition ``rejected=true``; nothing is lost or stops the feed.
     """
     with_text = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    events = (
-        spark.readStream.schema(with_text)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("maxFilesPerTrigger", files_per_batch or 1000)
-        .json(source)
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch or 1000).text(source)
+    parsed = F.from_json("value", with_text, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    fields = F.array(*[F.lit(name) for name in sorted(schema.fieldNames())])
+    exact = F.coalesce(F.array_sort(F.json_object_keys("value")) == fields, F.lit(False))
+    events = lines.filter(F.length(F.trim("value")) > 0).select("value", parsed.alias("_event"), exact.alias("_exact"))
+    rejected = ~F.col("_exact") | F.col("_event._corrupt_record").isNotNull()
+    marked = events.select(
+        *[F.when(~rejected, F.col(f"_event.{name}")).alias(name) for name in schema.fieldNames()],
+        F.when(rejected, F.col("value")).alias("_corrupt_record"),
+        rejected.alias("rejected"),
     )
-    marked = events.withColumn("rejected", F.col("_corrupt_record").isNotNull())
     return run_to_end(to_files(marked, target, checkpoint, partition_by="rejected"))
 
 

@@ -81,7 +81,14 @@ def test_gold_table_is_replaced(spark, shop, folder):
 
 def test_json_ingest_keeps_bad_events_apart(spark, folder):
     good = [{"event_type": "view", "product_id": i, "event_ts": "2026-07-29T10:15:42.000001+00:00"} for i in range(5)]
-    bad = ["{not json", json.dumps({**good[0], "product_id": "x"})]
+    bad = [
+        "{not json",
+        "[]",
+        json.dumps({**good[0], "product_id": "x"}),
+        json.dumps({"evt": "view"}),
+        json.dumps({k: v for k, v in good[0].items() if k != "product_id"}),
+        json.dumps({**good[0], "extra": 1}),
+    ]
     feed = Path(folder) / "feed"
     feed.mkdir()
     (feed / "1.json").write_text("\n".join([json.dumps(e) for e in good[:3]] + bad))
