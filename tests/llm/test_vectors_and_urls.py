@@ -160,8 +160,9 @@ def test_pipeline_against_plain_stages(spark, tmp_path_factory):
         if name == "source_mixing":
             copies = Counter(r[0] for r in after)
             assert max(copies.values()) <= 2 and set(after) <= set(before)
+            sizes = [len(cases.words(r[1])) for r in before]
             words = sum(len(cases.words(r[1])) for r in after)
-            assert abs(words - 1.5 * sum(len(cases.words(r[1])) for r in before)) < 0.1 * words
+            assert abs(words - 1.5 * sum(sizes)) <= max(sizes)  # one text holds most words here
         kept.append(len(after))
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
     assert Counter(p["doc_id"] for p in pieces if p["start"] == 0) == Counter(r["doc_id"] for r in docs.collect())
