@@ -55,10 +55,10 @@ def word_counts(documents: DataFrame) -> np.ndarray:
         total = np.zeros(_COUNTERS, np.int64)
         for batch in batches:
             texts = raw(batch.column(0))
-            places = [Words(texts[some]).hashes & np.uint64(_COUNTERS - 1) for some in portions(texts)]
-            if not places:
-                continue
-            total += np.bincount(np.concatenate(places).astype(np.int64), minlength=_COUNTERS)
+            # A count touches the whole table, so it is not done for each portion.
+            for part in portions(texts, 1 << 22):
+                places = [(Words(texts[part][some]).hashes & np.uint64(_COUNTERS - 1)).astype(np.uint32) for some in portions(texts[part])]
+                total += np.bincount(np.concatenate(places), minlength=_COUNTERS)
         if total.any():
             parts = [x.astype(np.uint32).tobytes() for x in np.split(total, _SLICES)]  # of one task
             yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])

@@ -40,7 +40,7 @@ _BLOCK = 1 << 18  # tokens solved at once
 _TOGETHER = 1 << 20  # bytes of text whose runs are told apart together
 _STEP = 32  # tokens between possible cuts inside a sentence
 _NEAR = 8  # sentence ends nearer than this count as one
-_KNOWN = 1_500_000  # runs remembered by a worker
+_KNOWN = 500_000  # runs remembered by a worker, some 100 bytes each
 _SPACE, _LETTER_KIND, _DIGIT, _OTHER = range(4)
 _KIND = np.full(256, _OTHER, np.uint8)
 _KIND[[32, *range(9, 14)]] = _SPACE
