@@ -10,7 +10,13 @@ bounded by parameters (texts for each language, windows for each text), what
 it is applied to is not.  Trained filters become tables indexed by pairs of
 bytes, so a response is a sum of look-ups.
 
-Texts that are null or hold no letter get ``und`` with score 0.  So do all
+Asked to, the network learns one class more: what is in no language.  Its rows
+are made from the labelled ones (letters dealt anew, random letters, syllables
+and scripts, dumps, repeated signs), of all lengths.  How sure it must be to
+reject a text is set for each length on labelled pieces it did not learn from,
+so that short clean texts, which look like much else, stay.
+
+Texts that are null or hold no letter get ``und`` with score 0, rejected ones too.  So do all
 texts when there is nothing to learn from.  Rows are judged one by one and a
 null ``doc_id`` stays null.  A language is any non-null ``lang`` of a
 training row.  Other columns are not looked at.
@@ -18,6 +24,7 @@ training row.  Other columns are not looked at.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,6 +52,9 @@ class Net:
     bias: np.ndarray
     weights: np.ndarray
     offset: np.ndarray
+    #: By binary digits of a text's bytes, the most probability of no language
+    #: (then the last class) that it may have; None where that is not learned.
+    limits: np.ndarray | None = None
 
 
 def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,14 +169,86 @@ def sample(documents: DataFrame, learn: Column, per_language: int = 400, per_tex
     return sorted((r["lang"], r["doc_id"], bytes(r["window"])) for r in cut.collect())
 
 
-def learn_languages(documents: DataFrame, learn: Column, per_language: int = 400, per_text: int = 6) -> Net | None:
-    """A network from the rows that ``learn`` is true for; None without any."""
+def learn_languages(documents: DataFrame, learn: Column, per_language: int = 400, per_text: int = 6, reject: bool = False) -> Net | None:
+    """A network from the rows that ``learn`` is true for; None without any.
+
+    With ``reject`` it also learns what is in no language.
+    """
     rows = sample(documents, learn, per_language, per_text)
     if not rows:
         return None
     languages = sorted({lang for lang, _, _ in rows})
-    windows = np.stack([np.frombuffer(w, np.uint8) for _, _, w in rows])
-    return train(windows, np.array([languages.index(lang) for lang, _, _ in rows]), languages)
+    labels = np.array([languages.index(lang) for lang, _, _ in rows])
+    if reject:
+        return _train_rejecting([w.rstrip(b"\0") for _, _, w in rows], labels, [doc_id for _, doc_id, _ in rows], languages)
+    return train(np.stack([np.frombuffer(w, np.uint8) for _, _, w in rows]), labels, languages)
+
+
+def no_language(rng: np.random.Generator, text: str) -> str:
+    """Something of about this text's length that is in no language."""
+    kind, n = int(rng.integers(6)), max(1, len(text))
+    drawn = lambda signs, k: "".join(signs[i] for i in rng.integers(0, len(signs), k).tolist())
+    if kind == 0:  # its own letters dealt anew; spaces stay
+        signs = [c for c in text if not c.isspace()]
+        dealt = iter(rng.permutation(len(signs)).tolist())
+        return "".join(c if c.isspace() else signs[next(dealt)] for c in text)
+    if kind == 1:  # dumps, in lines or not
+        signs = ("0123456789abcdef", "abcdefghijklmnopqrstuvwxyz" * 2 + "0123456789+/", "abcdefghijklmnopqrstuvwxyz234567")[rng.integers(3)]
+        width = int(rng.choice([64, 76, 10_000]))
+        dump = drawn(signs, n)
+        return "\n".join(dump[i : i + width] for i in range(0, n, width))
+    if kind == 2:  # one or two signs again and again
+        return (drawn("abcdefghijklmnopqrstuvwxyz", int(rng.integers(1, 3))) * n)[:n]
+    if kind == 3:  # words of invented syllables
+        signs = [drawn("bcdfghjklmnpqrstvwxyz", 1) + drawn("aeiouy", 1) + drawn(["", "", *"nrslkt"], 1) for _ in range(int(rng.integers(10, 60)))]
+    elif kind == 4:  # another script
+        start = int(np.exp(rng.uniform(np.log(0x100), np.log(0xD000))))
+        signs = [c for c in map(chr, range(start, start + int(rng.integers(24, 1000)))) if c.isalpha()]
+    if kind == 5 or len(signs) < 8:  # random letters
+        signs = list("abcdefghijklmnopqrstuvwxyz")
+    out, size = [], 0
+    while size < n:
+        out.append(drawn(signs, int(rng.integers(1, 5 if kind == 3 else 11))))
+        size += len(out[-1]) + 1
+    return " ".join(out)[:n]
+
+
+def _train_rejecting(texts: list[bytes], labels: np.ndarray, ids: list, languages: list[str], share: float = 0.995, least: float = 0.9, seed: int = 7) -> Net:
+    """A network whose last class is no language.  Of the texts, by a hash of
+    their ids, one in seven is left out of the training and sets the limits: at
+    each length ``share`` of its pieces stay within them; they are ``least`` at least."""
+    rng = np.random.default_rng(seed)
+
+    def piece(text: bytes) -> bytes:
+        words = text.split()
+        count = min(len(words), int(2 ** rng.uniform(0, 5)))
+        at = int(rng.integers(0, len(words) - count + 1)) if words else 0
+        return b" ".join(words[at : at + count]) or text
+
+    def cut(text: bytes) -> np.ndarray:
+        return np.frombuffer(text[: WINDOW + _TAIL].ljust(WINDOW + _TAIL, b"\0"), np.uint8)
+
+    every = [x for text in texts for x in (text, piece(text))]
+    kinds, size = np.repeat(labels, 2), np.array([max(1, min(len(x), WINDOW)) for x in every])
+    held = np.repeat(np.array([zlib.crc32(str(i).encode()) % 7 for i in ids]) == 0, 2)
+    if held.all() or not held.any():
+        held = np.arange(len(every)) // 2 % 5 == 0
+    if held.all():
+        held = np.zeros(len(every), bool)
+    kept = np.flatnonzero(~held)
+    noise = [no_language(rng, every[i].decode("utf-8", "ignore")).lower().encode() for i in kept.tolist()]
+    windows = np.stack([cut(every[i]) for i in kept.tolist()] + [cut(x) for x in noise])
+    rounds = max(6, -(-300 * 128 // len(windows)))
+    net = train(windows, np.concatenate([kinds[kept], np.full(len(noise), len(languages))]), [*languages, NONE], rounds=rounds, seed=seed)
+    net.languages, net.limits = languages, np.full(WINDOW.bit_length() + 1, least)
+    if held.any():
+        chance = judge(net, np.stack([cut(every[i]) for i in np.flatnonzero(held).tolist()]))[:, -1]
+        digits = np.array([int(x).bit_length() for x in size[held]])
+        for k in range(len(net.limits)):
+            some = chance[digits == k]
+            if len(some):
+                net.limits[k] = min(0.99, max(least, float(np.quantile(some, share))))
+    return net
 
 
 def languages_of(net: Net | None, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
@@ -182,8 +264,13 @@ def languages_of(net: Net | None, texts: list[bytes | None]) -> tuple[list[str],
         chance = judge(net, windows) * weight[:, None]
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         total = np.add.reduceat(chance, starts, axis=0) / np.add.reduceat(weight, starts)[:, None]
-        for i, best, score in zip(group, total.argmax(axis=1).tolist(), total.max(axis=1).tolist(), strict=True):
-            names[i], scores[i] = net.languages[best], min(1.0, max(0.0, round(float(score), 6)))
+        stays = np.ones(len(group), bool)
+        if net.limits is not None:
+            digits = [min(len(texts[i]), WINDOW).bit_length() for i in group]
+            stays, total = total[:, -1] <= net.limits[digits], total[:, :-1]
+        for i, best, score, stay in zip(group, total.argmax(axis=1).tolist(), total.max(axis=1).tolist(), stays.tolist(), strict=True):
+            if stay:
+                names[i], scores[i] = net.languages[best], min(1.0, max(0.0, round(float(score), 6)))
 
     for i in fit:
         group.append(i)

@@ -265,6 +265,25 @@ def test_languages_of_awkward_rows(documents, nothing):
     assert {r["lang_pred"] for r in language.identify(documents, None).collect()} == {"und"}
 
 
+def test_texts_in_no_language_are_rejected(spark):
+    import base64
+    import random
+
+    ship(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(5)
+    junk = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 10))) for _ in range(n)) for n in (5, 20, 200) for _ in range(10)]
+    junk += [base64.encodebytes(rng.randbytes(n)).decode() for n in (100, 900) for _ in range(10)] + [rng.randbytes(300).hex() for _ in range(10)]
+    junk += ["Съешь же ещё этих мягких французских булок, да выпей чаю", "吾輩は猫である。名前はまだ無い。", "x" * 3000]
+    clean = ["Von.", "That it.", "Des enberge die enver.", "Pachque çaneux et.", "Osiebo | armici. |"]
+    planted = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(junk + clean)], docs.schema)
+    net = language.learn_languages(docs, F.crc32(F.col("doc_id").cast("string")) % 5 != 0, reject=True)
+    kept = {r["doc_id"] for r in language.with_language(docs.unionByName(planted), net, 0.0).select("doc_id").collect()}
+    assert not kept & {-1 - i for i in range(len(junk))}
+    assert {-1 - i for i in range(len(junk), len(junk) + len(clean))} <= kept
+    assert len([d for d in kept if d >= 0]) >= 0.995 * docs.count()
+
+
 def test_a_window_sees_all_filters():
     """Look-ups by pairs of bytes give what the filters themselves give."""
     rng = np.random.default_rng(4)
