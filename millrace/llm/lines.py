@@ -17,8 +17,10 @@ The order by rarity needs counts, not names: words are counted by hash in a
 table of fixed size (a sketch over all lines, 2 ** 21 counters), so it can be
 sent to all tasks.  Words that fall together only sort less well.
 
-Lines of fewer than ``least_words`` different words stay, empty ones too; null
-texts have no lines.  Lines at the same place (rows that repeat, or share a
+Lines of fewer than ``least_words`` different words stay, by default those
+without a word; null texts have no lines.  A set so small that one word more or
+less already is too far off matches equal sets only, and none of its words is
+indexed.  Lines at the same place (rows that repeat, or share a
 null ``doc_id``) are neither earlier nor later than each other.  Other columns
 are not looked at.
 """
@@ -120,6 +122,7 @@ def line_sets(documents: DataFrame, counts: np.ndarray, percent: int, least_word
             bits = np.bitwise_xor.reduceat(np.uint64(1) << (hashes >> np.uint64(58)), starts)
             place = np.arange(len(hashes)) - np.repeat(starts, sizes)
             length = sizes - (percent * sizes + 99) // 100 + 1
+            length[100 * sizes < percent * (sizes + 1)] = 0  # only equal sets are similar enough
             prefix = place < np.repeat(length, sizes)
             owner = np.repeat(np.arange(len(sizes)), sizes)[prefix]
             documents = pa.array(names[some][text], pa.int64(), mask=nulls[some][text])
@@ -265,7 +268,7 @@ def _candidates(rows: DataFrame, percent: int, most: int) -> DataFrame:
     return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
-def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 3, compared: int = 256) -> DataFrame:
+def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 1, compared: int = 256) -> DataFrame:
     """``doc_id, line`` (numbered from 0) of the lines that go.
 
     ``compared`` is the size up to which a group of sets that share a word is

@@ -97,6 +97,17 @@ def test_later_lines_equal_all_pairs(documents, compared):
     assert set(found) == cases.later_lines(ROWS, 85, 3)
 
 
+@pytest.mark.parametrize("percent", [85, 70, 100])
+def test_later_lines_of_few_words(spark, documents, percent):
+    texts = ["Les.\nAnd ornd.\n\n  \nno no no yes", "Les.\nornd. And\n日本語テキスト", "yes no\nx Les.\n日本語テキスト\t\n \na b c d e", "e d c b a\na b c d e f\na b c d e f g\na b c d"]
+    rows = [(900 + i, t, "en", "s1", *ROWS[0][4:]) for i, t in enumerate(texts)]
+    df = documents.unionByName(spark.createDataFrame(rows, cases.SCHEMA))
+    found = [tuple(r) for r in lines.later_matches(df, percent).collect()]
+    assert len(found) == len(set(found))
+    assert set(found) == cases.later_lines(ROWS + rows, percent, 1)
+    assert {(901, 0), (901, 1), (902, 0), (902, 2), (903, 0)} <= set(found)
+
+
 def test_later_lines_of_no_documents(nothing):
     assert lines.later_matches(nothing).collect() == []
 
