@@ -21,8 +21,10 @@ Lines of fewer than ``least_words`` different words stay, by default those
 without a word; null texts have no lines.  A set so small that one word more or
 less already is too far off matches equal sets only, and none of its words is
 indexed.  Lines at the same place (rows that repeat, or share a
-null ``doc_id``) are neither earlier nor later than each other.  Other columns
-are not looked at.
+null ``doc_id``) are neither earlier nor later than each other, unless a column
+of row keys is named: then documents that share a ``doc_id`` come in the order
+of their keys, and the lines that go are named by key.  Other columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ from millrace.llm.common import Words, by_batch, firsts, gathered, lists, marked
 _COUNTERS = 1 << 21
 _SLICES = 32
 _LINES = "doc_id long, line long, set long, size long, bits long, prefix array<long>"
+_KEY = "row_key"
 
 
 def _line_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -107,8 +110,10 @@ def _sets(texts: list[bytes], counts: np.ndarray | None, least_words: int) -> tu
     return hashes, starts, sizes, name, text[lines], number[lines]
 
 
-def line_sets(documents: DataFrame, counts: np.ndarray, percent: int, least_words: int) -> DataFrame:
-    """Every line that takes part, with its set and the set's prefix."""
+def line_sets(documents: DataFrame, counts: np.ndarray, percent: int, least_words: int, key: str | None = None) -> DataFrame:
+    """Every line that takes part, with its set and the set's prefix; with the
+    document's key (as ``row_key``) where one is named."""
+    schema = _LINES + (f", {_KEY} long" if key else "")
     shared = documents.sparkSession.sparkContext.broadcast(counts)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -128,10 +133,12 @@ def line_sets(documents: DataFrame, counts: np.ndarray, percent: int, least_word
             documents = pa.array(names[some][text], pa.int64(), mask=nulls[some][text])
             columns = [number, name, sizes, bits.view(np.int64)]
             words = lists(hashes[prefix], np.bincount(owner, minlength=len(sizes)))
-            out.append(pa.RecordBatch.from_arrays([documents, *(pa.array(c, pa.int64()) for c in columns), words], [c.split()[0] for c in _LINES.split(", ")]))
+            keys = [batch.column(2)[some].take(pa.array(text))] if key else []
+            out.append(pa.RecordBatch.from_arrays([documents, *(pa.array(c, pa.int64()) for c in columns), words, *keys], [c.split()[0] for c in schema.split(", ")]))
         return pa.Table.from_batches(out).combine_chunks().to_batches()[0] if out else None
 
-    return by_batch(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, _LINES)
+    keys = [F.col(key).cast("long").alias(_KEY)] if key else []
+    return by_batch(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keys), work, schema)
 
 
 def _words_of(documents: DataFrame, least_words: int, texts_wanted: np.ndarray, sets_wanted: np.ndarray) -> DataFrame:
@@ -185,8 +192,8 @@ def _close(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
     return lengths & (apart <= both - 2 * need)
 
 
-def _candidates(rows: DataFrame, percent: int, most: int) -> DataFrame:
-    """Pairs of sets that share a word, ``set`` later than ``other``.
+def _candidates(rows: DataFrame, percent: int, most: int, by: list[str]) -> DataFrame:
+    """Pairs of sets that share a word, ``set`` later than ``other`` in the order ``by``.
 
     Rows are sorted by word, then place, cut into ranges anywhere.  Groups of
     up to ``most`` rows are compared within themselves.  Larger ones, and the
@@ -264,23 +271,25 @@ def _candidates(rows: DataFrame, percent: int, most: int) -> DataFrame:
             for found in answer(held, opened, True):
                 yield from found.combine_chunks().to_batches()
 
-    order = ["word", "doc_id", "line", "set"]
+    order = ["word", *by, "set"]
     return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
-def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 1, compared: int = 256) -> DataFrame:
-    """``doc_id, line`` (numbered from 0) of the lines that go.
+def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 1, compared: int = 256, key: str | None = None) -> DataFrame:
+    """``doc_id, line`` (numbered from 0) of the lines that go; ``key, line``
+    where ``key`` names a column that is different in every row.
 
     ``compared`` is the size up to which a group of sets that share a word is
     compared at once; larger groups take further rounds, with the same result.
     Runs the jobs that count words, store the sets and settle the rounds.
     """
-    lines = stored(line_sets(documents, word_counts(documents), percent, least_words))
+    by = ["doc_id", _KEY, "line"] if key else ["doc_id", "line"]
+    lines = stored(line_sets(documents, word_counts(documents), percent, least_words, key))
     figures = [F.first(c).alias(c) for c in ("size", "bits", "prefix")]
-    sets = lines.groupBy("set").agg(F.min(F.struct("doc_id", "line")).alias("first"), *figures)
-    sets = stored(sets.select("set", "first.doc_id", "first.line", "size", "bits", "prefix"))
-    rows = sets.select("set", "doc_id", "line", "size", "bits", F.posexplode("prefix").alias("place", "word"))
-    found = stored(_candidates(rows, percent, compared))
+    sets = lines.groupBy("set").agg(F.min(F.struct(*by)).alias("first"), *figures)
+    sets = stored(sets.select("set", *(f"first.{c}" for c in by), "size", "bits", "prefix"))
+    rows = sets.select("set", *by, "size", "bits", F.posexplode("prefix").alias("place", "word"))
+    found = stored(_candidates(rows, percent, compared, by))
     pairs = stored(found.where("word is null").select("set", "other").distinct())
     large = found.where("word is not null").drop("other")
 
@@ -298,10 +307,10 @@ def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 1,
     settled = stored(settled.unionByName(matching(rest, words, percent).select("set")).distinct())
 
     # Sets of large groups without a match meet all earlier ones of the group.
-    shared = ["doc_id", "line", "size", "bits", "place", "set", "word"]
+    shared = [*by, "size", "bits", "place", "set", "word"]
     me, them = {c: F.col(f"my_{c}") for c in shared}, {c: F.col(c) for c in shared}
     mine = large.join(settled, "set", "left_anti").select(*(F.col(c).alias(f"my_{c}") for c in shared))
-    earlier = F.struct(them["doc_id"], them["line"]) < F.struct(me["doc_id"], me["line"])
+    earlier = F.struct(*(them[c] for c in by)) < F.struct(*(me[c] for c in by))
     need = F.floor((percent * (me["size"] + them["size"]) + 99 + percent) / (100 + percent))
     reach = F.least(me["size"] - me["place"], them["size"] - them["place"])
     near = large.join(mine, them["word"] == me["word"]).where(earlier & (reach >= need) & _close(them, me, percent))
@@ -310,19 +319,20 @@ def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 1,
     if near.take(1):
         settled = settled.unionByName(matching(near, fetched(near), percent).select("set")).distinct()
 
-    gone = sets.select("set", F.struct("doc_id", "line").alias("first")).join(settled.withColumn("matched", F.lit(True)), "set", "left")
-    back = lines.select("set", "doc_id", "line").join(gone, "set")
-    later = F.col("first") < F.struct("doc_id", "line")
-    return back.where(F.col("matched") | later).select("doc_id", "line").distinct()
+    gone = sets.select("set", F.struct(*by).alias("first")).join(settled.withColumn("matched", F.lit(True)), "set", "left")
+    back = lines.select("set", *by).join(gone, "set")
+    later = F.col("first") < F.struct(*by)
+    back = back.where(F.col("matched") | later)
+    return back.select(F.col(_KEY).alias(key), "line") if key else back.select("doc_id", "line").distinct()
 
 
-def without(documents: DataFrame, lines: DataFrame) -> DataFrame:
+def without(documents: DataFrame, lines: DataFrame, key: str = "doc_id") -> DataFrame:
     """The documents, their other columns untouched, less the given lines.
 
     A document of which nothing is left but white space stays, with that.
     """
-    gone = lines.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set("line").alias("__gone"))
-    both = documents.join(gone, documents["doc_id"].eqNullSafe(gone["__doc"]), "left")
+    gone = lines.groupBy(F.col(key).alias("__doc")).agg(F.collect_set("line").alias("__gone"))
+    both = documents.join(gone, documents[key].eqNullSafe(gone["__doc"]), "left")
     parts = F.split("text", "\n", -1)
     kept = F.filter(parts, lambda part, i: ~F.array_contains("__gone", i.cast("long")))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))

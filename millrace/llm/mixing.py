@@ -164,12 +164,13 @@ def mixed(documents: DataFrame, weights: list[float], wanted: float = 1.5, most:
     return settled.unionByName(sure.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies")))
 
 
-def taken(documents: DataFrame, copies: DataFrame) -> DataFrame:
+def taken(documents: DataFrame, copies: DataFrame, key: str = "doc_id") -> DataFrame:
     """The documents, each as often as it is taken, columns as they were.
 
-    Rows that share a ``doc_id`` are taken as often as the most taken of them.
+    The ``doc_id`` of ``copies`` is the documents' ``key``.  Rows that share
+    one are taken as often as the most taken of them.
     """
     often = copies.where("copies > 0").groupBy(F.col("doc_id").alias("__doc")).agg(F.max("copies").alias("__often"))
-    both = documents.join(often, documents["doc_id"].eqNullSafe(often["__doc"]))
+    both = documents.join(often, documents[key].eqNullSafe(often["__doc"]))
     repeated = both.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__often"))))
     return repeated.select(*(documents[c] for c in documents.columns))

@@ -13,6 +13,7 @@ from millrace.llm import ball_tree, url_trees
 from millrace.llm.common import heads, ship, stored
 from millrace.llm.queries import ORACLE_SQL, QUERIES, URL_RULES
 from tests.llm import cases
+from tests.llm.test_documents import plain_targets
 from tools.check import compare
 
 SMALL = "/root/testdata/sf0.001"
@@ -168,5 +169,49 @@ def test_pipeline_against_plain_stages(spark, tmp_path_factory):
     assert Counter(p["doc_id"] for p in pieces if p["start"] == 0) == Counter(r["doc_id"] for r in docs.collect())
 
 
+def test_pipeline_decides_row_by_row(spark):
+    """The stages on rows whose ids repeat or are null."""
+    stages = dict(corpus_pipeline.STAGES)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(r[0], r[1], r[2] or "en", r[3] or "s", i) for i, r in enumerate(cases.some_documents(80))]
+    copy = "\n".join(f"copied line number {i} of some text {i * i}" for i in range(8))
+    rows += [(None, "a line of its own here\n" + copy, "en", "s", 1000), (None, "unique first line of another\nsecond one that is kept", "en", "s", 1001)]
+    rows += [(None, copy, "en", "s", 1002), (7, copy, "en", "s", 1003), (7, "some other text that shares the id seven", "en", "s", 1004)]
+    rows += [(None if i % 3 else 9, " ".join(f"w{i}x{k}" for k in range(5 + i)), "en", f"s{i % 4}", 2000 + i) for i in range(60)]
+    docs = stored(spark.createDataFrame(rows, schema).coalesce(1))
+    assert [r["n_chars"] for r in docs.collect()] == [r[4] for r in rows]
+
+    # An order of rows that agrees with the ids, so that the plain versions apply.
+    order = sorted(range(len(rows)), key=lambda i: (-1 if rows[i][0] is None else rows[i][0], i))
+    numbered = [(place, *rows[i][1:]) for place, i in enumerate(order)]
+    gone = cases.later_lines(numbered, 85, 1)
+    plain = Counter()
+    for place, text, *_, name in numbered:
+        left = "\n".join(x for i, x in enumerate((text or "").split("\n")) if (place, i) not in gone)
+        if cases.words(left):
+            plain[name, left] += 1
+    found = stages["line_dedup"](spark, docs, SMALL)
+    assert found.columns == docs.columns
+    assert Counter((r["n_chars"], r["text"]) for r in found.collect()) == plain
+
+    firsts = {c for d, _, c in cases.groups(numbered) if d == c}
+    found = stages["ngram_jaccard_join"](spark, docs, SMALL)
+    assert found.columns == docs.columns
+    assert Counter(r["n_chars"] for r in found.collect()) == Counter(n[4] for n in numbered if n[0] in firsts)
+
+    found = stages["source_mixing"](spark, docs, SMALL)
+    assert found.columns == docs.columns
+    copies = Counter(r["n_chars"] for r in found.collect())
+    sizes = {r[4]: len(cases.words(r[1])) for r in rows}
+    assert max(copies.values()) <= 2 and all(sizes[n] for n in copies)
+    by = defaultdict(lambda: [0, 0, 0])
+    for r in rows:
+        by[r[3]][0] += sizes[r[4]]
+        by[r[3]][1] += sizes[r[4]] * copies[r[4]]
+        by[r[3]][2] = max(by[r[3]][2], sizes[r[4]])
+    targets = plain_targets({s: x[0] for s, x in by.items()}, corpus_pipeline.SOURCE_WEIGHTS, 1.5)
+    assert all(abs(x[1] - targets[s]) <= x[2] for s, x in by.items())
+
+
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
