@@ -113,16 +113,17 @@ class Words:
     """The words of some texts: a 64-bit hash, place and text of each.
 
     Hashes depend on a word's bytes only, so tasks anywhere agree on them.
+    ``gaps`` says which bytes lie between words; the line end is one.
     """
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
+    def __init__(self, texts: list[bytes], lower: bool = False, gaps: np.ndarray = _IS_SPACE):
         data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         if lower:
             data = _LOWER[data]
         self.data = data
         sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         self.text_starts = np.cumsum(sizes) - sizes
-        space = _IS_SPACE[data]
+        space = gaps[data]
         edges = np.flatnonzero(space[1:] != space[:-1]) + 1
         if not space[0]:
             edges = np.concatenate([[0], edges])

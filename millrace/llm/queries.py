@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ball_tree, jaccard, language, lines, mixing, packing, secrets, sharding, url_trees, weak_rules
+from millrace.llm import (
+    ball_tree,
+    jaccard,
+    language,
+    lines,
+    mixing,
+    multi_index,
+    packing,
+    ranked,
+    secrets,
+    sharding,
+    url_trees,
+    weak_rules,
+    whitening,
+)
 from millrace.llm.common import table
 
 
@@ -101,6 +115,32 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.top_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.scaled(table(spark, folder, "embeddings"))
+    fitted = whitening.fit(rows)
+    error = whitening.identity_error(rows, fitted)
+    each = whitening.whitened(rows, fitted).select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    explained = F.array(*map(F.lit, fitted.explained)).cast("array<double>")
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).cast("int").alias("component"),
+        F.lit(fitted.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.element_at(explained, F.col("place") + 1).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+def op13_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = multi_index.near_duplicates(table(spark, folder, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -118,6 +158,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_secrets": op10_secrets,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
     "pipeline": pipeline,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -167,4 +210,60 @@ ORACLE_SQL: dict[str, str] = {
         from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
         where rank <= 5
     """,
+    "op11_ranked_search": r"""
+        with terms as (
+            select doc_id, row_id, unnest(t) as term from (
+                select doc_id, row_number() over () as row_id, regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+                from documents where text is not null)
+        ), lengths as (
+            select row_id, any_value(doc_id) as doc_id, count(*) as n from terms group by row_id
+        ), totals as (
+            select count(*) as total, sum(n)::bigint as length from lengths
+        ), postings as (
+            select row_id, term, count(*) as tf from terms group by all
+        ), weights as (
+            select term, floor(1000 * ln((2 * any_value(total) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+            from postings, totals group by term
+        ), items as (
+            select distinct item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark where text is not null
+        ), scored as (
+            select item_id, row_id, any_value(l.doc_id) as doc_id,
+                sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * total) // length))))::bigint as score
+            from items join postings using (term) join weights using (term) join lengths l using (row_id), totals
+            group by item_id, row_id
+        )
+        select item_id, rank::int as rank, doc_id, score
+        from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
+        where rank <= 50
+    """,
+    "op13_embedding_near_dedup": r"""
+        with recursive v as (
+            select row_number() over () as row_id, vec_id, label, list_transform(embedding, lambda x: x::double) as v,
+                label is not null and coalesce(len(embedding), 0) > 0
+                    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+                    and len(list_filter(embedding, lambda x: x <> 0)) > 0 as usable
+            from embeddings
+        ), lengths as (
+            select row_id, vec_id, label, v, sqrt(list_dot_product(v, v)) as norm from v where usable
+        ), links as (
+            select a.row_id as a, b.row_id as b
+            from lengths a join lengths b on a.label = b.label and a.row_id <> b.row_id and len(a.v) = len(b.v)
+            where list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93
+        ), counted as (
+            select a, count(*) as n from links group by a
+        ), reach as (
+            select row_id, row_id as other from v
+            union
+            select links.a, reach.other from reach join links on links.b = reach.row_id
+        )
+        select x.vec_id, coalesce(any_value(n), 0)::bigint as n_links, min(y.vec_id) as component_id,
+            x.vec_id is not distinct from min(y.vec_id) as kept
+        from v x join reach r on r.row_id = x.row_id join v y on y.row_id = r.other left join counted on a = x.row_id
+        group by x.row_id, x.vec_id
+    """,
 }
