@@ -45,9 +45,29 @@ def surrogate_key(columns: Sequence[Column], null_safe: bool = False) -> Column:
     return F.sha1(F.concat(*marked))
 
 
+_NUMBER = r"(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?(?![\p{L}\p{N}_$])"
+# One token of query text: quoted text, a name in quotes, a comment, a word, a
+# number (its sign belongs to it where no operand stands before), any other sign.
+_TOKEN = (
+    r"(?s)'[^']*+(?:''[^']*+)*+'|\"[^\"]*+(?:\"\"[^\"]*+)*+\"|--[^\n]*|/\*.*?\*/|[\p{L}_][\p{L}\p{N}_$]*"
+    r"|(?<=[=(,<>+*/-][ \t\n]{0,16})[+-]" + _NUMBER + "|" + _NUMBER + r"|[\p{L}\p{N}_$]+|."
+)
+
+
 def query_pattern(query: Column) -> Column:
-    """Query text with every literal replaced by ``?`` and blanks squeezed."""
-    text = F.regexp_replace(query, "'[^']*'", "?")
-    text = F.regexp_replace(text, "\\b[0-9]+(\\.[0-9]+)?\\b", "?")
+    """Query text with every literal replaced by ``?`` and blanks squeezed.
+
+    One pass from left to right, so a quote in a comment or a number in a text
+    is what it is there.  Comments count as blanks, names in double quotes stay.
+    A quote without end is left as it is.
+    """
+
+    def plain(token: Column) -> Column:
+        comment = F.startswith(token, F.lit("--")) | F.startswith(token, F.lit("/*"))
+        literal = (F.length(token) > 1) & F.startswith(token, F.lit("'"))
+        number = token.rlike(rf"^[+-]?{_NUMBER}$")
+        return F.when(literal | number, "?").when(comment, " ").otherwise(token)
+
+    text = F.array_join(F.transform(F.regexp_extract_all(query, F.lit(_TOKEN), 0), plain), "")
     text = F.regexp_replace(text, "\\(\\?( *, *\\?)*\\)", "(?)")
     return F.trim(F.regexp_replace(text, "\\s+", " "))

@@ -19,6 +19,18 @@ _EARLY_LIMIT = 1000
 _PLACE_BITS = 33
 
 
+def _takes_work(df: DataFrame) -> bool:
+    """Whether more than scans, projections and filters makes the rows."""
+    open_ = [df._jdf.queryExecution().optimizedPlan()]
+    while open_:
+        node = open_.pop()
+        if node.nodeName() in ("Aggregate", "Join", "Window", "Sort", "Generate"):
+            return True
+        children = node.children()
+        open_ += [children.apply(i) for i in range(children.size())]
+    return False
+
+
 def _in_ranges(df: DataFrame, order: Sequence[Column], parts: int | None) -> DataFrame:
     """Cut the order into ranges of similar size and fix each row's range.
 
@@ -28,8 +40,7 @@ def _in_ranges(df: DataFrame, order: Sequence[Column], parts: int | None) -> Dat
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Sampling reads the input once more; what takes work to make is stored first.
-    made = df._jdf.queryExecution().optimizedPlan().toString()
-    if any(step in made for step in ("Aggregate", "Join", "Window", "Sort", "Generate")):
+    if _takes_work(df):
         df = pin(df)
     ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     # Partition number and place in the sorted partition, in one number.

@@ -59,42 +59,51 @@ def _row_rule(rule: Rule) -> tuple[str, Column] | None:
     return None
 
 
-def _unique_violations(df: DataFrame, rule: Unique) -> DataFrame:
-    given = df.select(*rule.columns).dropna()
-    surplus = given.groupBy(*rule.columns).count().filter(F.col("count") > 1)
-    return surplus.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations")).select(
-        F.lit("unique " + ", ".join(rule.columns)).alias("rule"), "violations"
-    )
-
-
-def _orphans(df: DataFrame, rule: ForeignKey) -> DataFrame:
-    # Count per value before joining: a hot value is then a single row.
-    used = df.groupBy(F.col(rule.column).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
-    parents = rule.parent.select(F.col(rule.parent_key).alias("_key"))
-    lost = used.filter(F.col("_key").isNotNull()).join(parents, "_key", "left_anti")
-    return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("violations")).select(
-        F.lit(f"foreign key {rule.column}").alias("rule"), "violations"
-    )
+def _entry(place: int, keys: Sequence[Column], rows: int, parent: int) -> Column:
+    """One mark of a key under a rule; keys are compared by 128 bits."""
+    hashes = [F.xxhash64(F.lit(seed), *keys) if keys else F.lit(0).cast("long") for seed in (1, 2)]
+    values = (F.lit(place), *hashes, F.lit(rows).cast("long"), F.lit(parent))
+    return F.struct(*[v.alias(n) for v, n in zip(values, ("place", "h0", "h1", "rows", "parent"), strict=True)])
 
 
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule with the number of rows that break it.
 
-    All row rules share one scan; a key rule costs one aggregate each.
+    One scan of the table and of each parent: every row gives a mark for each
+    row rule it breaks and for its key under each key rule, parents mark their
+    keys, and one aggregate, partial on the map side, counts them all.
     """
-    parts = []
-    rows = [named for named in map(_row_rule, rules) if named]
-    if rows:
-        counted = df.agg(*[F.count(F.when(broken, 1)).alias(name) for name, broken in rows])
-        parts.append(counted.unpivot([], [name for name, _ in rows], "rule", "violations"))
-    for rule in rules:
-        if isinstance(rule, Unique):
-            parts.append(_unique_violations(df, rule))
-        elif isinstance(rule, ForeignKey):
-            parts.append(_orphans(df, rule))
-    return reduce(DataFrame.unionByName, parts)
-
-
+    titles: list[str] = []
+    marks: list[Column] = []
+    parents: list[DataFrame] = []
+    kinds = {f.name: f.dataType for f in df.schema}
+    for place, rule in enumerate(rules):
+        if row := _row_rule(rule):
+            title, broken = row
+            marks.append(F.when(broken, _entry(place, [], 1, 0)))
+        elif isinstance(rule, Unique):
+            title = "unique " + ", ".join(rule.columns)
+            given = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in rule.columns))
+            marks.append(F.when(given, _entry(place, [F.col(c) for c in rule.columns], 1, 0)))
+        else:
+            title = f"foreign key {rule.column}"
+            key = rule.parent.schema[rule.parent_key].dataType
+            # Both sides in the parent's type, so equal values have equal hashes.
+            child = F.col(rule.column) if kinds[rule.column] == key else F.col(rule.column).try_cast(key)
+            marks.append(F.when(F.col(rule.column).isNotNull(), _entry(place, [child], 1, 0)))
+            own = _entry(place, [F.col(rule.parent_key)], 0, 1)
+            parents.append(rule.parent.filter(F.col(rule.parent_key).isNotNull()).select(own.alias("m")))
+        titles.append(title)
+    given = df.select(F.explode(F.filter(F.array(*marks), lambda m: m.isNotNull())).alias("m"))
+    every = reduce(DataFrame.unionByName, parents, given).select("m.*")
+    by_key = every.groupBy("place", "h0", "h1").agg(F.sum("rows").alias("rows"), F.max("parent").alias("parent"))
+    places = lambda kind: [i for i, r in enumerate(rules) if isinstance(r, kind)]
+    fine = F.col("place").isin(places(Unique)) & (F.col("rows") < 2) | F.col("place").isin(places(ForeignKey)) & (F.col("parent") == 1)
+    counted = by_key.filter(~fine).groupBy("place").agg(F.sum("rows").alias("violations"))
+    named = F.posexplode(F.array(*map(F.lit, titles))).alias("place", "rule")
+    listed = df.sparkSession.range(1).select(named)
+    joined = listed.join(counted, "place", "left")
+    return joined.select("rule", F.coalesce("violations", F.lit(0)).alias("violations"))
 
 
 def clickstream_rules() -> dict[str, Column]:

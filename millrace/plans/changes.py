@@ -1,5 +1,7 @@
 """Mirror, as-of, restore, sync and drift queries."""
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -7,6 +9,8 @@ from millrace.operators import changes as ch
 from millrace.operators import evolve, loyalty
 from millrace.plans.registry import query
 from millrace.plans.shop import RECOVERY_POINT, Shop
+from millrace.session import filed, scratch_dir
+from millrace.sources.history import History, moments
 from millrace.sources.serving import sync_incremental
 
 _ORDER = "id, customer_id, cast(total as double) as total, status"
@@ -43,22 +47,41 @@ def orders_as_of(shop: Shop):
     return then(shop)
 
 
+@query(f"select {_ORDER} from orders_then")
+def orders_as_of_state(shop: Shop):
+    """The same from the state kept before that moment and the months of the log since."""
+    history = History(shop.spark, scratch_dir(shop.spark, "history"), "id", grain="month")
+    history.append(shop.order_changes)
+    for when in moments(RECOVERY_POINT - timedelta(days=3 * 365), RECOVERY_POINT + timedelta(days=90), timedelta(days=500)):
+        history.save_state(when)
+    return history.as_of(RECOVERY_POINT)
+
+
 @query(f"""select {_ORDER} from orders_latest union all
     select {_ORDER} from orders_then where id not in (select id from orders_latest)""")
 def orders_restored(shop: Shop):
     return ch.restore_rows(latest(shop), then(shop), "id")
 
 
-@query("""select case when o.id is null then 'insert' when n.id is null then 'delete' else 'update' end as op,
+_CHANGES_SQL = """select case when o.id is null then 'insert' when n.id is null then 'delete' else 'update' end as op,
     coalesce(o.id, n.id) as id, n.customer_id, cast(n.total as double) as total, n.status,
     o.customer_id as before_customer_id, cast(o.total as double) as before_total, o.status as before_status
     from orders_then o full outer join orders_latest n on n.id = o.id
     where o.id is null or n.id is null or o.customer_id is distinct from n.customer_id
-      or o.total is distinct from n.total or o.status is distinct from n.status""")
+      or o.total is distinct from n.total or o.status is distinct from n.status"""
+
+
+@query(_CHANGES_SQL)
 def sync_changes(shop: Shop):
     return ch.change_set(then(shop), latest(shop), "id")
 
 
+@query(_CHANGES_SQL)
+def sync_changes_by_digest(shop: Shop):
+    """The same for two stored states, through digests of rows and of key ranges."""
+    return ch.change_set_by_digest(filed(then(shop)), filed(latest(shop)), "id")
+
+
 @query(LATEST_SQL)
 def sync_triggered(shop: Shop):
     return sync_incremental(then(shop), latest(shop), "id")
@@ -96,6 +119,43 @@ def before_image_report(shop: Shop):
     return ch.check_before_image(logged, "table_name", ["before_total", "before_status"])
 
 
+_MIXED_LOG = """logged as (
+      select case id % 3 when 0 then 'orders' when 1 then 'customers' else 'inventory' end as table_name, id,
+        customer_id, total, status, op, seq, case when id % 3 = 2 then null else total end as before_total,
+        status as before_status
+      from orders_cdc),
+    skipped as (select distinct table_name from logged
+      where op <> 'insert' and (before_total is null or before_status is null)),
+    newest as (select *, row_number() over (partition by table_name, id order by seq desc) as place from logged)"""
+
+
+def _mirrored(shop: Shop):
+    third = F.col("id") % 3
+    log = shop.order_changes.select(
+        F.when(third == 0, "orders").when(third == 1, "customers").otherwise("inventory").alias("table_name"),
+        "id", "customer_id", "total", "status", "op", "seq",
+        F.when(third != 2, F.col("total")).alias("before_total"),
+        F.col("status").alias("before_status"),
+    )
+    return ch.mirror_tables(log, "table_name", "id", "seq", ["before_total", "before_status"])
+
+
+@query(f"""with {_MIXED_LOG} select table_name, id, customer_id, cast(total as double) as total, status
+    from newest where place = 1 and op <> 'delete' and table_name not in (select table_name from skipped)""")
+def mirror_guarded(shop: Shop):
+    """Three tables out of one log; the one without old rows is left out."""
+    return _mirrored(shop)[0]
+
+
+@query(f"""with {_MIXED_LOG} select n.table_name, count(*) as changes,
+      count(*) filter (where op <> 'insert' and (before_total is null or before_status is null)) as without_before_image,
+      count(*) filter (where place = 1 and op <> 'delete') as live_rows,
+      case when n.table_name in (select table_name from skipped) then 'skipped' else 'mirrored' end as outcome
+    from newest n group by n.table_name""")
+def mirror_outcome(shop: Shop):
+    return _mirrored(shop)[1]
+
+
 @query("""with figures as (
       select 'orders' as table_name, (select count(*) from orders_then) as before_rows,
         (select coalesce(sum(total), 0) from orders_then) as before_total,

@@ -4,8 +4,10 @@ from millrace.operators import logs
 from millrace.plans.registry import query
 from millrace.plans.shop import Shop
 
-_PATTERN = """trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(query, '''[^'']*''', '?', 'g'),
-    '\\b[0-9]+(\\.[0-9]+)?\\b', '?', 'g'), '\\(\\?( *, *\\?)*\\)', '(?)', 'g'), '\\s+', ' ', 'g'))"""
+_PATTERN = """trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(query,
+    '''[^'']*(''''[^'']*)*''', '?', 'g'), '--[^\\n]*|/\\*.*?\\*/', ' ', 'g'),
+    '([=(,<>+*/-] *)[-+]([0-9])', '\\1\\2', 'g'),
+    '\\b[0-9]+(\\.[0-9]+)?([eE][-+]?[0-9]+)?\\b', '?', 'g'), '\\(\\?( *, *\\?)*\\)', '(?)', 'g'), '\\s+', ' ', 'g'))"""
 _STATISTICS = f"""select role, {_PATTERN} as pattern, count(*) as calls, cast(sum(duration_ms) as double) as total_ms,
     round(cast(sum(duration_ms) as double) / count(*), 3) as mean_ms from query_log group by 1, 2"""
 

@@ -43,7 +43,7 @@ SQL_VIEWS = {
     "orders_then": """select id, customer_id, total, status from (select *, row_number() over (partition by id order by seq desc) as place from orders_cdc where commit_ts <= timestamp '1998-01-01 00:00:00') where place = 1 and op <> 'delete'""",
     "points": """select c.id, c.name, c.email, c.email_verified, cast(coalesce(sum(floor(o.total)), 0) as bigint) as loyalty_points from customers c left join shop_orders o on o.customer_id = c.id group by c.id, c.name, c.email, c.email_verified""",
     "members": """select email, case when loyalty_points >= 3000 then 'Platinum' when loyalty_points >= 1500 then 'Gold' when loyalty_points >= 500 then 'Silver' else 'Bronze' end as tier, timestamp '2024-02-01 00:00:00' as enrolled_at, loyalty_points as total_earned from points where loyalty_points > 0""",
-    "query_log": """select case o_orderpriority when '1-URGENT' then 'storefront' when '2-HIGH' then 'checkout' else 'reporting' end as role, case o_orderkey % 3 when 0 then concat('SELECT * FROM orders  WHERE id = ', cast(o_orderkey as varchar(20))) when 1 then concat('SELECT id FROM orders WHERE status = ''', o_orderstatus, ''' AND customer_id IN (', cast(o_custkey as varchar(20)), ', ', cast(o_custkey + 1 as varchar(20)), ')') else concat('UPDATE orders2024 SET total = total - 1.25 WHERE id = ', cast(o_orderkey as varchar(20))) end as query, cast(o_totalprice as decimal(12,2)) as duration_ms from orders""",
+    "query_log": """select case o_orderpriority when '1-URGENT' then 'storefront' when '2-HIGH' then 'checkout' else 'reporting' end as role, case o_orderkey % 3 when 0 then concat('/* page */ SELECT * FROM orders  WHERE id = ', cast(o_orderkey as varchar(20))) when 1 then concat('SELECT id FROM orders WHERE status = ''it''''s ', o_orderstatus, ''' AND customer_id IN (', cast(o_custkey as varchar(20)), ', ', cast(o_custkey + 1 as varchar(20)), ') -- by hand') else concat('UPDATE orders2024 SET total = total - 1.25, rate = -2.5e-3 WHERE id = ', cast(o_orderkey as varchar(20))) end as query, cast(o_totalprice as decimal(12,2)) as duration_ms from orders""",
     "operation_log": """select event_type as operation, case event_id % 10 when 0 then 'Error' when 1 then 'In progress' else 'OK' end as status, cast(value as decimal(12,2)) as duration_ms from events""",
     "demand": """select c.product_id, p.name as product_name, p.category, c.views, c.clicks, c.add_to_carts, round(100.0 * c.add_to_carts / nullif(c.views, 0), 1) as cart_rate, coalesce(s.units_sold, 0) as units_sold, coalesce(s.revenue, 0) as revenue, round(100.0 * coalesce(s.units_sold, 0) / nullif(c.add_to_carts, 0), 1) as conversion_rate, coalesce(k.in_stock, 0) as in_stock, k.reorder_level, (coalesce(k.in_stock, 0) <= coalesce(k.reorder_level, 0) and c.add_to_carts > 0) as restock_needed from (select product_id, sum(case when event_type = 'view' then 1 else 0 end) as views, sum(case when event_type = 'click' then 1 else 0 end) as clicks, sum(case when event_type = 'add_to_cart' then 1 else 0 end) as add_to_carts from silver group by product_id) c left join products p on p.id = c.product_id left join (select product_id, sum(quantity) as units_sold, sum(line_total) as revenue from order_items group by product_id) s on s.product_id = c.product_id left join (select product_id, sum(quantity) as in_stock, min(reorder_level) as reorder_level from inventory group by product_id) k on k.product_id = c.product_id""",
 }
@@ -231,10 +231,10 @@ class Shop:
         return self.table("orders").selectExpr(
             "case o_orderpriority when '1-URGENT' then 'storefront' when '2-HIGH' then 'checkout' "
             "else 'reporting' end as role",
-            "case o_orderkey % 3 when 0 then concat('SELECT * FROM orders  WHERE id = ', o_orderkey) "
-            "when 1 then concat('SELECT id FROM orders WHERE status = \\'', o_orderstatus, "
-            "'\\' AND customer_id IN (', o_custkey, ', ', o_custkey + 1, ')') "
-            "else concat('UPDATE orders2024 SET total = total - 1.25 WHERE id = ', o_orderkey) end as query",
+            "case o_orderkey % 3 when 0 then concat('/* page */ SELECT * FROM orders  WHERE id = ', o_orderkey) "
+            "when 1 then concat('SELECT id FROM orders WHERE status = \\'it\\'\\'s ', o_orderstatus, "
+            "'\\' AND customer_id IN (', o_custkey, ', ', o_custkey + 1, ') -- by hand') "
+            "else concat('UPDATE orders2024 SET total = total - 1.25, rate = -2.5e-3 WHERE id = ', o_orderkey) end as query",
             "cast(o_totalprice as decimal(12,2)) as duration_ms",
         )
 

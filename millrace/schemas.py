@@ -51,30 +51,6 @@ INPUTS = {
     ),
 }
 
-CUSTOMERS = _struct("id int not null, name string not null, email string not null, created_at timestamp_ntz")
-PRODUCTS = _struct("id int not null, name string not null, price decimal(10,2) not null, category string")
-INVENTORY = _struct(
-    "id int not null, product_id int not null, quantity int not null, warehouse string not null, "
-    "reorder_level int not null, last_restocked timestamp_ntz"
-)
-ORDERS = _struct(
-    "id int not null, customer_id int not null, product_id int not null, quantity int not null, "
-    "total decimal(10,2) not null, currency string not null, order_date timestamp_ntz not null, "
-    "status string not null"
-)
-ORDER_ITEMS = _struct(
-    "id int not null, order_id int not null, product_id int not null, quantity int not null, "
-    "unit_price decimal(10,2) not null, line_total decimal(10,2) not null"
-)
-PROMOTIONS = _struct(
-    "id int, product_id int, badge_text string, discount_pct decimal(5,2), "
-    "sale_price decimal(10,2), promo_type string, is_active boolean, "
-    "start_date timestamp_ntz, end_date timestamp_ntz"
-)
-REVIEWS = _struct(
-    "id int not null, product_id int not null, customer_id int not null, rating int not null, "
-    "comment string, review_date timestamp_ntz"
-)
 BRONZE = _struct("session_id string, event_type string, product_id int, event_ts timestamp_ntz")
 # As it travels in JSON: the time is text and is parsed after landing.
 BRONZE_TEXT = _struct("session_id string, event_type string, product_id int, event_ts string")
@@ -84,4 +60,3 @@ LIVE_EVENTS = _struct("event_type string, product_id int, event_ts string")
 # Fixed values.
 EVENT_TYPES = ("view", "click", "add_to_cart")
 ORDER_STATUSES = ("pending", "confirmed", "shipped", "delivered", "cancelled")
-LOYALTY_TIERS = ("Bronze", "Silver", "Gold", "Platinum")

@@ -90,6 +90,23 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def filed(df: DataFrame) -> DataFrame:
+    """Write ``df`` as files in the shared folder and read them again.
+
+    Like ``pin``, but Spark then knows how large the rows are, so it can
+    choose a join by that.
+    """
+    folder = scratch_dir(df.sparkSession, "filed")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of files that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has no more than ``rows`` rows; reads only that far."""
     return df.limit(rows + 1).count() <= rows

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import remove_folder
+
 # Names a synced copy may have, best first, and the word any
 # other name must contain.
 PROMOTION_TABLES = (("promotions_synced_prod", "promotions"), "promotions")
@@ -43,18 +46,58 @@ def rows_to_df(
     return spark.createDataFrame(list(rows), schema)
 
 
-def overwrite(df: DataFrame, name: str) -> None:
-    """Replace a table and its schema; ``df`` may read that very table.
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def _list_of(text: str) -> list[str]:
+    return [c.strip().strip("`") for c in text.strip("[]").split(",") if c.strip()]
 
-    The rows are written beside the table first and renamed into place, so a
-    failed write leaves the old table as it was.
+
+def overwrite(df: DataFrame, name: str) -> None:
+    """Replace a table's rows; ``df`` may read that very table.
+
+    The rows are written to a new folder, in the table's buckets if it has
+    any, and one catalog call points the table there: a stop at any time leaves
+    the old or the new rows.  Comment and buckets stay.  New columns are
+    declared before that and are null in the old rows.  A table that loses
+    columns or gets other types is written beside the old one and renamed,
+    which takes two calls.
     """
     spark = df.sparkSession
-    staging = f"{name}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    df.write.format("parquet").saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    if not spark.catalog.tableExists(name):
+        df.write.format("parquet").saveAsTable(name)
+        return
+    held = {f.name: f.dataType for f in spark.table(name).schema}
+    given = {f.name: f.dataType for f in df.schema}
+    if any(given.get(c) != kind for c, kind in held.items()):
+        staging = f"{name}__staging"
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        df.write.format("parquet").saveAsTable(staging)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+        return
+    facts = _described(spark, name)
+    folder = f"{facts['Location'].rstrip('/')}-{uuid.uuid4().hex[:8]}"
+    new = [c for c in given if c not in held]
+    writer = df.select(*held, *new).write.format("parquet")
+    if facts.get("Num Buckets", "-1") not in ("-1", "0"):
+        first, *others = _list_of(facts["Bucket Columns"])
+        writer = writer.bucketBy(int(facts["Num Buckets"]), first, *others)
+        if ordered := _list_of(facts.get("Sort Columns", "")):
+            writer = writer.sortBy(*ordered)
+        # Buckets need a table; dropping that leaves its files.
+        staging = f"{name}__staging"
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        writer.option("path", folder).saveAsTable(staging)
+        spark.sql(f"DROP TABLE {staging}")
+    else:
+        writer.save(folder)
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{c}` {given[c].simpleString()}' for c in new)})")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
+    remove_folder(spark, facts["Location"])
 
 
 def store_keyed(df: DataFrame, name: str, key: str | Sequence[str], buckets: int) -> None:

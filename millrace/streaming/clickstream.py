@@ -19,15 +19,10 @@ from millrace.operators.demand import (
 )
 from millrace.operators.joins import lookup_join
 from millrace.operators.quality import clickstream_rules, keep_valid, violation_counts
-from millrace.session import at_most
 from millrace.sources.tables import overwrite
-from millrace.streaming.runs import dropped_late, file_stream, observed, run_to_end, to_batches, to_files
+from millrace.streaming.runs import dropped_late, file_stream, observed, run_reported, run_to_end, to_batches, to_files
 
 EXPECTATIONS = "expectations"
-# Up to this many products are broadcast; beyond, the join is shuffled with
-# hot products spread out.  Adaptive execution does neither for this stream.
-_SMALL_DIMENSION = 100_000
-_SPREAD = 32
 
 
 def event_to_json(events: DataFrame) -> DataFrame:
@@ -117,24 +112,22 @@ def silver_stream(
     bronze: DataFrame,
     products: DataFrame,
     horizon: str | None = None,
-    small_rows: int = _SMALL_DIMENSION,
-    spread: int = _SPREAD,
+    spread: int | None = None,
 ) -> DataFrame:
     """Valid events, each once, with product name and category.
 
-    Rejections are counted per delivery, before duplicates are known.
+    Rejections are counted per delivery, before duplicates are known.  Spark
+    sends the products to the events when their size in bytes is under its
+    broadcast threshold.  Products larger than that are shuffled; adaptive
+    execution does not split hot ones in this stream, ``spread`` does.
     """
     labels = product_labels(products)
-    small = at_most(labels, small_rows)
     rules = clickstream_rules()
     watched = bronze.select(*EVENT_KEY).observe(
         EXPECTATIONS, F.count(F.lit(1)).alias("deliveries"), *violation_counts(rules)
     )
     clean = dedup_events(keep_valid(watched, rules), EVENT_KEY, horizon)
-    if small:
-        enriched = lookup_join(clean, F.broadcast(labels), "product_id")
-    else:
-        enriched = lookup_join(clean, labels, "product_id", spread=spread)
+    enriched = lookup_join(clean, labels, "product_id", spread=spread)
     return enriched.select(*EVENT_KEY, "product_name", "category")
 
 
@@ -144,10 +137,11 @@ def run_silver(
     """Bring the silver files up to date; returns deliveries and rejections.
 
     The products are read as they are when the run starts.  ``late`` counts
-    the events beyond the horizon.
+    the events beyond the horizon.  ``streaming.silver`` keeps those, and reads
+    the products anew for every batch.
     """
-    query = run_to_end(to_files(silver_stream(bronze, products, horizon), target, checkpoint))
-    return {**observed(query, EXPECTATIONS), "late": dropped_late(query)}
+    _, reports = run_reported(to_files(silver_stream(bronze, products, horizon), target, checkpoint))
+    return {**observed(reports, EXPECTATIONS), "late": dropped_late(reports)}
 
 
 def run_funnel(

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 
-_REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
-_KEPT_REPORTS = "100000"
+_LOOK_EVERY = 0.5  # seconds; Spark keeps the reports of the last hundred batches
 
 
 def file_stream(
@@ -24,19 +24,19 @@ def file_stream(
 
 
 def run_to_end(writer: DataStreamWriter) -> StreamingQuery:
-    """Work off everything available, then stop; raise if the stream failed.
+    """Work off everything available, then stop; raise if the stream failed."""
+    return run_reported(writer)[0]
 
-    The reports of all batches are kept, which the totals below add up.
-    """
-    conf = SparkSession.active().conf
-    usual = conf.get(_REPORTS)
-    conf.set(_REPORTS, _KEPT_REPORTS)
-    try:
-        query = writer.trigger(availableNow=True).start()
-    finally:
-        conf.set(_REPORTS, usual)
-    query.awaitTermination()
-    return query
+
+def run_reported(writer: DataStreamWriter) -> tuple[StreamingQuery, list[StreamingQueryProgress]]:
+    """``run_to_end``, and the reports of all its batches, taken while it runs."""
+    query = writer.trigger(availableNow=True).start()
+    reports: dict[int, StreamingQueryProgress] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(_LOOK_EVERY)
+        reports |= {progress.batchId: progress for progress in query.recentProgress}
+    return query, list(reports.values())
 
 
 def keep_running(writer: DataStreamWriter, every: str) -> StreamingQuery:
@@ -60,19 +60,15 @@ def to_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoi
     return df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
 
 
-def dropped_late(query: StreamingQuery) -> int:
+def dropped_late(reports: Sequence[StreamingQueryProgress]) -> int:
     """Rows a finished stream left out because they came after the watermark."""
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
+    return sum(operator.numRowsDroppedByWatermark for progress in reports for operator in progress.stateOperators)
 
 
-def observed(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Totals of an observation over the batches a finished stream reports."""
+def observed(reports: Sequence[StreamingQueryProgress], name: str) -> dict[str, int]:
+    """Totals of an observation over the batches of a finished stream."""
     totals: dict[str, int] = {}
-    for progress in query.recentProgress:
+    for progress in reports:
         row = progress.observedMetrics.get(name)
         for metric, value in (row.asDict() if row else {}).items():
             totals[metric] = totals.get(metric, 0) + (value or 0)

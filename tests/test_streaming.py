@@ -13,7 +13,7 @@ from millrace.operators.demand import clean_events, demand_from_silver, silver_e
 from millrace.sources.serving import ServingCopy
 from millrace.streaming import clickstream as cs
 from millrace.streaming.runs import file_stream, run_to_end, to_files
-from millrace.streaming.sync import sync_continuous
+from millrace.streaming.sync import maintain, sync_continuous
 from tests.conftest import rows
 
 
@@ -54,7 +54,7 @@ def test_events_beyond_the_horizon_are_counted(spark, shop, folder):
 def test_spread_enrichment_in_a_stream(spark, shop, folder):
     shop.bronze.write.parquet(f"{folder}/feed")
     bronze = file_stream(spark, f"{folder}/feed", schemas.BRONZE)
-    silver = cs.silver_stream(bronze, shop.products, small_rows=0, spread=4)
+    silver = cs.silver_stream(bronze, shop.products, spread=4)
     run_to_end(to_files(silver, f"{folder}/silver", f"{folder}/state"))
     assert rows(spark.read.parquet(f"{folder}/silver")) == rows(silver_events(shop.bronze, shop.products))
 
@@ -129,8 +129,8 @@ def test_live_feed_through_silver(spark, shop, folder):
     assert rows(spark.read.parquet(f"{folder}/silver")) == rows(expected)
 
 
-@pytest.mark.parametrize("compact_every", [None, 2])
-def test_continuous_sync_over_late_files(spark, shop, folder, compact_every):
+@pytest.mark.parametrize("folding", [False, True])
+def test_continuous_sync_over_late_files(spark, shop, folder, folding):
     changes = shop.order_changes
     # Deletions first, inserts last: every file is out of order.
     for op in ("delete", "update", "insert"):
@@ -140,14 +140,18 @@ def test_continuous_sync_over_late_files(spark, shop, folder, compact_every):
     copy = ServingCopy(spark, f"{folder}/copy", "id", ignore=sorted(log_only))
     copy.load(base)
     feed = file_stream(spark, f"{folder}/feed", changes.schema, files_per_batch=1)
-    sync_continuous(feed, copy, f"{folder}/state", compact_every)
+    sync_continuous(feed, copy, f"{folder}/state")
+    if folding:
+        assert maintain(copy, keep=1)
     expected = rows(apply_changes(base, changes, "id", "seq"))
     assert rows(copy.read()) == expected
     # Nothing new: nothing changes.  The same changes again: nothing either.
-    sync_continuous(feed, copy, f"{folder}/state", compact_every)
+    sync_continuous(feed, copy, f"{folder}/state")
     changes.coalesce(1).write.mode("append").parquet(f"{folder}/feed")
-    sync_continuous(feed, copy, f"{folder}/state", compact_every)
+    sync_continuous(feed, copy, f"{folder}/state")
     assert rows(copy.read()) == expected
+    if folding:
+        assert maintain(copy, keep=1) and rows(copy.read()) == expected
 
 
 def test_continuous_sync_keeps_up_until_stopped(spark, shop, folder):
