@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cached_property
 from pathlib import Path
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.session import scratch_dir
+from millrace.session import remove_folder, scratch_dir
 
 
 def ship(spark: SparkSession) -> None:
@@ -29,9 +30,13 @@ def ship(spark: SparkSession) -> None:
             for file in sorted(package.rglob("*.py")):
                 out.write(file, file.relative_to(package.parent))
         context.addPyFile(str(target))
+    for name, value in _BATCH.items():
+        spark.conf.set(name, value)
 
 
 _SHIPPED: set[str] = set()
+# Texts come to Python in small batches: a batch is held several times over.
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,17 +61,31 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "stored")
+    if _NOTED is not None:
+        _NOTED.append(path)
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+_NOTED: list[str] | None = None
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The folders that ``stored`` writes inside the block."""
+    global _NOTED
+    before, _NOTED = _NOTED, []
+    try:
+        yield _NOTED
+    finally:
+        _NOTED = before
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the files of a stored table that nothing will read again."""
-    jvm = df.sparkSession.sparkContext._jvm
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        remove_folder(df.sparkSession, folder)
 
 
 def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
@@ -251,6 +270,69 @@ def _marked(table, columns, key, order, head, leader, first_key, before):
     return out, table.slice(n - 1, 1), last_head, first_key, before
 
 
+def pairs_within(rows: DataFrame, key: str, name: str, most: int, close: Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """``a, b`` (``a`` > ``b``): the ``name`` s of rows that share ``key`` and are close.
+
+    Rows are sorted by key, then name, and cut into ranges anywhere.  Groups of
+    up to ``most`` rows are compared where they lie, and a pair that meets in
+    many groups is given once for each portion, not once for each group.
+    Larger groups, and the outermost of a range, which may go on in another,
+    are handed back as rows (``a`` is then null), to be joined.
+    """
+    columns = rows.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", a long, b long"
+
+    def answer(table: pa.Table, open_key: int | None, last: bool) -> Iterator[pa.RecordBatch]:
+        t = {c: table.column(c).to_numpy(zero_copy_only=False) for c in columns}
+        starts = firsts(t[key])
+        sizes = np.diff(np.append(starts, table.num_rows))
+        large = sizes > most
+        large[t[key][starts] == open_key] = True
+        large[-1] |= last
+        rank = np.arange(table.num_rows) - np.repeat(starts, sizes)
+        large = np.repeat(large, sizes)
+        later, lag, found, many = np.flatnonzero(~large & (rank > 0)), 1, [], 0
+        while len(later):
+            fit = close(t, later, later - lag)
+            one, two = t[name][later[fit]], t[name][later[fit] - lag]
+            found.append(np.stack([np.maximum(one, two), np.minimum(one, two)], axis=1))
+            many += len(one)
+            if many > 1 << 18:  # many of them are repeats
+                found = [np.unique(np.concatenate(found), axis=0)]
+                many = len(found[0])
+            lag += 1
+            later = later[rank[later] >= lag]
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        kinds = [*(f.type for f in table.schema), pa.int64(), pa.int64()]
+        if len(pairs):
+            nulls = [pa.nulls(len(pairs), f.type) for f in table.schema]
+            yield pa.RecordBatch.from_arrays([*nulls, pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], [*columns, "a", "b"])
+        if large.any():
+            back = table.filter(pa.array(large)).combine_chunks()
+            nulls = [pa.nulls(back.num_rows, k) for k in kinds[-2:]]
+            yield pa.RecordBatch.from_arrays([*(back.column(c).combine_chunks() for c in columns), *nulls], [*columns, "a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, opened, first = None, None, True
+        for table in gathered(batches, 1 << 16):
+            table = table if held is None else pa.concat_tables([held, table])
+            keys = table.column(key).to_numpy()
+            if first:
+                opened, first = int(keys[0]), False
+            cut = int(np.searchsorted(keys, keys[-1]))
+            full = table.num_rows - cut > most  # too large to wait for its end
+            if full:
+                cut = table.num_rows
+            if cut:
+                yield from answer(table.slice(0, cut), opened, full)
+            held = table.slice(cut) if cut < table.num_rows else None
+            opened = int(keys[-1]) if full or int(keys[-1]) == opened else None
+        if held is not None:
+            yield from answer(held, opened, True)
+
+    return rows.repartitionByRange(key, name).sortWithinPartitions(key, name).mapInArrow(run, schema)
+
+
 _MARKS = 1 << 23
 
 

@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from millrace.llm.common import stored
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of the links ``(a, b)``.
 
     A component is named by its least node.  Large-star and small-star rounds
     hang every node under ever smaller neighbours until nothing changes; each
-    round is a few joins on narrow rows, stored, and halves long chains.
+    round is a few joins on narrow rows, stored, and halves long chains, so the
+    rounds grow with the logarithm of the longest one.  Links with a null, and
+    of a node with itself, say nothing; without links there are no nodes.
     """
     a, b = F.col("a"), F.col("b")
     edges = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
     edges = stored(edges)
-    for _ in range(most_rounds):
+    while True:
         # Settled when every node hangs under one other that hangs under none.
         ends = edges.select(a.alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
         ends = ends.unionByName(edges.select(b.alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
@@ -34,7 +36,5 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("least")).withColumnRenamed("a", "node")
         small = large.join(least, a == F.col("node")).select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
         edges = stored(small.where("a <> b").distinct())
-    else:
-        raise RuntimeError("components did not settle")
     found = edges.select(a.alias("node"), b.alias("component"))
     return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
