@@ -51,6 +51,14 @@ def raw(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, or a longer one that is not among the columns in any case of letters."""
+    held = {c.lower() for c in columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, compressed, and read again.
 

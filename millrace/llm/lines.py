@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Words, by_batch, firsts, gathered, lists, marked, marks_of, mix, portions, raw, sorted_within, stored
+from millrace.llm.common import Words, by_batch, firsts, gathered, lists, marked, marks_of, mix, portions, raw, sorted_within, stored, unused
 
 _COUNTERS = 1 << 21
 _SLICES = 32
@@ -331,11 +331,12 @@ def without(documents: DataFrame, lines: DataFrame, key: str = "doc_id") -> Data
 
     A document of which nothing is left but white space stays, with that.
     """
-    gone = lines.groupBy(F.col(key).alias("__doc")).agg(F.collect_set("line").alias("__gone"))
-    both = documents.join(gone, documents[key].eqNullSafe(gone["__doc"]), "left")
+    doc, lost = (unused(documents.columns, name) for name in ("__doc", "__gone"))
+    gone = lines.groupBy(F.col(key).alias(doc)).agg(F.collect_set("line").alias(lost))
+    both = documents.join(gone, documents[key].eqNullSafe(gone[doc]), "left")
     parts = F.split("text", "\n", -1)
-    kept = F.filter(parts, lambda part, i: ~F.array_contains("__gone", i.cast("long")))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(parts, lambda part, i: ~F.array_contains(lost, i.cast("long")))
+    text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return both.select(*(text.alias(c) if c == "text" else documents[c] for c in documents.columns))
 
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import stored, unused
 
 BLOCK = 256
 _ITEM = "struct<doc_id:bigint,size:bigint,part:double>"
@@ -170,7 +170,8 @@ def taken(documents: DataFrame, copies: DataFrame, key: str = "doc_id") -> DataF
     The ``doc_id`` of ``copies`` is the documents' ``key``.  Rows that share
     one are taken as often as the most taken of them.
     """
-    often = copies.where("copies > 0").groupBy(F.col("doc_id").alias("__doc")).agg(F.max("copies").alias("__often"))
-    both = documents.join(often, documents[key].eqNullSafe(often["__doc"]))
-    repeated = both.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__often"))))
+    doc, times, copy = (unused(documents.columns, name) for name in ("__doc", "__often", "__copy"))
+    often = copies.where("copies > 0").groupBy(F.col("doc_id").alias(doc)).agg(F.max("copies").alias(times))
+    both = documents.join(often, documents[key].eqNullSafe(often[doc]))
+    repeated = both.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
     return repeated.select(*(documents[c] for c in documents.columns))
