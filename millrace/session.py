@@ -105,8 +105,3 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder of files that nothing reads any more."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; reads only that far."""
-    return df.limit(rows + 1).count() <= rows
