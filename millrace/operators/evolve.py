@@ -136,17 +136,30 @@ def column_fill(df: DataFrame) -> DataFrame:
 
 
 def table_figures(tables: Mapping[str, DataFrame], measures: Mapping[str, Column]) -> DataFrame:
-    """One row per table: rows, and the total of its measure if it has one."""
+    """One row per table: rows, and the total of its measure if it has one.
+
+    Every measure is summed at its own scale; the totals are shown at the
+    largest of them.
+    """
+    scales = {name: _scale(df.select(measures[name]).schema[0].dataType) for name, df in tables.items() if name in measures}
+    shown = f"decimal(38,{max(scales.values(), default=0)})"
     parts = []
     for name, df in tables.items():
-        # Rates have six decimals, amounts two.
-        amount = measures.get(name, F.lit(0)).cast("decimal(38,6)")
-        total = F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(38,6)")
+        amount = measures.get(name, F.lit(0)).cast(f"decimal(38,{scales.get(name, 0)})")
+        total = F.coalesce(F.sum(amount), F.lit(0)).cast(shown)
         counted = df.agg(F.count(F.lit(1)).alias("rows"), total.alias("total"))
         parts.append(counted.select(F.lit(name).alias("table_name"), "rows", "total"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _scale(kind: T.DataType) -> int:
+    """Decimals of a measure; a float has none of its own and gets 18, so that
+    its sum does not depend on the order of the rows."""
+    if isinstance(kind, T.DecimalType):
+        return kind.scale
+    return 18 if isinstance(kind, (T.FloatType, T.DoubleType)) else 0
+
+
 def reconcile(before: Tables, after: Tables, measures: Mapping[str, Column]) -> DataFrame:
     """Row counts and totals of two states, table by table.
 

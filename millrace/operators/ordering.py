@@ -12,8 +12,8 @@ from millrace.session import pin
 
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
-# A per-key limit up to this many rows is applied before the shuffle by Spark
-# (spark.sql.optimizer.windowGroupLimitThreshold).
+# Fixed value: up to this many rows per key Spark applies a limit before the
+# shuffle (the default of spark.sql.optimizer.windowGroupLimitThreshold).
 _EARLY_LIMIT = 1000
 # monotonically_increasing_id() keeps the place in the partition in these bits.
 _PLACE_BITS = 33
@@ -150,24 +150,31 @@ def latest_per_key(
     order: Sequence[Column],
     n: int,
     name: str = "position",
-    spread: int = 64,
+    parts: int | None = None,
 ) -> DataFrame:
-    """The first ``n`` rows of each key in the given order.
+    """The first ``n`` rows of each key in the given order; a null key is a key.
 
-    Spark trims every map task to ``n`` rows per key before the shuffle.  It
-    does so only for a small ``n``; beyond that the key is first trimmed in
-    ``spread`` pieces.
+    For a small ``n`` Spark trims every map task to ``n`` rows per key before
+    the shuffle.  It does not for a larger one; the order by key is then cut
+    into ranges, and the counts of each key per range tell where its first
+    ``n`` rows end.  No task holds more of a key than a range.
     """
     keys = names(key)
-    if n > _EARLY_LIMIT:
-        rest = [F.col(c) for c in df.columns if c not in keys]
-        piece = F.pmod(F.xxhash64(*rest), F.lit(spread))
-        trim = Window.partitionBy(*keys, "_piece").orderBy(*order)
-        df = (
-            df.withColumn("_piece", piece)
-            .withColumn("_position", F.row_number().over(trim))
-            .filter(F.col("_position") <= n)
-            .drop("_piece", "_position")
-        )
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(name, position).filter(F.col(name) <= n)
+    if n <= _EARLY_LIMIT:
+        position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn(name, position).filter(F.col(name) <= n)
+    ranged = _in_ranges(df, [*[F.col(k) for k in keys], *order], parts)
+    # A key's rows lie side by side in a range: one row for each of its ranges.
+    sizes = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_size"), F.min("_spot").alias("_first"))
+    before = F.sum("_size").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(*_BEFORE))
+    cuts = sizes.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_range").alias("_r"),
+        "_first",
+        F.coalesce(before, F.lit(0)).alias("_before"),
+    ).filter(F.col("_before") < n)
+    same = F.col("_range") == F.col("_r")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    position = (F.col("_before") + F.col("_spot") - F.col("_first") + 1).cast("int")
+    return ranged.join(cuts, same).select(*df.columns, position.alias(name)).filter(F.col(name) <= n)

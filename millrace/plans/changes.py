@@ -179,23 +179,52 @@ def table_row_counts(shop: Shop):
     return evolve.table_figures(shop.tables(), {}).select("table_name", "rows")
 
 
-@query("""select 'email_verified' as column_name, 'only production' as drift, 'boolean' as data_type,
-      (select count(email_verified) from customers) as filled_rows
-    union all
-    select 'loyalty_points', 'only branch', 'bigint', (select count(loyalty_points) from points)""")
+_BRANCH = """branch as (select cast(id as decimal(20,0)) as id, coalesce(name, '') as name, email,
+      cast(loyalty_points as bigint) as loyalty_points from points)"""
+
+
+@query(f"""with {_BRANCH},
+    production_types as (select distinct typeof(id) as id, typeof(name) as name, typeof(email) as email,
+      typeof(email_verified) as email_verified from customers),
+    branch_types as (select distinct typeof(id) as id, typeof(name) as name, typeof(email) as email,
+      typeof(loyalty_points) as loyalty_points from branch),
+    production as (
+      select 'id' as column_name, id as kind, true as nullable, (select count(id) from customers) as filled from production_types
+      union all select 'name', name, true, (select count(name) from customers) from production_types
+      union all select 'email', email, true, (select count(email) from customers) from production_types
+      union all select 'email_verified', email_verified, true, (select count(email_verified) from customers) from production_types),
+    branched as (
+      select 'id' as column_name, id as kind, true as nullable, (select count(id) from branch) as filled from branch_types
+      union all select 'name', name, false, (select count(name) from branch) from branch_types
+      union all select 'email', email, true, (select count(email) from branch) from branch_types
+      union all select 'loyalty_points', loyalty_points, false, (select count(loyalty_points) from branch) from branch_types),
+    both_sides as (
+      select column_name, p.kind as production_type, b.kind as branch_type, p.filled as production_filled, b.filled as branch_filled,
+        case when b.kind is null then 'only production' when p.kind is null then 'only branch'
+          when p.kind <> b.kind then 'type' when p.nullable <> b.nullable then 'nullable' end as drift
+      from production p full join branched b using (column_name))
+    select column_name, drift, production_filled, branch_filled,
+      replace(replace(lower(production_type), 'varchar', 'string'), 'integer', 'int') as production_type,
+      replace(replace(lower(branch_type), 'varchar', 'string'), 'integer', 'int') as branch_type
+    from both_sides where drift is not null""")
 def schema_drift(shop: Shop):
-    """Columns that only one of two states of the customers has, and how full they are."""
+    """Columns that differ between two states of the customers, and how full each side's are."""
     production = shop.customers
     branch = loyalty.backfill_points(shop.customers.drop("email_verified"), shop.orders)
+    branch = branch.withColumn("id", F.col("id").cast("decimal(20,0)")).fillna({"name": ""})
     columns = [evolve.schema_rows(shop.spark, {"customers": df}) for df in (production, branch)]
-    drift = evolve.schema_diff(*columns).filter(F.startswith("drift", F.lit("only")))
-    filled = production.join(branch.select("id", "loyalty_points"), "id", "full_outer")
-    side = F.when(F.col("drift") == "only left", "only production").otherwise("only branch")
-    return drift.join(evolve.column_fill(filled), "column_name").select(
+    side = F.regexp_replace(F.regexp_replace("drift", "only left", "only production"), "only right", "only branch")
+    drift = evolve.schema_diff(*columns)
+    for label, df in (("production", production), ("branch", branch)):
+        fill = evolve.column_fill(df).withColumnRenamed("filled_rows", f"{label}_filled")
+        drift = drift.join(fill, "column_name", "left")
+    return drift.select(
         "column_name",
         side.alias("drift"),
-        F.coalesce("left_type", "right_type").alias("data_type"),
-        "filled_rows",
+        "production_filled",
+        "branch_filled",
+        F.col("left_type").alias("production_type"),
+        F.col("right_type").alias("branch_type"),
     )
 
 

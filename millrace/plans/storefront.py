@@ -313,7 +313,8 @@ def account_profile(shop: Shop):
     return c.account_profile(people, loyalty.enroll_members(people, NOW))
 
 
-@query("""select status, count(*) as orders, round(cast(sum(total) as double) / count(*), 2) as avg_total
+@query("""select status, count(*) as orders,
+      (2 * sum(cast(total * 100 as bigint)) + count(total)) // (2 * count(total)) / 100.0 as avg_total
     from shop_orders group by status""")
 def order_status_distribution(shop: Shop):
     return c.order_status_distribution(shop.orders)

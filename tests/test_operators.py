@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators import catalog, demand, evolve, finance, logs, loyalty, quality
+from millrace.operators import catalog, demand, evolve, finance, logs, loyalty, ordering, quality
 from millrace.operators.joins import Child, insert_ignore, lookup_join, one_per_key, preaggregate_join, select_available, where_all
 from millrace.operators.ordering import continue_ids, latest_per_key, number_rows, page, plain_running_totals, running_totals
 from tests.conftest import rows
@@ -133,6 +133,39 @@ def test_latest_per_key(spark, n):
     assert got == sorted(expected)
 
 
+def test_many_rows_of_a_hot_key(spark):
+    """A third of all rows has one key, a sixth a null key; neither meets in one task."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 50))
+    df = spark.range(0, 12_000, 1, 8).select(key.alias("g"), F.pmod(F.xxhash64("id"), F.lit(700)).alias("t"), "id")
+    found = latest_per_key(df, "g", [F.desc("t"), F.asc("id")], 3_500, parts=12)
+    got = {(r.g, r.position, r.id) for r in found.collect()}
+    groups = {}
+    for r in df.collect():
+        groups.setdefault(r.g, []).append((-r.t, r.id))
+    assert got == {(g, i, x[1]) for g, xs in groups.items() for i, x in enumerate(sorted(xs)[:3_500], 1)}
+    spread = ordering._in_ranges(df, [F.col("g"), F.desc("t"), F.asc("id")], 12)
+    largest = spread.groupBy("_range").count().agg(F.max("count")).first()[0]
+    assert spread.filter("g = 'hot'").select("_range").distinct().count() >= 4
+    assert largest <= 2 * 12_000 / 12
+
+
+def test_totals_keep_the_scale_of_their_measure(spark):
+    fine = spark.createDataFrame([("0.00000001",), ("0.00000002",)], "x string").select(F.col("x").cast("decimal(20,8)").alias("x"))
+    whole = spark.range(3).select((F.col("id") + 5).alias("x"))
+    found = evolve.table_figures({"fine": fine, "whole": whole, "none": whole}, {"fine": F.col("x"), "whole": F.col("x")})
+    assert dict(found.dtypes)["total"] == "decimal(38,8)"
+    totals = {r.table_name: (r.rows, r.total) for r in found.collect()}
+    assert totals == {"fine": (2, Decimal("0.00000003")), "whole": (3, Decimal(18)), "none": (3, Decimal(0))}
+    lost = evolve.reconcile({"t": fine}, {"t": fine.filter("x > 0.00000001").unionAll(fine.filter("x > 0.00000001"))}, {"t": F.col("x")})
+    assert [r.matches for r in lost.collect()] == [False]
+
+
+def test_means_of_money_round_half_up(spark):
+    orders = spark.createDataFrame([("a", "0.01"), ("a", "0.02"), ("b", "1.00"), ("b", None)], "status string, total string")
+    found = catalog.order_status_distribution(orders.withColumn("total", F.col("total").cast("decimal(12,2)")))
+    assert {r.status: (r.orders, str(r.avg_total)) for r in found.collect()} == {"a": (2, "0.02"), "b": (2, "1.00")}
+
+
 def test_update_where_sees_old_values_and_keeps_types(spark):
     df = spark.createDataFrame([(1, 10, None), (2, 20, 5), (None, 30, 6)], "id int, a int, b int")
     swapped = evolve.update_where(df, F.col("id") > 1, {"a": F.col("b"), "b": F.col("a")})
