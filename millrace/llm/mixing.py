@@ -13,7 +13,9 @@ power of two) are dealt by hash to blocks of about ``BLOCK``; each block is
 folded to one open document, the open ones of ``BLOCK`` blocks to one, and so
 on.  The few left of a source, one for each size class, are settled from large
 to small, each on the side that keeps the words nearest to the target.  Random
-numbers are hashes of ids, so reruns agree.
+numbers are hashes of ids, so reruns agree.  Rows that are equal in id, size
+and source count as one another: they are counted, and each gets a number that
+its hashes depend on, so they spread over blocks as other rows do.
 
 Words are runs of characters other than space and 0x09 to 0x0D.  Documents
 without words (or with null texts) add nothing and are taken no times.  A null
@@ -23,13 +25,16 @@ are not looked at.  Everything here is DataFrame functions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stored, unused
+from millrace.operators.ordering import number_rows, running_totals
 
 BLOCK = 256
-_ITEM = "struct<doc_id:bigint,size:bigint,part:double>"
+_PIECE = 4096  # equal rows that one task makes of their count at once
+_PER_RANGE = 100_000
+_ITEM = "struct<doc_id:bigint,size:bigint,nth:bigint,part:double>"
 _DONE = "array<struct<doc_id:bigint,size:bigint,up:int>>"
 
 
@@ -39,13 +44,11 @@ def sized(documents: DataFrame) -> DataFrame:
 
 
 def by_rank(sources: DataFrame, weights: list[float]) -> DataFrame:
-    """``source, source_size, weight``: weights in turn, by code point, null last.
-
-    Sources are what a recipe names, a short table; they are numbered in one task.
-    """
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    turn = F.element_at(F.array(*map(F.lit, map(float, weights))), (place % len(weights) + 1).cast("int"))
-    return sources.select("source", "source_size", turn.alias("weight"))
+    """``source, source_size, weight``: weights in turn, by code point, null last."""
+    parts = sources.count() // _PER_RANGE + 1
+    placed = number_rows(sources, [F.col("source").asc_nulls_last()], "place", 0, parts)
+    turn = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("place") % len(weights) + 1).cast("int"))
+    return placed.select("source", "source_size", turn.alias("weight"))
 
 
 def targets(weighted: DataFrame, wanted: float, most: float = 2.0) -> DataFrame:
@@ -53,18 +56,39 @@ def targets(weighted: DataFrame, wanted: float, most: float = 2.0) -> DataFrame:
 
     Sources fill up in the order of what they have for their weight, so the
     level at which the others share the rest is found with running sums.
+    Runs the jobs that sum and find the level.
     """
-    ratio = F.col("cap") / F.col("weight")
     rows = weighted.select("*", (most * F.col("source_size")).alias("cap"))
-    order = Window.orderBy("ratio", F.col("source").asc_nulls_last())
-    everything = Window.partitionBy()
-    rows = rows.select("*", ratio.alias("ratio"), F.sum("source_size").over(everything).alias("all"))
-    left = wanted * F.col("all") - F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    open_ = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
-    rows = rows.select("*", (left / open_).alias("level"))
-    first = F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "level"))
-    level = F.min(first).over(everything)["level"]
-    return rows.select("source", "source_size", F.coalesce(F.least(level * F.col("weight"), F.col("cap")), F.col("cap")).alias("target"))
+    rows = rows.withColumn("ratio", F.col("cap") / F.col("weight"))
+    n, words, weights = rows.agg(F.count(F.lit(1)), F.sum("source_size"), F.sum("weight")).first()
+    if not n:
+        return rows.select("source", "source_size", F.col("cap").alias("target"))
+    order = [F.col("ratio").asc(), F.col("source").asc_nulls_last()]
+    sums = {"caps": F.col("cap"), "weights": F.col("weight")}
+    rows = running_totals(rows, [], order, sums, n // _PER_RANGE + 1)
+    left = F.lit(float(wanted * words)) - (F.col("caps") - F.col("cap"))
+    open_ = F.lit(float(weights)) - F.col("weights") + F.col("weight")
+    first = rows.select("ratio", (left / open_).alias("level")).where("level <= ratio")
+    level = first.agg(F.min(F.struct("ratio", "level"))["level"]).first()[0]
+    target = F.col("cap") if level is None else F.least(F.lit(level) * F.col("weight"), F.col("cap"))
+    return rows.select("source", "source_size", target.alias("target"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``nth``: equal rows are numbered from 0.
+
+    They are counted and made anew from the count, in pieces when many are
+    equal, so no task holds them all.
+    """
+    counted = stored(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("times")))
+    up_to = lambda first, last: F.explode(F.sequence(first, last))
+    few = counted.where(F.col("times") <= _PIECE)
+    few = few.select(*rows.columns, up_to(F.lit(0).cast("long"), F.col("times") - 1).alias("nth"))
+    many = counted.where(F.col("times") > _PIECE)
+    many = many.withColumn("piece", up_to(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / _PIECE)))
+    last = F.least(F.col("times"), (F.col("piece") + 1) * _PIECE) - 1
+    many = many.repartition("doc_id", "size", "piece").select(*rows.columns, up_to(F.col("piece") * _PIECE, last).alias("nth"))
+    return few.unionByName(many)
 
 
 def _meet(state: Column, item: Column, salt: int) -> Column:
@@ -73,16 +97,16 @@ def _meet(state: Column, item: Column, salt: int) -> Column:
     has_a, has_b = a["part"] * a["size"], b["part"] * b["size"]
     room_a, room_b = (1 - a["part"]) * a["size"], (1 - b["part"]) * b["size"]
     to_a, to_b = F.least(room_a, has_b), F.least(has_a, room_b)
-    chance = F.pmod(F.xxhash64(a["doc_id"], b["doc_id"], a["size"], b["size"], F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+    chance = F.pmod(F.xxhash64(a["doc_id"], b["doc_id"], a["size"], b["size"], a["nth"], b["nth"], F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
     give_a = chance * (to_a + to_b) < to_b
     # Who is certain afterwards; the other keeps the rest of both.
     a_settled = F.when(give_a, room_a <= has_b).otherwise(has_a <= room_b)
     up = F.when(a_settled, give_a).otherwise(~give_a).cast("int")
     rest = F.when(
         a_settled,
-        F.struct(b["doc_id"].alias("doc_id"), b["size"].alias("size"), ((has_a + has_b - F.when(give_a, a["size"]).otherwise(0)) / b["size"]).alias("part")),
+        F.struct(b["doc_id"].alias("doc_id"), b["size"].alias("size"), b["nth"].alias("nth"), ((has_a + has_b - F.when(give_a, a["size"]).otherwise(0)) / b["size"]).alias("part")),
     ).otherwise(
-        F.struct(a["doc_id"].alias("doc_id"), a["size"].alias("size"), ((has_a + has_b - F.when(give_a, 0).otherwise(b["size"])) / a["size"]).alias("part"))
+        F.struct(a["doc_id"].alias("doc_id"), a["size"].alias("size"), a["nth"].alias("nth"), ((has_a + has_b - F.when(give_a, 0).otherwise(b["size"])) / a["size"]).alias("part"))
     )
     settled = F.struct(
         F.when(a_settled, a["doc_id"]).otherwise(b["doc_id"]).alias("doc_id"),
@@ -133,11 +157,11 @@ def mixed(documents: DataFrame, weights: list[float], wanted: float = 1.5, most:
     recipe = sources.select(F.col("source").alias("from"), "source_size", "target", F.floor(rate).alias("sure"), (rate - F.floor(rate)).alias("part"))
     every = rows.join(recipe, rows["source"].eqNullSafe(recipe["from"])).drop("from")
     class_ = F.floor(F.log2(F.col("size").cast("double"))).cast("int")
-    unsure = every.where("size > 0 and part > 0").select(
+    unsure = _numbered(every.where("size > 0 and part > 0").select("source", "doc_id", "size", "part")).select(
         "source",
         class_.alias("class"),
-        F.pmod(F.xxhash64("doc_id", "size", F.lit(11)), F.lit(1 << 40)).alias("place"),
-        F.struct("doc_id", "size", "part").cast(_ITEM).alias("item"),
+        F.pmod(F.xxhash64("doc_id", "size", "nth", F.lit(11)), F.lit(1 << 40)).alias("place"),
+        F.struct("doc_id", "size", "nth", "part").cast(_ITEM).alias("item"),
     )
     n = unsure.groupBy("source", "class").count().agg(F.max("count")).first()[0] or 0
     # A block is a range of the hash; one of the next level is a range of blocks.

@@ -374,6 +374,30 @@ def test_taken_repeats_rows(spark, documents):
     assert Counter(r["doc_id"] for r in found.collect()) == {503: 2, 504: 1, None: 2}
 
 
+def test_equal_rows_spread_over_blocks(spark, monkeypatch):
+    """A third of all rows are one row, another sixth share a null id."""
+    monkeypatch.setattr(mixing, "_PIECE", 100)
+    same = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") + 10)
+    df = spark.range(3000).select(same.cast("long").alias("doc_id"), F.lit("a").alias("source"), F.lit(5).cast("long").alias("size"))
+    numbered = mixing._numbered(df)
+    assert numbered.distinct().count() == 3000 and numbered.where("doc_id = 7").agg(F.max("nth")).first()[0] == 999
+    texts = df.select("doc_id", F.when(F.col("doc_id") == 7, "a").otherwise("b").alias("source"), F.lit("w w w w w").alias("text"))
+    folded, plain = [], mixing._folded
+
+    def watched(items, by, salt):
+        folded.append(items.groupBy(*by).count().agg(F.max("count")).first()[0])
+        return plain(items, by, salt)
+
+    monkeypatch.setattr(mixing, "_folded", watched)
+    found = mixing.mixed(texts, [1.0, 2.0], block=16).groupBy("source", "target", "copies").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
+    by = defaultdict(list)
+    for r in found.collect():
+        by[r["source"], r["target"]].append((r["copies"], r["n"], r["w"]))
+    assert sum(n for x in by.values() for _, n, _ in x) == 3000 and max(folded) < 80
+    assert all(abs(sum(c * w for c, _, w in x) - target) <= 5 for (_, target), x in by.items())
+    assert len(by) == 2 and any(len(x) == 2 for x in by.values())
+
+
 def test_mixing_nothing(nothing):
     assert mixing.mixed(nothing, [1.0]).collect() == []
 
