@@ -9,14 +9,15 @@ over a bounded list, however many documents there are, and no group is cut.
 
 A null text is part of no group and goes by its ``doc_id``.  Empty texts are
 equal to each other.  Repeated rows have equal texts and stay together.  Other
-columns are not looked at.
+columns are not looked at.  Texts are of any length; only their size and
+checksums are moved.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import pin
@@ -72,18 +73,17 @@ def into_shards(documents: DataFrame, shards: int = 16, fineness: int = FINENESS
 def with_slots(rows: DataFrame, per_piece: int = 20_000) -> DataFrame:
     """Adds ``slot``: rows of a shard numbered from 0 without gaps.
 
-    A shard is numbered in pieces by hash, so that none of its tasks holds a
-    whole shard; a piece starts where the pieces before it end.
+    A shard is numbered in pieces by the hash of a row's place, so that none of
+    its tasks holds a whole shard, nor all of many equal rows; a piece starts
+    where the pieces before it end.  No rows give no rows.
     """
-    from pyspark.sql import Window
-
-    rows = pin(rows)
+    rows = pin(rows.withColumn("row", F.monotonically_increasing_id()))
     pieces = rows.count() // per_piece + 1
-    cut = rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(pieces)))
+    cut = rows.withColumn("piece", F.pmod(F.xxhash64("row"), F.lit(pieces)))
     # One row for each shard and piece.
     starts = cut.groupBy("shard", "piece").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.select("shard", "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "piece").orderBy("doc_id", "size", "text_crc32")
+    inside = Window.partitionBy("shard", "piece").orderBy("doc_id", "size", "text_crc32", "row")
     numbered = cut.withColumn("place", F.row_number().over(inside) - 1)
-    return numbered.join(starts, ["shard", "piece"]).withColumn("slot", F.col("start") + F.col("place")).drop("piece", "place", "start")
+    return numbered.join(starts, ["shard", "piece"]).withColumn("slot", F.col("start") + F.col("place")).drop("row", "piece", "place", "start")
