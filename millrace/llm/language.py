@@ -38,7 +38,6 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 _TAIL = 3  # bytes that the widest filter reads behind its first
 NONE = "und"
-_SHORT = 100_000  # ids sent to all tasks at most
 
 
 @dataclass
@@ -145,15 +144,28 @@ def judge(net: Net, windows: np.ndarray) -> np.ndarray:
 
 def sample(documents: DataFrame, learn: Column, per_language: int = 400, per_text: int = 6) -> list:
     """Bounded labelled windows: of each language the texts first by the hash
-    of their ids, and of each text windows spread evenly over it."""
+    of their ids, and of each text windows spread evenly over it.
+
+    Rows are chosen, not ids: of an id with very many rows come as many texts
+    as the bound leaves room for.  Rows equal in id, language and text count as
+    one in the result.  Before a language's rows are ranked, all but about four
+    times as many ids as are wanted are left out by the same hash, so few rows
+    meet in the task of a frequent language.
+    """
     usable = documents.select("doc_id", "lang", "text").where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.where(F.length("text") > 0).select("doc_id", "lang")
-    chosen = chosen.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language)
-    chosen = stored(chosen.select("doc_id", "lang").distinct())
-    # A short list as long as there are not very many languages.
-    chosen = F.broadcast(chosen) if chosen.count() <= _SHORT else chosen
-    kept = usable.join(chosen, ["doc_id", "lang"], "left_semi")
+    mark = F.xxhash64("text").alias("mark")
+    # One row per language; the network has an output for each of them.
+    ids = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    ids = F.broadcast(stored(ids))
+    place = (F.xxhash64("doc_id").cast("double") + float(1 << 63)) / float(1 << 64)
+    near = usable.where(F.length("text") > 0).select("doc_id", "lang", mark).join(ids, "lang")
+    near = near.where(place * F.col("ids") <= 4 * per_language)
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "mark")
+    chosen = near.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language)
+    chosen = stored(chosen.select("doc_id", "lang", "mark").distinct())
+    # At most per_language narrow rows for each output of the network.
+    marked = usable.withColumn("mark", mark)
+    kept = marked.join(F.broadcast(chosen), ["doc_id", "lang", "mark"], "left_semi")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         languages, out = batch.column(1).to_pylist(), ([], [], [])
@@ -166,7 +178,8 @@ def sample(documents: DataFrame, learn: Column, per_language: int = 400, per_tex
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["lang", "doc_id", "window"])
 
     cut = by_batch(kept.select(F.col("doc_id").cast("long"), "lang", "text"), work, "lang string, doc_id long, window binary")
-    return sorted((r["lang"], r["doc_id"], bytes(r["window"])) for r in cut.collect())
+    # Equal rows give equal windows; one set of them is enough.
+    return sorted((r["lang"], r["doc_id"], bytes(r["window"])) for r in cut.distinct().collect())
 
 
 def learn_languages(documents: DataFrame, learn: Column, per_language: int = 400, per_text: int = 6, reject: bool = False) -> Net | None:

@@ -206,6 +206,41 @@ def test_shards_are_nearly_equal(spark):
     assert len(loads) == 16 and max(loads) < 1.005 * min(loads)
 
 
+def test_shards_equal_a_plain_schedule(spark, documents):
+    """Over a table: units made and scheduled here, by sorting and a list of loads."""
+    shards, fineness = 3, 2
+    rows = sharding.into_shards(documents, shards, fineness).withColumn("bundle", F.pmod(F.xxhash64("group"), F.lit(shards * fineness))).collect()
+    groups = defaultdict(int)
+    for r in rows:
+        groups[bytes(r["group"])] += r["size"]
+    total, bundle = sum(groups.values()), {bytes(r["group"]): r["bundle"] for r in rows}
+    unit = {g: g if size * shards * fineness >= total else bundle[g] for g, size in groups.items()}
+    sizes = defaultdict(int)
+    for g, size in groups.items():
+        sizes[unit[g]] += size
+    loads, to = [0] * shards, {}
+    for u in sorted(sizes, key=lambda u: (-sizes[u], str(u))):
+        to[u] = loads.index(min(loads))
+        loads[to[u]] += sizes[u]
+    assert all(r["shard"] == to[unit[bytes(r["group"])]] for r in rows)
+    assert len(set(to.values())) == shards
+
+
+def test_equal_rows_are_numbered_in_pieces(spark):
+    """Half of all rows are equal, with null id and text; slots have no gaps."""
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("text"),
+    )
+    placed = sharding.with_slots(sharding.into_shards(df, 4), per_piece=100)
+    assert set(placed.columns) == {"doc_id", "size", "text_crc32", "group", "shard", "slot"}
+    slots = defaultdict(list)
+    for r in placed.collect():
+        slots[r["shard"]].append(r["slot"])
+    assert len(slots) == 4 and all(sorted(x) == list(range(len(x))) for x in slots.values())
+    assert sum(map(len, slots.values())) == 4000
+
+
 def test_no_shards_of_nothing(nothing):
     assert sharding.with_slots(sharding.into_shards(nothing)).collect() == []
 
@@ -262,6 +297,18 @@ def test_languages_of_held_out_documents(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in found) >= 0.98 * len(found) > 100
 
 
+def test_a_hot_id_gives_a_bounded_sample(spark):
+    """A third of all rows has one id, a part of those also one text."""
+    doc_id = F.when(F.col("id") % 3 == 0, 4).otherwise(F.col("id") + 100)
+    text = F.when(F.col("id") % 6 == 0, "the same words again").otherwise(F.concat(F.lit("word "), F.col("id").cast("string")))
+    df = spark.range(6000).select(doc_id.cast("long").alias("doc_id"), F.lit("en").alias("lang"), text.alias("text"))
+    found = language.sample(df, F.lit(True), per_language=50, per_text=2)
+    assert 50 <= len(found) <= 50 * 2 and len(set(found)) == len(found)
+    assert {lang for lang, _, _ in found} == {"en"}
+    many = language.sample(df.withColumn("doc_id", F.lit(4).cast("long")), F.lit(True), per_language=50, per_text=2)
+    assert 50 <= len(many) <= 100
+
+
 def test_languages_of_awkward_rows(documents, nothing):
     net = language.learn_languages(documents, F.lit(True), 50)
     found = language.identify(documents, net).collect()
