@@ -1,13 +1,16 @@
 """Exact top-k by inner product: a ball tree per shard, branch and bound.
 
-Vectors are dealt to shards of bounded size by hash.  A shard's tree halves
-its points until a leaf is small; each node keeps a centre and a radius, so
-``q . centre + |q| * radius`` bounds every score below it.  Queries go down in
-blocks; at each node only those stay whose bound reaches their current kth
-score, and of two children the one with the higher bound comes first.
-
-The kth score is shared between shards: every query is first answered in its
-own shard, and that kth score prunes the trees of all other shards.
+Rows are dealt to shards of bounded size by the hash of their place, so an id
+with many rows is in all of them.  A shard's tree halves its points until a
+leaf is small; each node keeps a centre and a radius, so
+``q . centre + |q| * radius`` bounds every score below it.  A tree is built
+once and stored with its shard.  A task reads a shard's tree and then lets the
+queries go by in blocks, however many there are; at each node only those stay
+whose bound reaches their current kth score, and of two children the one with
+the higher bound comes first.
+
+The kth score is shared between shards: every query is first answered in one
+shard, its home, and that kth score prunes the trees of all other shards.
 
 Vectors that are null, empty, or hold a null or non-finite component, and rows
 without ``vec_id``, take no part.  Vectors of another length than the query's
@@ -18,6 +21,9 @@ the smaller id.  Other columns are not looked at.
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -46,12 +52,42 @@ class Tree:
     def __init__(self, points: np.ndarray, ids: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.points, self.ids = points[order], ids[order]
+        self._measure()
+        self.nodes: list[tuple] = []  # centre, radius, rows, left, right
+        self._build(np.arange(len(ids)))
+        # Points in the order of the leaves, so that a leaf is a slice.
+        order = np.concatenate([node[2] for node in self.nodes if node[2] is not None])
+        self.points, self.ids, self.real = self.points[order], self.ids[order], self.real[order]
+        at = 0
+        for i, (centre, radius, rows, left, right) in enumerate(self.nodes):
+            if rows is not None:
+                self.nodes[i] = (centre, radius, slice(at, at + len(rows)), left, right)
+                at += len(rows)
+
+    def _measure(self) -> None:
         self.real = self.points.astype(np.float64)
         top = float(np.abs(self.real).max(initial=0.0))
         # Products of floats are exact as long as no sum passes 2**52.
-        self.limit = _EXACT / max(top * points.shape[1], 1.0)
-        self.nodes: list[tuple] = []  # centre, radius, rows, left, right
-        self._build(np.arange(len(ids)))
+        self.limit = _EXACT / max(top * self.points.shape[1], 1.0)
+
+    def nodes_as_bytes(self) -> bytes:
+        """The nodes; with the points in order they are the tree."""
+        file = io.BytesIO()
+        links = [(-1, -1, left, right) if rows is None else (rows.start, rows.stop, -1, -1) for _, _, rows, left, right in self.nodes]
+        np.savez(file, centres=np.stack([x[0] for x in self.nodes]), radii=np.array([x[1] for x in self.nodes]), links=np.array(links))
+        return file.getvalue()
+
+    @classmethod
+    def read(cls, points: np.ndarray, ids: np.ndarray, nodes: bytes) -> Tree:
+        tree = cls.__new__(cls)
+        tree.points, tree.ids = points, ids
+        tree._measure()
+        held = np.load(io.BytesIO(nodes))
+        tree.nodes = [
+            (centre, float(radius), None if left >= 0 else slice(start, stop), left, right)
+            for centre, radius, (start, stop, left, right) in zip(held["centres"], held["radii"], held["links"].tolist(), strict=True)
+        ]
+        return tree
 
     def _build(self, rows: np.ndarray) -> int:
         own = self.real[rows]
@@ -119,59 +155,95 @@ class Tree:
         return scores, ids
 
 
-def _matrix(table: pa.Table, name: str) -> np.ndarray:
-    column = table.column(name).combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+def _matrix(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
 
+def _planted(shard: pa.Table) -> pa.Table:
+    """A shard's rows in the order of its tree, whose nodes stand in the first row."""
+    n = shard.num_rows
+    tree = Tree(_matrix(shard.column("v").combine_chunks()), shard.column("vec_id").to_numpy())
+    ends = np.arange(n + 1, dtype=np.int32) * tree.points.shape[1]
+    columns = {
+        "dim": pa.array(np.full(n, tree.points.shape[1], np.int32)),
+        "shard": pa.array(shard.column("shard").to_numpy()),
+        "place": pa.array(np.arange(n, dtype=np.int32)),
+        "id": pa.array(tree.ids),
+        "v": pa.ListArray.from_arrays(pa.array(ends), pa.array(tree.points.ravel())),
+        "nodes": pa.array([tree.nodes_as_bytes()] + [None] * (n - 1), pa.binary()),
+    }
+    return pa.table(columns)
 
-def _ask(vectors: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    """The shard's best rows for each of the queries."""
+
+def _answered(batches: Iterator[pa.RecordBatch], k: int, block: int) -> Iterator[pa.RecordBatch]:
+    """Trees, each followed by the queries that ask it, as rows in order."""
     names = [c.split()[0] for c in _FOUND.split(", ")]
-    if not vectors.num_rows or not queries.num_rows:
-        return pa.table([pa.array([], pa.int64())] * 3, names)
-    tree = Tree(_matrix(vectors, "v"), vectors.column("vec_id").to_numpy())
-    own, least = queries.column("query_id").to_numpy(), queries.column("least").to_numpy()
-    scores, ids = tree.search(_matrix(queries, "v"), own, least, k)
-    real = scores > np.iinfo(np.int64).min
-    return pa.table([np.repeat(own, k)[real.ravel()], ids[real], scores[real]], names)
+    at, points, ids, nodes, tree = None, [], [], None, None
+    for batch in batches:
+        marks = np.stack([batch.column(c).to_numpy() for c in ("dim", "shard", "asks")])
+        cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            if start == stop:
+                continue
+            run = batch.slice(start, stop - start)
+            if (shard := tuple(marks[:2, start].tolist())) != at:
+                at, points, ids, nodes, tree = shard, [], [], None, None
+            if not marks[2, start]:
+                points.append(_matrix(run.column("v")).copy())
+                ids.append(run.column("id").to_numpy().copy())
+                nodes = nodes or run.column("nodes")[0].as_py()
+                continue
+            if tree is None:
+                if nodes is None:  # no vector of this length is in the shard
+                    continue
+                tree = Tree.read(np.concatenate(points), np.concatenate(ids), nodes)
+                points, ids = [], []
+            for i in range(0, run.num_rows, block):
+                some = run.slice(i, block)
+                own = some.column("id").to_numpy()
+                scores, found = tree.search(_matrix(some.column("v")), own, some.column("least").to_numpy(), k)
+                real = scores > np.iinfo(np.int64).min
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, k)[real.ravel()]), pa.array(found[real]), pa.array(scores[real])], names)
+
+
+def planted(vectors: DataFrame, shards: int) -> DataFrame:
+    """The trees, stored: ``dim, shard, place, id, v, nodes``."""
+    rows = pin(vectors.select("vec_id", "v", F.size("v").alias("dim"), F.monotonically_increasing_id().alias("row")))
+    rows = rows.select("vec_id", "v", "dim", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"))
+    trees = rows.groupBy("dim", "shard").applyInArrow(_planted, "dim int, shard int, place int, id long, v array<long>, nodes binary")
+    return pin(trees)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = 16_384, least_shards: int = 8, block: int = 8_192) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows of ``vectors`` (``vec_id, v``) that are queries.
 
-    A task holds one shard and one block of queries, both of bounded size.
-    Runs jobs that count the rows and answer the queries in their own shards.
+    A task holds one shard and at most one block of queries at a time, both of
+    bounded size.  Runs jobs that count the rows, build and store the trees and
+    answer the queries in their home shards.
     """
-    vectors = pin(vectors.withColumn("dim", F.size("v")))
-    n = vectors.count()
-    shards = max(least_shards, -(-n // shard_rows))
-    vectors = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    queries = vectors.where(is_query).dropDuplicates(["vec_id", "v"]).withColumnRenamed("vec_id", "query_id")
-    queries = queries.withColumn("least", F.lit(-(2**63)).cast("long"))
-    ask = lambda left, right: _ask(left, right, k)
-
-    def answers(queries: DataFrame, vectors: DataFrame, by: list[str]) -> DataFrame:
-        # Names of their own: both sides come from the same rows.
-        queries = queries.select(*(F.col(c).alias(c) for c in queries.columns))
-        return vectors.groupBy(*by).cogroup(queries.groupBy(*by)).applyInArrow(ask, _FOUND)
-
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    at_home = pin(answers(queries, vectors, ["dim", "shard"]))
+    vectors = pin(vectors)
+    shards = max(least_shards, -(-vectors.count() // shard_rows))
+    trees = planted(vectors, shards).select("*", F.lit(0).alias("asks"), F.lit(None).cast("long").alias("least"))
+    queries = vectors.where(is_query).dropDuplicates(["vec_id", "v"]).select(F.col("vec_id").alias("query_id"), "v")
+    home = F.pmod(F.xxhash64("query_id", "v", F.lit(7)), F.lit(shards)).cast("int")
+    queries = pin(queries.select("query_id", "v", F.size("v").alias("dim"), home.alias("home")))
+
+    def answers(asked: DataFrame) -> DataFrame:
+        asked = asked.select(
+            "dim", "shard", F.lit(0).alias("place"), F.col("query_id").alias("id"), "v", F.lit(None).cast("binary").alias("nodes"),
+            F.lit(1).alias("asks"), "least",
+        )
+        both = trees.unionByName(asked).repartition(shards, "dim", "shard").sortWithinPartitions("dim", "shard", "asks", "place")
+        return both.mapInArrow(lambda batches: _answered(batches, k, block), _FOUND)
+
+    lowest = F.lit(-(2**63)).cast("long")
+    at_home = pin(answers(queries.select("*", F.col("home").alias("shard"), lowest.alias("least"))))
     shared = at_home.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
     # A repeated id may be several queries; their scores are then no bound.
     alone = queries.groupBy("query_id").agg(F.count(F.lit(1)).alias("askers"))
     kth = F.when((F.col("n") >= k) & (F.col("askers") == 1), F.col("kth"))
-    asked = queries.drop("least").join(shared, "query_id", "left").join(alone, "query_id")
-    blocks = max(1, -(-queries.count() // block))
-    asked = asked.select(
-        "query_id",
-        "v",
-        "dim",
-        F.col("shard").alias("home"),
-        F.coalesce(kth, F.lit(-(2**63)).cast("long")).alias("least"),
-        F.pmod(F.xxhash64("query_id", F.lit(7)), F.lit(blocks)).cast("int").alias("block"),
-    )
+    asked = queries.join(shared, "query_id", "left").join(alone, "query_id").withColumn("least", F.coalesce(kth, lowest))
     others = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home")
-    each = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = at_home.unionByName(answers(others, each, ["dim", "shard", "block"]))
+    found = at_home.unionByName(answers(others))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

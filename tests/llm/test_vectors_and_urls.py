@@ -47,6 +47,29 @@ def test_top_k_of_nothing(spark):
     assert ball_tree.top_k(ball_tree.quantized(df), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_a_tree_is_built_once_for_each_shard(spark):
+    """A third of the rows has one id; its rows are in all shards."""
+    vec_id = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") + 10).cast("long")
+    df = spark.range(4000).select(vec_id.alias("vec_id"), F.transform(F.sequence(F.lit(1), F.lit(6)), lambda i: F.pmod(F.xxhash64("id", i), F.lit(99))).alias("v"))
+    trees = ball_tree.planted(df, 5)
+    assert trees.count() == 4000 and trees.where("nodes is not null").count() == 5
+    assert {r[0] for r in trees.where("id = 1").groupBy("shard").count().where("count > 200").collect()} == set(range(5))
+
+
+def test_a_stored_tree_answers_alike():
+    rng = np.random.default_rng(5)
+    points, ids = rng.integers(-99, 99, (1500, 7)), rng.permutation(1500)
+    tree = ball_tree.Tree(points, ids)
+    again = ball_tree.Tree.read(tree.points, tree.ids, tree.nodes_as_bytes())
+    least = np.full(30, np.iinfo(np.int64).min)
+    for one in (tree, again):
+        scores, found = one.search(points[:30], ids[:30], least, 4)
+        every = points[:30] @ points.T
+        every[np.arange(30), np.arange(30)] = np.iinfo(np.int64).min
+        order = np.lexsort((np.broadcast_to(ids, every.shape), -every.clip(-(10**9))), axis=1)[:, :4]
+        assert (scores == np.take_along_axis(every, order, axis=1)).all() and (found == ids[order]).all()
+
+
 def test_large_components_stay_exact():
     points = np.array([[2**30, 3], [2**30 + 1, -5], [7, 9]], np.int64)
     tree = ball_tree.Tree(points, np.array([5, 4, 9]))
