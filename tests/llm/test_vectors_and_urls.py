@@ -142,7 +142,7 @@ def test_query_matches_sql(spark, name):
     import duckdb
 
     connection = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         connection.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     assert compare(spark, connection, name, QUERIES[name], ORACLE_SQL[name], SMALL) is None
 
