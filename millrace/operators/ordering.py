@@ -96,7 +96,7 @@ def running_totals(
 ) -> DataFrame:
     """Per group, the sums over all rows up to and including each row.
 
-    ``order`` must be total inside a group.  A group may be larger than a
+    ``order`` must be total inside a group; null is a group.  A group may be larger than a
     task: it is cut along the order, summed per piece, and each piece gets the
     sums of the pieces before it.  Nulls add nothing; a sum is null as long as
     it has met nulls only.
@@ -109,8 +109,8 @@ def running_totals(
     )
     earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(*_BEFORE)
     carried = pieces.select(
-        *groups,
-        "_range",
+        *[F.col(g).alias(f"_g_{g}") for g in groups],
+        F.col("_range").alias("_r"),
         *[F.sum(f"_s_{n}").over(earlier).alias(f"_c_{n}") for n in totals],
     )
     piece = Window.partitionBy(*groups, "_range").orderBy(*order).rowsBetween(*_UP_TO)
@@ -118,7 +118,10 @@ def running_totals(
         *df.columns,
         "_range", *[F.sum(f"_v_{n}").over(piece).alias(f"_p_{n}") for n in totals]
     )
-    return summed.join(carried, [*groups, "_range"]).select(
+    same = F.col("_range") == F.col("_r")
+    for g in groups:
+        same &= F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    return summed.join(carried, same).select(
         *df.columns,
         *[
             F.coalesce(F.col(f"_p_{n}") + F.col(f"_c_{n}"), F.col(f"_p_{n}"), F.col(f"_c_{n}"))

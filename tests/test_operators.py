@@ -133,6 +133,14 @@ def test_latest_per_key(spark, n):
     assert got == sorted(expected)
 
 
+def test_running_totals_keep_the_null_group(spark):
+    df = spark.range(300).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("g"), "id")
+    order, totals = [F.asc("id")], {"s": F.col("id")}
+    found = running_totals(df, "g", order, totals, parts=7)
+    assert rows(found) == rows(plain_running_totals(df, "g", order, totals))
+    assert found.filter("g is null").count() == 100
+
+
 def test_many_rows_of_a_hot_key(spark):
     """A third of all rows has one key, a sixth a null key; neither meets in one task."""
     key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 50))
