@@ -9,8 +9,10 @@ queries go by in blocks, however many there are; at each node only those stay
 whose bound reaches their current kth score, and of two children the one with
 the higher bound comes first.
 
-The kth score is shared between shards: every query is first answered in one
-shard, its home, and that kth score prunes the trees of all other shards.
+The kth score is shared between shards over three rounds: every query is
+answered in one shard, its home, then in about the square root of all shards,
+then in the rest.  Each round starts from the kth score of all rows found in
+the rounds before, which prunes its trees.
 
 Vectors that are null, empty, or hold a null or non-finite component, and rows
 without ``vec_id``, take no part.  Vectors of another length than the query's
@@ -22,6 +24,7 @@ the smaller id.  Other columns are not looked at.
 from __future__ import annotations
 
 import io
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -219,7 +222,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = 16
 
     A task holds one shard and at most one block of queries at a time, both of
     bounded size.  Runs jobs that count the rows, build and store the trees and
-    answer the queries in their home shards.
+    answer the queries in all rounds but the last.
     """
     vectors = pin(vectors)
     shards = max(least_shards, -(-vectors.count() // shard_rows))
@@ -236,14 +239,34 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = 16
         both = trees.unionByName(asked).repartition(shards, "dim", "shard").sortWithinPartitions("dim", "shard", "asks", "place")
         return both.mapInArrow(lambda batches: _answered(batches, k, block), _FOUND)
 
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def first_k(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
     lowest = F.lit(-(2**63)).cast("long")
-    at_home = pin(answers(queries.select("*", F.col("home").alias("shard"), lowest.alias("least"))))
-    shared = at_home.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
     # A repeated id may be several queries; their scores are then no bound.
     alone = queries.groupBy("query_id").agg(F.count(F.lit(1)).alias("askers"))
-    kth = F.when((F.col("n") >= k) & (F.col("askers") == 1), F.col("kth"))
-    asked = queries.join(shared, "query_id", "left").join(alone, "query_id").withColumn("least", F.coalesce(kth, lowest))
-    others = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home")
-    found = at_home.unionByName(answers(others))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    queries = queries.join(alone, "query_id")
+    found = None
+    for first, last in rounds(shards):
+        asked = queries.withColumn("least", lowest)
+        if found is not None:
+            shared = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
+            kth = F.when((F.col("n") >= k) & (F.col("askers") == 1), F.col("kth"))
+            asked = queries.join(shared, "query_id", "left").withColumn("least", F.coalesce(kth, lowest))
+        steps = F.explode(F.sequence(F.lit(first), F.lit(last)))
+        asked = asked.withColumn("step", steps).withColumn("shard", F.pmod(F.col("home") + F.col("step"), F.lit(shards)))
+        more = answers(asked)
+        if found is not None:
+            more = more.unionByName(found.drop("rank"))
+        found = first_k(more)
+        if last < shards - 1:
+            found = pin(found)
+    return found
+
+
+def rounds(shards: int) -> list[tuple[int, int]]:
+    """First and last step from a query's home shard that each round visits."""
+    ends = sorted({1, min(shards, 1 + math.isqrt(shards)), shards})
+    return [(start, end - 1) for start, end in zip([0, *ends[:-1]], ends, strict=True)]

@@ -47,6 +47,36 @@ def test_top_k_of_nothing(spark):
     assert ball_tree.top_k(ball_tree.quantized(df), F.col("vec_id") % 50 == 0).collect() == []
 
 
+@pytest.mark.parametrize("shards", [1, 2, 3, 8, 33, 1000])
+def test_rounds_visit_every_shard_once(shards):
+    steps = [step for first, last in ball_tree.rounds(shards) for step in range(first, last + 1)]
+    assert steps == list(range(shards)) and len(ball_tree.rounds(shards)) == min(3, shards)
+
+
+def test_a_higher_bar_opens_fewer_leaves():
+    """What a round learns saves the next one work."""
+    rng = np.random.default_rng(6)
+    points = rng.integers(-99, 99, (6000, 3))
+    tree = ball_tree.Tree(points, np.arange(6000))
+    opened = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, key):
+            opened.append(key)
+            return np.asarray(super().__getitem__(key))
+
+    def leaves(least):
+        opened.clear()
+        tree.real = np.asarray(tree.real).view(Counted)
+        scores, _ = tree.search(points[:1], np.array([-1]), np.array([least]), 5)
+        return len(opened), scores
+
+    low, first = leaves(np.iinfo(np.int64).min)
+    high, again = leaves(first[0, -1])
+    none, _ = leaves(first[0, 0] + 10**6)
+    assert (first == again).all() and none == 0 < high <= low < 6000 / 128
+
+
 def test_a_tree_is_built_once_for_each_shard(spark):
     """A third of the rows has one id; its rows are in all shards."""
     vec_id = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") + 10).cast("long")
