@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from millrace.llm import graph
-from millrace.llm.common import pairs_within, ship
+from millrace.llm.common import in_units, pairs_within, ship, trees_within
 
 
 @pytest.mark.parametrize("most", [3, 50])
@@ -37,3 +37,39 @@ def test_components_of_chains_and_odd_links(spark):
     found = {r.node: r.component for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(201)} | {1000: 900, 900: 900, 950: 900}
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def _parts(pairs):
+    least = {x: x for pair in pairs for x in pair}
+    while any(least[a] != least[b] for a, b in pairs):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+@pytest.mark.parametrize("most", [9, 50])
+def test_trees_connect_what_all_pairs_connect(spark, most):
+    ship(spark)
+    rng = np.random.default_rng(most)
+    rows = {(int(k), int(s)) for k in range(60) for s in rng.integers(0, 200, rng.integers(1, 40))}
+    rows |= {(7, s) for s in range(400)}
+    value = {s: int(rng.integers(0, 90)) for s in range(400)}
+    whole = {k: sorted(s for g, s in rows if g == k) for k, _ in rows}
+    given = [(k, s, value[s], -(-len(whole[k]) // most)) for k, s in rows]
+    df = spark.createDataFrame(given, "k long, s long, v long, chunks long").repartition(7)
+
+    def close(t, later, early):
+        return np.abs(t["v"][later] - t["v"][early]) <= 2
+
+    def same(t, one, two):
+        return abs(int(t["v"][one]) - int(t["v"][two])) <= 1
+
+    # One task gives a tree: fewer rows than nodes, though the pairs are many.
+    wanted = [(a, b) for own in whole.values() for a in own for b in own if a > b and abs(value[a] - value[b]) <= 1]
+    one_task = in_units(df, "k", "s").coalesce(1).sortWithinPartitions("k", "low", "high", "s")
+    for units in (in_units(df, "k", "s"), one_task):
+        found = [tuple(r) for r in trees_within(units, "k", "s", "s", close, same, 64).collect()]
+        assert set(found) <= set(wanted)
+        assert _parts(found) == _parts(wanted)
+    few = [tuple(r) for r in trees_within(one_task, "k", "s", "s", close, same).collect()]
+    assert len(few) < 400 < len(set(wanted))
