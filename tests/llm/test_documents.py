@@ -42,6 +42,19 @@ def test_jaccard_groups_with_every_shingle_common(documents, monkeypatch):
     assert found == cases.groups(ROWS)
 
 
+def test_shared_shingles_are_counted_over_all_documents(spark):
+    rows = [(f"a{i} b{i} c{i} d{i} e{i}",) for i in range(24000)]
+    shared = [f"p{i} q{i} r{i} s{i} t{i}" for i in range(60)]
+    rows[::400] = [(text,) for text in shared]
+    rows[200::400] = [(text,) for text in shared]
+    rows[1:300] = [("the same five words again",)] * 299
+    found = jaccard.common_shingles(spark.createDataFrame(rows, "text string").repartition(5))
+    place = lambda texts: (jaccard.shingle_sets([t.encode() for t in texts])[0] & np.uint64((1 << 24) - 1)).astype(np.int64)
+    assert (found[place(["the same five words again"])] == 2).all()
+    assert (found[place([shared[i] for i in range(1, 60)])] == 1).all()
+    assert np.count_nonzero(found) < 120
+
+
 def test_jaccard_of_no_documents(nothing):
     assert jaccard.similar_groups(nothing).collect() == []
 

@@ -64,7 +64,7 @@ def test_trees_connect_what_all_pairs_connect(spark, most):
     def same(t, one, two):
         return abs(int(t["v"][one]) - int(t["v"][two])) <= 1
 
-    # One task gives a tree: fewer rows than nodes, though the pairs are many.
+    # One task gives two trees: fewer rows than nodes in each, though the pairs are many.
     wanted = [(a, b) for own in whole.values() for a in own for b in own if a > b and abs(value[a] - value[b]) <= 1]
     one_task = in_units(df, "k", "s").coalesce(1).sortWithinPartitions("k", "low", "high", "s")
     for units in (in_units(df, "k", "s"), one_task):
@@ -72,4 +72,4 @@ def test_trees_connect_what_all_pairs_connect(spark, most):
         assert set(found) <= set(wanted)
         assert _parts(found) == _parts(wanted)
     few = [tuple(r) for r in trees_within(one_task, "k", "s", "s", close, same).collect()]
-    assert len(few) < 400 < len(set(wanted))
+    assert len(few) < 2 * 400 < len(set(wanted))  # the last unit is a portion of its own
