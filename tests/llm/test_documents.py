@@ -55,6 +55,31 @@ def test_shared_shingles_are_counted_over_all_documents(spark):
     assert np.count_nonzero(found) < 120
 
 
+def test_shingles_are_counted_in_pieces_of_a_table(spark, monkeypatch):
+    rows = [(" ".join(f"w{i}-{j}" for j in range(64)),) for i in range(500)] + [("one passage that many share",)] * 700 + [(None,), (" ",)]
+    kept, store = [], jaccard.stored
+
+    def keeping(df):
+        kept.append((df, store(df)))
+        return kept[-1][1]
+
+    monkeypatch.setattr(jaccard, "stored", keeping)
+    monkeypatch.setattr(jaccard, "discard", lambda df: None)
+    found = jaccard.common_shingles(spark.createDataFrame(rows, "text string").repartition(3))
+    (plan, counted) = kept[0]
+    # 30501 shingles, but no row for each of them: neither to the shuffle nor from it.
+    assert "Aggregate" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert counted.count() <= 512
+    places = Counter((jaccard.shingle_sets([(t or "").encode() for (t,) in rows])[0] & np.uint64((1 << 24) - 1)).tolist())
+    read = Counter()
+    for r in counted.collect():
+        n = np.frombuffer(bytes(r["n"]), np.uint8 if 2 * len(r["n"]) == len(r["places"]) else np.int64)
+        read.update({r["piece"] * (1 << 15) + int(p): int(k) for p, k in zip(np.frombuffer(bytes(r["places"]), np.uint16), n, strict=True)})
+    assert read == places and max(read.values()) == 700
+    assert counted.agg(F.sum("held"), F.sum("documents")).first() == (sum(places.values()), 1200)
+    assert np.flatnonzero(found == 2).tolist() == [max(places, key=places.get)]
+
+
 def test_jaccard_of_no_documents(nothing):
     assert jaccard.similar_groups(nothing).collect() == []
 
