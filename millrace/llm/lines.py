@@ -29,7 +29,7 @@ looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import Words, by_batch, firsts, gathered, lists, marked, marks_of, mix, portions, raw, sorted_within, stored, unused
 
 _COUNTERS = 1 << 21
-_SLICES = 32
+_SLICES = 256  # of that table; a row of them stays small where it is held several times over
 _LINES = "doc_id long, line long, set long, size long, bits long, prefix array<long>"
 _KEY = "row_key"
 
@@ -55,6 +55,18 @@ def _line_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 def word_counts(documents: DataFrame) -> np.ndarray:
     """Occurrences of words over all texts, counted by hash."""
+    out = np.zeros(_COUNTERS, np.int64)
+    width = _COUNTERS // _SLICES
+    for row in counted_slices(documents).collect():
+        out[row["slice"] * width : (row["slice"] + 1) * width] = _counts(bytes(row["counts"]))
+    return out
+
+
+def counted_slices(documents: DataFrame) -> DataFrame:
+    """The slices of that table in which there are counts.
+
+    Tasks count in tables of their own, whose slices are summed by number.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_COUNTERS, np.int64)
@@ -64,24 +76,30 @@ def word_counts(documents: DataFrame) -> np.ndarray:
             for part in portions(texts, 1 << 22):
                 places = [(Words(texts[part][some]).hashes & np.uint64(_COUNTERS - 1)).astype(np.uint32) for some in portions(texts[part])]
                 total += np.bincount(np.concatenate(places), minlength=_COUNTERS)
-        if total.any():
-            parts = [x.astype(np.uint32).tobytes() for x in np.split(total, _SLICES)]  # of one task
-            yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])
+        yield from given(enumerate(np.split(total, _SLICES)))
 
-    def add(table: pa.Table, kind: type) -> pa.Table:
-        total = sum(np.frombuffer(x, kind).astype(np.int64) for x in table.column("counts").to_pylist())
-        return pa.table([pa.array([table.column("slice")[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}  # at most the whole table
+        for batch in batches:
+            for i, counts in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
+                sums[i] = sums.get(i, 0) + _counts(counts.as_buffer())
+        yield from given(sums.items())
+
+    def given(slices: Iterable[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for i, counts in slices:
+            if counts.any():
+                small = counts.astype(np.uint32 if counts.max() < 1 << 32 else np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([small.tobytes()], pa.binary())], ["slice", "counts"])
 
     schema = "slice int, counts binary"
     some = documents.select("text").where("text is not null").mapInArrow(count, schema)
-    # Tasks' tables are added up in groups of tasks first, so that none holds many.
-    group = F.pmod(F.xxhash64("counts"), F.lit(16)).cast("int")
-    half = some.withColumn("group", group).groupBy("slice", "group").applyInArrow(lambda t: add(t, np.uint32), schema)
-    out = np.zeros(_COUNTERS, np.int64)
-    width = _COUNTERS // _SLICES
-    for row in half.groupBy("slice").applyInArrow(lambda t: add(t, np.int64), schema).collect():
-        out[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(bytes(row["counts"]), np.int64)
-    return out
+    return some.repartition("slice").mapInArrow(add, schema)
+
+
+def _counts(held: pa.Buffer | bytes) -> np.ndarray:
+    """Counts of a slice; those of less than 2 ** 32 take four bytes each."""
+    narrow = memoryview(held).nbytes == 4 * (_COUNTERS // _SLICES)
+    return np.frombuffer(held, np.uint32 if narrow else np.int64).astype(np.int64)
 
 
 def _sets(texts: list[bytes], counts: np.ndarray | None, least_words: int) -> tuple | None:
@@ -281,7 +299,8 @@ def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 1,
 
     ``compared`` is the size up to which a group of sets that share a word is
     compared at once; larger groups take further rounds, with the same result.
-    Runs the jobs that count words, store the sets and settle the rounds.
+    Runs the jobs that count words, store the sets and settle the rounds; short
+    ones, as the driver's memory grows with the stages of a job and their tasks.
     """
     by = ["doc_id", _KEY, "line"] if key else ["doc_id", "line"]
     lines = stored(line_sets(documents, word_counts(documents), percent, least_words, key))
@@ -297,13 +316,14 @@ def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 1,
     def fetched(pairs: DataFrame) -> DataFrame:
         used = pairs.select(F.explode(F.array("set", "other")).alias("set")).distinct()
         used = stored(used.join(sets.select("set", "doc_id"), "set"))
-        return stored(_words_of(documents, least_words, marks_of(used, marked(F.col("doc_id"))), marks_of(used, marked(F.col("set"), False))))
+        marks = marks_of(used, marked(F.col("doc_id")), marked(F.col("set"), False))
+        return stored(_words_of(documents, least_words, *marks))
 
     # One earlier set for each, then the others of those without a match yet.
     words = fetched(pairs)
     one = pairs.groupBy("set").agg(F.min("other").alias("other"))
     settled = stored(matching(one, words, percent).select("set").distinct())
-    rest = pairs.join(one, ["set", "other"], "left_anti").join(settled, "set", "left_anti")
+    rest = stored(pairs.join(one, ["set", "other"], "left_anti").join(settled, "set", "left_anti"))
     settled = stored(settled.unionByName(matching(rest, words, percent).select("set")).distinct())
 
     # Sets of large groups without a match meet all earlier ones of the group.
@@ -317,7 +337,7 @@ def later_matches(documents: DataFrame, percent: int = 85, least_words: int = 1,
     near = near.select(me["set"].alias("set"), them["set"].alias("other")).distinct().join(pairs, ["set", "other"], "left_anti")
     near = stored(near)
     if near.take(1):
-        settled = settled.unionByName(matching(near, fetched(near), percent).select("set")).distinct()
+        settled = stored(settled.unionByName(matching(near, fetched(near), percent).select("set")).distinct())
 
     gone = sets.select("set", F.struct(*by).alias("first")).join(settled.withColumn("matched", F.lit(True)), "set", "left")
     back = lines.select("set", *by).join(gone, "set")

@@ -195,7 +195,7 @@ def taken(documents: DataFrame, copies: DataFrame, key: str = "doc_id") -> DataF
     one are taken as often as the most taken of them.
     """
     doc, times, copy = (unused(documents.columns, name) for name in ("__doc", "__often", "__copy"))
-    often = copies.where("copies > 0").groupBy(F.col("doc_id").alias(doc)).agg(F.max("copies").alias(times))
+    often = stored(copies.where("copies > 0").groupBy(F.col("doc_id").alias(doc)).agg(F.max("copies").alias(times)))
     both = documents.join(often, documents[key].eqNullSafe(often[doc]))
     repeated = both.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
     return repeated.select(*(documents[c] for c in documents.columns))

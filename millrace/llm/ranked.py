@@ -278,7 +278,7 @@ def top_documents(documents: DataFrame, items: DataFrame, k: int = 50, block: in
     Runs the jobs that store the items' terms and the index, and count.
     """
     wanted = item_terms(items)
-    marks = marks_of(wanted, marked(F.col("term"), False))
+    (marks,) = marks_of(wanted, marked(F.col("term"), False))
     found = _documents(documents, marks)
     total, length = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     best = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))

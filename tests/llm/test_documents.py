@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import graph, jaccard, language, lines, mixing, packing, secrets, sharding, weak_rules
-from millrace.llm.common import ship
+from millrace.llm.common import Words, marked, marks_of, ship
 from tests.llm import cases
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -128,6 +128,39 @@ def test_components_of_a_long_chain(spark):
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 150: 100, 200: 100}
 
 
+def test_word_counts_come_in_small_rows(documents):
+    """As many as there are occurrences of words; no row is large."""
+    plain = np.zeros(lines._COUNTERS, np.int64)
+    for row in ROWS:
+        hashes = Words([(row[1] or "").encode()]).hashes
+        np.add.at(plain, (hashes & np.uint64(lines._COUNTERS - 1)).astype(np.int64), 1)
+    assert (lines.word_counts(documents) == plain).all() and plain.any()
+    found = [(r["slice"], len(r["counts"])) for r in lines.counted_slices(documents).collect()]
+    assert len({i for i, _ in found}) == len(found) and max(n for _, n in found) <= 1 << 16
+    width = lines._COUNTERS // lines._SLICES
+    assert {i for i, _ in found} == set((np.flatnonzero(plain) // width).tolist())
+
+
+def test_counts_beyond_four_bytes():
+    width = lines._COUNTERS // lines._SLICES
+    for kind, most in ((np.uint32, (1 << 32) - 1), (np.int64, 1 << 40)):
+        counts = np.array([0, most] * (width // 2), kind)
+        assert lines._counts(counts.tobytes()).tolist() == counts.tolist()
+
+
+def test_marks_of_several_places(spark):
+    rows = spark.createDataFrame([(i * 37, -i) for i in range(500)] * 2, "a long, b long")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("marks", "")
+    one, two = marks_of(rows, marked(F.col("a"), False), marked(F.col("b"), False))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert set(np.flatnonzero(one).tolist()) == {i * 37 for i in range(500)}
+    assert set(np.flatnonzero(two).tolist()) == {-i % len(two) for i in range(500)}
+    assert len(jobs.getJobIdsForGroup("marks")) <= 2
+    nothing = marks_of(rows.where("a < 0"), marked(F.col("a")))
+    assert not nothing[0].any()
+
+
 @pytest.mark.parametrize("compared", [256, 2])
 def test_later_lines_equal_all_pairs(documents, compared):
     found = [tuple(r) for r in lines.later_matches(documents, 85, 3, compared).collect()]

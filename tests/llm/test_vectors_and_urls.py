@@ -304,5 +304,15 @@ def test_a_stage_deletes_what_earlier_ones_left(spark):
     assert stages["source_mixing"](spark, lazy, SMALL).count() > 0
 
 
+@pytest.mark.parametrize("name", ["line_dedup", "ngram_jaccard_join", "source_mixing"])
+def test_what_a_stage_leaves_to_run_is_short(spark, name):
+    """A job's stages and tasks weigh on the driver, so the last one has few shuffles."""
+    rows = [(i, f"line {i} of a text\nshared line of words here", "en", "s", 1) for i in range(8)]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    found = dict(corpus_pipeline.STAGES)[name](spark, docs, SMALL)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert len(re.findall(r"Join|HashAggregate|SortAggregate", plan)) <= 6
+
+
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
