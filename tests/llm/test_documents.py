@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -122,6 +123,51 @@ def test_similar_sets_share_a_signature(size):
             assert set(found[: counts[0]].tolist()) & set(found[counts[0] :].tolist())
 
 
+def test_signatures_are_sorted_in_slices(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{w}" for w in rng.integers(0, 5000, 150))) for i in range(120)]
+    rows += [(i + 500, text + " and more") for i, text in rows[:40]]
+    sorted_, heads = [], jaccard.heads
+
+    def counting(df, *others):
+        sorted_.append(df.count())
+        return heads(df, *others)
+
+    monkeypatch.setattr(jaccard, "heads", counting)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(tuple(r) for r in jaccard.similar_groups(df).collect()) == cases.groups(rows)
+    assert sum(sorted_) > 1000 and max(sorted_) < 0.4 * sum(sorted_)
+
+
+def test_large_sets_that_share_a_passage_move_no_shingles(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    passage = " ".join(f"shared{i}" for i in range(400))
+    rows = [(i, passage + " " + " ".join(f"w{w}" for w in rng.integers(0, 1 << 40, 2000))) for i in range(12)]
+    fetched, fetch = [], jaccard._fetched
+
+    def counting(documents, classes, used):
+        fetched.append(used.count())
+        return fetch(documents, classes, used)
+
+    monkeypatch.setattr(jaccard, "_fetched", counting)
+    found = jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["doc_id"] == r["component_id"] for r in found) and len(found) == 12
+    assert sum(fetched) == 0
+    again = [(100, rows[3][1] + " one word more"), (101, rows[3][1] + " another word")]
+    found = jaccard.similar_groups(spark.createDataFrame(rows + again, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {**{i: i for i in range(12)}, 100: 3, 101: 3}
+    assert sum(fetched) == 3
+
+
+def test_bounds_of_many_sketches():
+    rng = np.random.default_rng(10)
+    sketches = [None if i % 7 == 3 else jaccard.parity(rng.integers(0, 1 << 63, int(rng.integers(1, 3000)), dtype=np.uint64)) for i in range(50)]
+    one, two = (x.ravel() for x in np.meshgrid(np.arange(50), np.arange(50)))
+    found = jaccard.sketches_apart(*jaccard._words_of(pa.array([bytes(8), *sketches], pa.binary()).slice(1)), one, two)
+    plain = lambda a, b: 0 if a is None or b is None else jaccard.parity_apart(a, b)
+    assert found.tolist() == [plain(sketches[i], sketches[j]) for i, j in zip(one, two, strict=True)] and found.any()
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150)]
     found = dict(tuple(r) for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect())

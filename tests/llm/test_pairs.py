@@ -73,3 +73,13 @@ def test_trees_connect_what_all_pairs_connect(spark, most):
         assert _parts(found) == _parts(wanted)
     few = [tuple(r) for r in trees_within(one_task, "k", "s", "s", close, same).collect()]
     assert len(few) < 2 * 400 < len(set(wanted))  # the last unit is a portion of its own
+
+
+def test_trees_as_stars(spark):
+    """A chain of close rows comes out as links to its least node, not as a chain."""
+    ship(spark)
+    df = spark.createDataFrame([(1, s, s // 2, 1) for s in range(100)], "k long, s long, part long, chunks long")
+    units = in_units(df, "k", "s")
+    close = lambda t, later, early: t["s"][later] - t["s"][early] <= 2
+    found = [tuple(r) for r in trees_within(units, "k", "s", "part", close, stars=True).collect()]
+    assert len(found) == 49 and {b // 2 for _, b in found} == {0} and {a // 2 for a, _ in found} == set(range(1, 50))
