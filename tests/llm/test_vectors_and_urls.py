@@ -314,5 +314,17 @@ def test_what_a_stage_leaves_to_run_is_short(spark, name):
     assert len(re.findall(r"Join|HashAggregate|SortAggregate", plan)) <= 6
 
 
+def test_similar_documents_go_by_a_short_list(spark, monkeypatch):
+    """What the texts are joined with holds the rows that go, not those that stay."""
+    rows = [(i, " ".join(f"w{i}-{j}" for j in range(20)), "en", "s", 1) for i in range(40)]
+    rows += [(100 + i, rows[i][1], "en", "s", 1) for i in range(3)]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = []
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df: kept.append(stored(df)) or kept[-1])
+    found = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, docs, SMALL)
+    assert kept[-1].count() == 3
+    assert {r["doc_id"] for r in found.collect()} == set(range(40))
+
+
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
